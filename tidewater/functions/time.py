@@ -49,7 +49,7 @@ def serial_to_ts(c: Column | str) -> Column:
 
 def ts_to_serial(ts: Column | str) -> Column:
     """Timestamp to spreadsheet serial days (inverse of ``serial_to_ts``)."""
-    return F.unix_micros(_col(ts)) / F.lit(float(MICROS_PER_DAY)) + F.lit(SERIAL_EPOCH_OFFSET_DAYS)
+    return F.unix_micros(_col(ts).cast("timestamp")) / F.lit(float(MICROS_PER_DAY)) + F.lit(SERIAL_EPOCH_OFFSET_DAYS)
 
 
 def to_zone(ts: Column | str, tz: str) -> Column:
@@ -59,7 +59,7 @@ def to_zone(ts: Column | str, tz: str) -> Column:
 
 def micros_of_day(ts: Column | str) -> Column:
     """Microseconds since local midnight of a (wall-clock) timestamp."""
-    ts = _col(ts)
+    ts = _col(ts).cast("timestamp")
     return F.unix_micros(ts) - F.unix_micros(F.date_trunc("day", ts))
 
 

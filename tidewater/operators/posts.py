@@ -121,7 +121,7 @@ def posts_with_authors(pages: DataFrame, dedup: bool = False) -> DataFrame:
             pages.select(F.col("__twarc.retrieved_at").alias("retrieved_at"), first_element(F.col("includes.users")).alias("user"))
             .filter(F.col("user").isNotNull())
             .groupBy(F.col("user.id").alias("uid"))
-            .agg(F.max_by("user", F.struct("retrieved_at", "user.public_metrics.followers_count")).alias("user"))
+            .agg(F.max_by("user", F.struct("retrieved_at", "user")).alias("user"))
         )
     else:
         authors = project_authors(first_user(pages))

@@ -183,3 +183,27 @@ def _tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cust.join(nation, cust.c_nationkey == nation.n_nationkey, "inner").select(
         F.col("c_custkey").alias("user_id"), F.col("n_name").alias("ticker")
     )
+
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` written once per session as Parquet into the shared checkpoint folder.
+
+    Later scans read only the nested leaves they use (nested schema pruning),
+    instead of re-running the page-building shuffle for every query.
+    """
+    import hashlib
+    import os
+
+    from ..session import ensure_checkpoint_dir
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _STORED:
+        root = ensure_checkpoint_dir(spark).rstrip("/")
+        tag = hashlib.md5(key[1].encode()).hexdigest()[:10]
+        path = f"{root}/tidewater-pages-{tag}-{key[0]}"
+        pages(spark, sf_dir).write.mode("overwrite").option("compression", "zstd").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
