@@ -204,8 +204,8 @@ def q_assign_labels(spark, sf_dir):
 
 def q_group_labels(spark, sf_dir):
     vocab = _vocab(spark, sf_dir)
-    p = posts.eligible_posts(_posts(spark, sf_dir))
-    return labels.group_labels(p, vocab).select("id", F.array_join("labels", ",").alias("labels"))
+    p = posts.eligible_posts(_posts(spark, sf_dir)).select("id", "context_annotations")
+    return labels.group_labels(p, vocab, checkpoint=True).select("id", F.array_join("labels", ",").alias("labels"))
 
 
 # ---------------------------------------------------------------- sentiment and features
@@ -217,12 +217,12 @@ def q_lexicon_sentiment(spark, sf_dir):
 def _features(spark, sf_dir):
     # Post texts repeat in this data (a supplier's document is shared by its
     # lines), so each distinct text is scored once and joined back.
-    return build_features(_pages(spark, sf_dir), k=K, vocab=_vocab(spark, sf_dir), by_text=True)
+    return build_features(_pages(spark, sf_dir), k=K, vocab=_vocab(spark, sf_dir), by_text=True, keep_text=False)
 
 
 def q_build_features(spark, sf_dir):
     f = _features(spark, sf_dir)
-    return f.withColumn("tweet_sentiment", F.round("tweet_sentiment", ROUND)).drop("tweet_text")
+    return f.withColumn("tweet_sentiment", F.round("tweet_sentiment", ROUND))
 
 
 # ---------------------------------------------------------------- transforms and summaries

@@ -311,6 +311,53 @@ def _events_sql(select: str, tail: str) -> str:
     )
 
 
+CLEAN = "regexp_replace(regexp_replace(lower({x}), '[^A-Za-z0-9_]+', '', 'g'), '__', '_', 'g')"
+
+
+def _dummy_columns() -> str:
+    """Dummy columns via a dynamic PIVOT (the column names depend on the data)."""
+    return _with(POSTS, COUNTS, VOCAB) + f""",
+base AS (SELECT row_number() OVER () AS rn, id, labels FROM posts),
+cells AS (
+  SELECT b.rn, b.id, 'dummy_' || {CLEAN.format(x="v.label")} AS name, CAST(list_contains(b.labels, v.label) AS INTEGER) AS x
+  FROM base b, vocab v
+)
+SELECT * EXCLUDE (rn) FROM (PIVOT cells ON name USING max(x) GROUP BY rn, id)"""
+
+
+def _build_features() -> str:
+    """The whole feature table: fallback labels, text scores per document, followers, dummies."""
+    feature_cols = (
+        "impression_count, hashtags_count, mentions_count, tweet_medias_count, tweet_external_urls_count, "
+        "tweet_period, tweet_sentiment, tweet_length, followers_count"
+    )
+    return _with(POSTS, COUNTS, VOCAB, FALLBACK, PAGE_USERS, FOLLOWERS) + "," + sentiment_sql("documents", "doc_id", "text") + f""",
+feats AS (
+  SELECT row_number() OVER () AS rn, p.impression_count,
+         CAST(coalesce(len(p.hashtags), 0) AS BIGINT) AS hashtags_count,
+         CAST(coalesce(len(p.mentions), 0) AS BIGINT) AS mentions_count,
+         CAST(0 AS BIGINT) AS tweet_medias_count,
+         CAST(coalesce(len(p.urls), 0) AS BIGINT) AS tweet_external_urls_count,
+         CAST((hour(CAST(substr(p.created_at, 1, 19) AS TIMESTAMP)) - 5 + 24) % 24 AS BIGINT) AS tweet_period,
+         round(coalesce(sm.s, 0.0) / sqrt(coalesce(sm.s, 0.0) * coalesce(sm.s, 0.0) + {SQUASH_ALPHA}), 6) AS tweet_sentiment,
+         CAST(length(p.text) AS BIGINT) AS tweet_length,
+         f.followers_count,
+         CASE WHEN len(list_intersect(p.labels, vlist.v)) > 0 THEN list_intersect(p.labels, vlist.v)
+              ELSE string_split(a.assigned, ',') END AS glabels
+  FROM posts p CROSS JOIN vlist
+  LEFT JOIN assigned a ON a.set_key = array_to_string(list_sort(p.labels), chr(1))
+  LEFT JOIN sums sm ON sm.k = p.doc_id
+  JOIN followers f ON f.user_id = p.author_id
+  WHERE p.doc_id IS NOT NULL AND p.labels IS NOT NULL
+),
+cells AS (
+  SELECT rn, {feature_cols}, 'dummy_' || {CLEAN.format(x="v.label")} AS name,
+         CAST(list_contains(glabels, v.label) AS INTEGER) AS x
+  FROM feats, vocab v
+)
+SELECT * EXCLUDE (rn) FROM (PIVOT cells ON name USING max(x) GROUP BY rn, {feature_cols})"""
+
+
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
     q["label_counts"] = _with(POSTS, COUNTS) + "SELECT label, cnt FROM counts"
@@ -385,6 +432,8 @@ def oracles() -> dict[str, str]:
         "WHERE p.doc_id IS NOT NULL AND p.labels IS NOT NULL"
     )
     q["lexicon_sentiment"] = _sentiment_query()
+    q["dummy_columns"] = _dummy_columns()
+    q["build_features"] = _build_features()
     q["log1p_all"] = _with(POSTS) + "SELECT id, " + ", ".join(
         f"round(CASE WHEN {c} > -1 THEN ln(1 + {c}) END, 6) AS {c}" for c in METRICS
     ) + " FROM posts"
