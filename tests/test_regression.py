@@ -97,3 +97,36 @@ def test_hash_split_disjoint_complete(spark):
     # stable across partitionings
     _, val2 = hash_split(df.repartition(3), "k", 0.2)
     assert sorted(r.k for r in val.collect()) == sorted(r.k for r in val2.collect())
+
+
+def test_staged_regression_matches_numpy(spark):
+    from tidewater.plans.staged import staged_regression
+
+    rng = np.random.default_rng(5)
+    n = 400
+    a = rng.integers(0, 50, n).astype(float)
+    b = rng.integers(0, 3, n).astype(float)
+    c = rng.normal(size=n)
+    y = np.maximum(0, 50 + 8 * a + 30 * b + rng.normal(size=n) * 40).round()
+    pdf = pd.DataFrame({"a": a, "b": b, "noise": c, "impression_count": y, "tweet_text": ["t"] * n})
+    res = staged_regression(spark.createDataFrame(pdf).repartition(4), threshold=100)
+
+    def pinv_fit(X, yy):
+        X = np.column_stack([np.ones(len(yy)), X])
+        return np.linalg.pinv(X) @ yy
+
+    terms = ["a", "b", "noise"]
+    assert np.allclose(res.fits["raw"].coef, pinv_fit(pdf[terms].to_numpy(), y), atol=1e-8)
+    kept = pdf[pdf.impression_count >= 100]
+    assert np.allclose(res.fits["threshold"].coef, pinv_fit(kept[terms].to_numpy(), kept.impression_count.to_numpy()), atol=1e-8)
+    logged = np.log1p(kept[terms + ["impression_count"]])
+    valid = np.isfinite(logged).all(axis=1)
+    logged = logged[valid]
+    assert np.allclose(res.fits["log"].coef, pinv_fit(logged[terms].to_numpy(), logged.impression_count.to_numpy()), atol=1e-8)
+    assert "a" in res.final_terms and "noise" not in res.final_terms
+    assert res.discarded == 4 - len(res.final_terms)
+    assert res.fits["final"].terms == res.final_terms
+    assert res.final_table.columns == res.final_terms + ["impression_count"]
+    assert set(res.holdout) == {"n", "mse", "rmse", "rmse_original"}
+    fit_df = res.fit_df(spark)
+    assert fit_df.filter("stage = 'final' AND stat = 'r_squared'").count() == 1

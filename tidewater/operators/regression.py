@@ -80,9 +80,12 @@ def _tsqr(data: DataFrame, response: str, terms: list[str]) -> np.ndarray:
         r = _qr_r(np.vstack(blocks))
         return pd.DataFrame({"r": [r.ravel().tolist()], "m": [r.shape[0]]})
 
-    partial = data.select(*cols).mapInPandas(per_task, "b int, r array<double>, m int")
-    merged = partial.groupBy("b").applyInPandas(merge, "r array<double>, m int")
-    rows = merged.collect()
+    source = data.select(*cols)
+    partial = source.mapInPandas(per_task, "b int, r array<double>, m int")
+    if source.rdd.getNumPartitions() <= TREE_FANOUT:
+        rows = partial.select("r", "m").collect()  # at most 64 small triangles
+    else:
+        rows = partial.groupBy("b").applyInPandas(merge, "r array<double>, m int").collect()
     if not rows:
         return np.zeros((0, p))
     blocks = [np.asarray(r["r"], dtype=np.float64).reshape(r["m"], p) for r in rows]
