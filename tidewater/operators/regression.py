@@ -55,41 +55,61 @@ def _qr_r(a: np.ndarray) -> np.ndarray:
     return np.linalg.qr(a, mode="r")
 
 
-def _tsqr(data: DataFrame, response: str, terms: list[str]) -> np.ndarray:
-    """R factor of [1, X, y] over all rows."""
-    p = len(terms) + 2
-    cols = list(terms) + [response]
+@dataclass
+class ModelSpec:
+    """One model of a multi-model fit: response, terms and the row mask column."""
+
+    name: str
+    response: str
+    terms: list[str]
+    mask: str
+
+
+def _tsqr_many(data: DataFrame, specs: list[ModelSpec]) -> list[np.ndarray]:
+    """R factor of [1, X, y] of every model, all from one scan of ``data``.
+
+    Each task keeps one (k+2)x(k+2) triangle per model over its own masked
+    rows; with at most ``TREE_FANOUT`` tasks the triangles go to the driver,
+    otherwise they are merged per model on a ``TREE_FANOUT``-way tree first.
+    """
+    widths = [len(sp.terms) + 2 for sp in specs]
 
     def per_task(batches):
         from pyspark import TaskContext
 
         bucket = TaskContext.get().partitionId() % TREE_FANOUT
-        r = np.zeros((0, p))
+        rs = [np.zeros((0, w)) for w in widths]
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            block = np.empty((len(pdf), p))
-            block[:, 0] = 1.0
-            block[:, 1:] = pdf[cols].to_numpy(dtype=np.float64)
-            r = _qr_r(np.vstack([r, block]))
-        if r.shape[0]:
-            yield pd.DataFrame({"b": [bucket], "r": [r.ravel().tolist()], "m": [r.shape[0]]})
+            for i, sp in enumerate(specs):
+                mask = pdf[sp.mask].to_numpy(dtype=bool)
+                if not mask.any():
+                    continue
+                block = np.empty((int(mask.sum()), widths[i]))
+                block[:, 0] = 1.0
+                block[:, 1:] = pdf.loc[mask, list(sp.terms) + [sp.response]].to_numpy(dtype=np.float64)
+                rs[i] = _qr_r(np.vstack([rs[i], block]))
+        out = [(i, bucket, r.ravel().tolist(), r.shape[0]) for i, r in enumerate(rs) if r.shape[0]]
+        if out:
+            yield pd.DataFrame(out, columns=["model", "b", "r", "m"])
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        blocks = [np.asarray(v, dtype=np.float64).reshape(m, p) for v, m in zip(pdf["r"], pdf["m"])]
+        i = int(pdf["model"].iloc[0])
+        blocks = [np.asarray(v, dtype=np.float64).reshape(m, widths[i]) for v, m in zip(pdf["r"], pdf["m"])]
         r = _qr_r(np.vstack(blocks))
-        return pd.DataFrame({"r": [r.ravel().tolist()], "m": [r.shape[0]]})
+        return pd.DataFrame({"model": [i], "r": [r.ravel().tolist()], "m": [r.shape[0]]})
 
-    source = data.select(*cols)
-    partial = source.mapInPandas(per_task, "b int, r array<double>, m int")
-    if source.rdd.getNumPartitions() <= TREE_FANOUT:
-        rows = partial.select("r", "m").collect()  # at most 64 small triangles
+    partial = data.mapInPandas(per_task, "model int, b int, r array<double>, m int")
+    if data.rdd.getNumPartitions() <= TREE_FANOUT:
+        rows = partial.select("model", "r", "m").collect()  # at most 64 small triangles per model
     else:
-        rows = partial.groupBy("b").applyInPandas(merge, "r array<double>, m int").collect()
-    if not rows:
-        return np.zeros((0, p))
-    blocks = [np.asarray(r["r"], dtype=np.float64).reshape(r["m"], p) for r in rows]
-    return _qr_r(np.vstack(blocks))
+        rows = partial.groupBy("model", "b").applyInPandas(merge, "model int, r array<double>, m int").collect()
+    out = []
+    for i, w in enumerate(widths):
+        blocks = [np.asarray(r["r"], dtype=np.float64).reshape(r["m"], w) for r in rows if r["model"] == i]
+        out.append(_qr_r(np.vstack(blocks)) if blocks else np.zeros((0, w)))
+    return out
 
 
 @dataclass
@@ -160,28 +180,14 @@ class OLSFit:
         return spark.createDataFrame([(k, float(v)) for k, v in self.fit_stats().items()], "stat string, value double")
 
 
-def _residual_moments(data: DataFrame, response: str, fit_pred: Column) -> dict[str, float]:
-    e = F.col(response) - fit_pred
-    row = data.select(e.alias("e")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("e").alias("s1"),
-        F.sum(F.col("e") ** 2).alias("s2"),
-        F.sum(F.col("e") ** 3).alias("s3"),
-        F.sum(F.col("e") ** 4).alias("s4"),
-    ).first()
-    return {k: float(row[k] or 0.0) for k in ("n", "s1", "s2", "s3", "s4")}
-
+def _linear(coef: np.ndarray, terms: list[str]) -> Column:
+    expr = F.lit(float(coef[0]))
+    for name, b in zip(terms, coef[1:]):
+        expr = expr + F.lit(float(b)) * F.col(name)
+    return expr
 
-def ols(df: DataFrame, response: str, terms: list[str] | None = None, drop: tuple[str, ...] = (), diagnostics: bool = True) -> OLSFit:
-    """Least squares of ``response`` on ``terms`` with an intercept.
 
-    Minimum-norm solution through the pseudo-inverse (singular values below
-    1e-15 of the largest are cut), so rank-deficient designs fit; the rank
-    counts singular values above ``max * max(n, k) * eps``.
-    """
-    data, terms = design(df, response, terms, drop)
-    r = _tsqr(data, response, terms)
-    k1 = len(terms) + 1
+def _solve(r: np.ndarray, k1: int):
     if r.shape[0] < k1 + 1:
         r = np.vstack([r, np.zeros((k1 + 1 - r.shape[0], k1 + 1))])
     rx, z = r[:k1, :k1], r[:k1, k1]
@@ -190,23 +196,21 @@ def ols(df: DataFrame, response: str, terms: list[str] | None = None, drop: tupl
     keep = s > RCOND * s_max
     s_inv = np.where(keep, 1.0 / np.where(keep, s, 1.0), 0.0)
     pinv_r = (vt.T * s_inv) @ u.T
-    coef = pinv_r @ z
-    cov_unscaled = pinv_r @ pinv_r.T
+    # Centred total sum of squares: the design's first column is all ones, so
+    # R's first row carries sqrt(n)*ybar and the rest of y's column is y - ybar.
+    ycol = r[1 : k1 + 1, k1]
+    return pinv_r @ z, pinv_r @ pinv_r.T, s, float(np.dot(ycol, ycol))
 
-    fit_pred = F.lit(float(coef[0]))
-    for name, b in zip(terms, coef[1:]):
-        fit_pred = fit_pred + F.lit(float(b)) * F.col(name)
-    mom = _residual_moments(data, response, fit_pred)
+
+def _assemble(sp: ModelSpec, coef, cov_unscaled, s, centered_tss, mom: dict[str, float], diagnostics: bool) -> OLSFit:
+    k1 = len(sp.terms) + 1
     n = int(mom["n"])
+    s_max = s.max() if s.size else 0.0
     rank_tol = s_max * max(n, k1) * np.finfo(np.float64).eps
     rank = int((s > rank_tol).sum())
     df_resid = float(n - rank)
     df_model = float(rank - 1)
     ssr = mom["s2"]
-    # Centred total sum of squares: the design's first column is all ones, so
-    # R's first row carries sqrt(n)*ybar and the rest of y's column is y - ybar.
-    ycol = r[1 : k1 + 1, k1]
-    centered_tss = float(np.dot(ycol, ycol))
     scale = ssr / df_resid if df_resid > 0 else float("nan")
     std_err = np.sqrt(np.maximum(np.diag(cov_unscaled) * scale, 0.0))
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -226,7 +230,7 @@ def ols(df: DataFrame, response: str, terms: list[str] | None = None, drop: tupl
     s_pos = s[s > 0]
     cond_no = float(s_pos.max() / s_pos.min()) if s_pos.size else float("nan")
     fit = OLSFit(
-        response=response, terms=list(terms), coef=coef, std_err=std_err, t=tvals, p=pvals,
+        response=sp.response, terms=list(sp.terms), coef=coef, std_err=std_err, t=tvals, p=pvals,
         ci_low=coef - q * std_err, ci_high=coef + q * std_err, n=n, rank=rank,
         df_model=df_model, df_resid=df_resid, ssr=ssr, centered_tss=centered_tss, r2=r2,
         adj_r2=adj, f_stat=f_stat, f_p=f_p, llf=llf, aic=aic, bic=bic, cond_no=cond_no,
@@ -236,6 +240,59 @@ def ols(df: DataFrame, response: str, terms: list[str] | None = None, drop: tupl
     return fit
 
 
+def finite_mask(cols: list[str]) -> Column:
+    """True where every column is non-NULL, not NaN and finite."""
+    cond = F.lit(True)
+    for c in cols:
+        v = F.col(c).cast("double")
+        cond = cond & v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
+    return cond
+
+
+def ols_many(df: DataFrame, specs: list[ModelSpec], diagnostics: bool = True) -> dict[str, OLSFit]:
+    """Several OLS models from two scans of ``df`` (one TSQR pass, one residual pass).
+
+    ``df`` holds every model's columns (cast to double here) and a boolean
+    mask column per model; a model uses the masked rows whose own values
+    are all finite.
+    """
+    value_cols = sorted({c for sp in specs for c in [sp.response, *sp.terms]})
+    masks = {sp.mask for sp in specs}
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in value_cols], *[F.col(m) for m in masks])
+    eff = [ModelSpec(sp.name, sp.response, sp.terms, f"__ok{i}") for i, sp in enumerate(specs)]
+    data = data.withColumns({
+        e.mask: F.coalesce(F.col(sp.mask), F.lit(False)) & finite_mask([sp.response, *sp.terms])
+        for sp, e in zip(specs, eff)
+    }).select(*value_cols, *[e.mask for e in eff])
+    rs = _tsqr_many(data, eff)
+    solved = [_solve(r, len(sp.terms) + 1) for r, sp in zip(rs, eff)]
+    aggs = []
+    for i, (sp, (coef, *_)) in enumerate(zip(eff, solved)):
+        e = F.when(F.col(sp.mask), F.col(sp.response) - _linear(coef, sp.terms))
+        aggs += [F.count(e).alias(f"n{i}")] + [F.sum(e ** p).alias(f"s{p}_{i}") for p in (1, 2, 3, 4)]
+    row = data.agg(*aggs).first()
+    fits = {}
+    for i, (sp, e, (coef, cov, s, tss)) in enumerate(zip(specs, eff, solved)):
+        mom = {"n": float(row[f"n{i}"] or 0)}
+        mom.update({f"s{p}": float(row[f"s{p}_{i}"] or 0.0) for p in (1, 2, 3, 4)})
+        fits[sp.name] = _assemble(sp, coef, cov, s, tss, mom, diagnostics)
+    return fits
+
+
+def ols(df: DataFrame, response: str, terms: list[str] | None = None, drop: tuple[str, ...] = (), diagnostics: bool = True) -> OLSFit:
+    """Least squares of ``response`` on ``terms`` with an intercept.
+
+    Minimum-norm solution through the pseudo-inverse (singular values below
+    1e-15 of the largest are cut), so rank-deficient designs fit; the rank
+    counts singular values above ``max * max(n, k) * eps``.  Rows with a
+    NULL, NaN or infinite value in any used column are left out.
+    """
+    if terms is None:
+        terms = [c for c in df.columns if c != response and c not in drop]
+    spec = ModelSpec("model", response, list(terms), "__all")
+    return ols_many(df.withColumn("__all", F.lit(True)), [spec], diagnostics)["model"]
+
+
 def _moment_diagnostics(mom: dict[str, float]) -> dict[str, float]:
     n = mom["n"]
     m1 = mom["s1"] / n
