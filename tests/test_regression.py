@@ -130,3 +130,22 @@ def test_staged_regression_matches_numpy(spark):
     assert set(res.holdout) == {"n", "mse", "rmse", "rmse_original"}
     fit_df = res.fit_df(spark)
     assert fit_df.filter("stage = 'final' AND stat = 'r_squared'").count() == 1
+
+
+def test_staged_durbin_watson_and_summaries(spark, tmp_path):
+    from tidewater.plans.staged import staged_regression
+    from tidewater.sources.sinks import write_summaries
+
+    rng = np.random.default_rng(9)
+    n = 300
+    a = rng.integers(0, 40, n).astype(float)
+    y = (120 + 5 * a + rng.normal(size=n) * 10).round()
+    pdf = pd.DataFrame({"a": a, "impression_count": y})
+    res = staged_regression(spark.createDataFrame(pdf).repartition(3))
+    for stage in ("raw", "threshold", "log", "final"):
+        dw = res.fits[stage].diagnostics["durbin_watson"]
+        assert 0.0 < dw < 4.0
+    write_summaries(spark, res, str(tmp_path / "s"))
+    back = spark.read.parquet(str(tmp_path / "s" / "fit"))
+    assert back.select("stage").distinct().count() == 4
+    assert back.filter("stat = 'durbin_watson'").count() == 4

@@ -75,3 +75,14 @@ def between_time(ts: Column | str, lo: str = "09:30:00", hi: str = "16:00:00") -
     """Time-of-day range predicate, inclusive at both ends."""
     mod = micros_of_day(ts)
     return (mod >= F.lit(_hms_micros(lo))) & (mod <= F.lit(_hms_micros(hi)))
+
+
+# Fixed values (our own; the source keeps no bounds): day parts by local hour,
+# morning [6, 12), afternoon [12, 18), night otherwise; "night" is the base level.
+DAY_PARTS = (("morning", 6, 12), ("afternoon", 12, 18))
+
+
+def day_part_dummies(hour: Column | str, prefix: str = "tweet_period_") -> list[Column]:
+    """0/1 columns per day part against the base level (night)."""
+    h = _col(hour)
+    return [((h >= F.lit(lo)) & (h < F.lit(hi))).cast("int").alias(prefix + name) for name, lo, hi in DAY_PARTS]

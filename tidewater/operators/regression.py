@@ -360,6 +360,65 @@ def durbin_watson(df: DataFrame, fit: OLSFit, order_by: list[str] | None = None,
     return ssd / sse if sse > 0 else float("nan")
 
 
+def durbin_watson_many(
+    df: DataFrame,
+    models: list[tuple[OLSFit, str]],
+    order_by: list[str],
+    partitions: int | None = None,
+) -> list[float]:
+    """Durbin-Watson of several models (each with its row-mask column) from one sorted scan.
+
+    Rows are range-partitioned and sorted once by ``order_by``; each task
+    returns, per model, the sum of squared successive differences of the
+    model's residuals over its masked rows, their sum of squares and the
+    first and last residual; the driver adds the differences across
+    partition edges.
+    """
+    cols = []
+    for i, (fit, mask) in enumerate(models):
+        ok = F.coalesce(F.col(mask), F.lit(False)) & finite_mask([fit.response, *fit.terms])
+        cols.append(F.when(ok, F.col(fit.response).cast("double") - fit.prediction()).alias(f"__e{i}"))
+    resid = df.select(*order_by, *cols)
+    nparts = partitions or df.sparkSession.sparkContext.defaultParallelism
+    ranged = resid.repartitionByRange(nparts, *order_by).sortWithinPartitions(*order_by)
+    names = [f"__e{i}" for i in range(len(models))]
+
+    def per_part(batches):
+        from pyspark import TaskContext
+
+        pid = TaskContext.get().partitionId()
+        first = [None] * len(names)
+        last = [None] * len(names)
+        ssd = [0.0] * len(names)
+        sse = [0.0] * len(names)
+        for pdf in batches:
+            for i, c in enumerate(names):
+                v = pdf[c].dropna().to_numpy(dtype=np.float64)
+                if v.size == 0:
+                    continue
+                if last[i] is not None:
+                    ssd[i] += (v[0] - last[i]) ** 2
+                else:
+                    first[i] = v[0]
+                ssd[i] += float(np.sum(np.diff(v) ** 2))
+                sse[i] += float(np.dot(v, v))
+                last[i] = v[-1]
+        rows = [(pid, i, first[i], last[i], ssd[i], sse[i]) for i in range(len(names)) if first[i] is not None]
+        if rows:
+            yield pd.DataFrame(rows, columns=["pid", "model", "first", "last", "ssd", "sse"])
+
+    parts = ranged.select(*names).mapInPandas(
+        per_part, "pid int, model int, first double, last double, ssd double, sse double"
+    ).collect()
+    out = []
+    for i in range(len(models)):
+        mine = sorted((r for r in parts if r["model"] == i), key=lambda r: r["pid"])
+        ssd = sum(r["ssd"] for r in mine) + sum((b["first"] - a["last"]) ** 2 for a, b in zip(mine, mine[1:]))
+        sse = sum(r["sse"] for r in mine)
+        out.append(ssd / sse if sse > 0 else float("nan"))
+    return out
+
+
 def significant_terms(fit: OLSFit, alpha: float = 0.05) -> list[str]:
     """Terms with p < alpha, intercept removed."""
     return [n for n, p in zip(fit.names, fit.p) if p < alpha and n != INTERCEPT]

@@ -155,6 +155,27 @@ def q_local_hour(spark, sf_dir):
     return ev.select("event_id", local_hour(parsed, -5).alias("hour_us"), local_hour(parsed, 1).alias("hour_eu"))
 
 
+def q_day_part_dummies(spark, sf_dir):
+    from ..functions.time import day_part_dummies
+
+    ev = views.table(spark, sf_dir, "events")
+    hour = local_hour(F.col("ts").cast("timestamp"), -5)
+    return ev.select("event_id", *day_part_dummies(hour))
+
+
+def q_dataset_name(spark, sf_dir):
+    from ..functions.text import dataset_name
+
+    li = views.table(spark, sf_dir, "lineitem").select(dataset_name(F.col("_metadata.file_path")).alias("dataset"))
+    return li.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_scan_glob(spark, sf_dir):
+    from ..sources.readers import scan_glob
+
+    return scan_glob(spark, f"{sf_dir.rstrip('/')}/regio*.parquet").select("r_regionkey", "r_name")
+
+
 def q_parse_ts(spark, sf_dir):
     ev = views.table(spark, sf_dir, "events")
     parsed = parse_ts(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))

@@ -414,6 +414,12 @@ def oracles() -> dict[str, str]:
     q["local_hour"] = (
         "SELECT event_id, CAST((hour(ts) - 5 + 24) % 24 AS BIGINT) AS hour_us, CAST((hour(ts) + 1) % 24 AS BIGINT) AS hour_eu FROM events"
     )
+    q["day_part_dummies"] = (
+        "SELECT event_id, CAST((hour(ts) - 5 + 24) % 24 >= 6 AND (hour(ts) - 5 + 24) % 24 < 12 AS INTEGER) AS tweet_period_morning, "
+        "CAST((hour(ts) - 5 + 24) % 24 >= 12 AND (hour(ts) - 5 + 24) % 24 < 18 AS INTEGER) AS tweet_period_afternoon FROM events"
+    )
+    q["dataset_name"] = "SELECT 'lineitem' AS dataset, count(*) AS n FROM lineitem"
+    q["scan_glob"] = "SELECT r_regionkey, r_name FROM region"
     q["parse_ts"] = "SELECT event_id, epoch_us(date_trunc('millisecond', ts)) AS ts_micros FROM events"
     q["multi_hot"] = _with(POSTS, COUNTS, VOCAB) + (
         "SELECT id, array_to_string(list_transform(vlist.v, lambda x: CASE WHEN list_contains(labels, x) THEN '1' ELSE '0' END), '') "
