@@ -32,7 +32,6 @@ from ..functions import stats
 
 INTERCEPT = "Intercept"
 TREE_FANOUT = 64
-RCOND = 1e-15
 
 
 def _rows_finite(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -193,7 +192,9 @@ def _solve(r: np.ndarray, k1: int):
     rx, z = r[:k1, :k1], r[:k1, k1]
     u, s, vt = np.linalg.svd(rx)
     s_max = s.max() if s.size else 0.0
-    keep = s > RCOND * s_max
+    # The first design column is all ones, so R[0, 0]^2 is the row count.
+    n = float(r[0, 0] ** 2)
+    keep = s > s_max * max(n, k1) * np.finfo(np.float64).eps
     s_inv = np.where(keep, 1.0 / np.where(keep, s, 1.0), 0.0)
     pinv_r = (vt.T * s_inv) @ u.T
     # Centred total sum of squares: the design's first column is all ones, so
@@ -282,9 +283,10 @@ def ols_many(df: DataFrame, specs: list[ModelSpec], diagnostics: bool = True) ->
 def ols(df: DataFrame, response: str, terms: list[str] | None = None, drop: tuple[str, ...] = (), diagnostics: bool = True) -> OLSFit:
     """Least squares of ``response`` on ``terms`` with an intercept.
 
-    Minimum-norm solution through the pseudo-inverse (singular values below
-    1e-15 of the largest are cut), so rank-deficient designs fit; the rank
-    counts singular values above ``max * max(n, k) * eps``.  Rows with a
+    Minimum-norm solution through the pseudo-inverse, so rank-deficient
+    designs fit; singular values at or below ``max * max(n, k) * eps`` are
+    cut, and the rank counts the ones above (the same tolerance for both,
+    so collinear columns give the same answer whatever the row order).  Rows with a
     NULL, NaN or infinite value in any used column are left out.
     """
     if terms is None:

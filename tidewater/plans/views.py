@@ -60,15 +60,25 @@ def text_entities(text: F.Column) -> F.Column:
 
 
 def post_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat line-item posts with every post field as a column (before nesting)."""
+    """Flat line-item posts with every post field as a column (before nesting).
+
+    The narrow line items are hash-partitioned by order key first; part and
+    document data are attached after that exchange (broadcast when their
+    measured size allows), so the grouping by order reuses the partitioning
+    and the post texts are never shuffled.
+    """
+    from ..operators.joins import sized_join
+
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
-    )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("l_suppkey"), "text", "lang",
-        text_entities(F.col("text")).alias("entities"),
+    ).repartition("l_orderkey")
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type")
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("doc_id"))
+    docs = (
+        table(spark, sf_dir, "documents")
+        .join(suppliers, "doc_id", "left_semi")
+        .select(F.col("doc_id").alias("l_suppkey"), "text", "lang", text_entities(F.col("text")).alias("entities"))
     )
     words = F.split(F.col("p_name"), " ")
     annotations = F.transform(
@@ -78,27 +88,24 @@ def post_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(w.alias("name")).alias("entity"),
         ),
     )
-    return (
-        li.join(part, li.l_partkey == part.p_partkey, "inner")
-        .join(docs, "l_suppkey", "left")
-        .select(
-            F.col("l_orderkey"),
+    joined = sized_join(sized_join(li, part, "l_partkey", "inner"), docs, "l_suppkey", "left")
+    return joined.select(
+        F.col("l_orderkey"),
+        F.struct(
+            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
+            iso_text("l_shipdate").alias("created_at"),
+            F.col("lang"),
+            F.col("text"),
+            F.col("entities"),
+            annotations.alias("context_annotations"),
             F.struct(
-                F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
-                iso_text("l_shipdate").alias("created_at"),
-                F.col("lang"),
-                F.col("text"),
-                F.col("entities"),
-                annotations.alias("context_annotations"),
-                F.struct(
-                    F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("long").alias("impression_count"),
-                    F.col("l_quantity").cast("long").alias("like_count"),
-                    F.col("l_linenumber").cast("long").alias("quote_count"),
-                    F.round(F.col("l_discount") * 100).cast("long").alias("reply_count"),
-                    F.round(F.col("l_tax") * 100).cast("long").alias("retweet_count"),
-                ).alias("public_metrics"),
-            ).alias("post"),
-        )
+                F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("long").alias("impression_count"),
+                F.col("l_quantity").cast("long").alias("like_count"),
+                F.col("l_linenumber").cast("long").alias("quote_count"),
+                F.round(F.col("l_discount") * 100).cast("long").alias("reply_count"),
+                F.round(F.col("l_tax") * 100).cast("long").alias("retweet_count"),
+            ).alias("public_metrics"),
+        ).alias("post"),
     )
 
 
@@ -204,6 +211,6 @@ def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = ensure_checkpoint_dir(spark).rstrip("/")
         tag = hashlib.md5(key[1].encode()).hexdigest()[:10]
         path = f"{root}/tidewater-pages-{tag}-{key[0]}"
-        pages(spark, sf_dir).write.mode("overwrite").option("compression", "zstd").parquet(path)
+        pages(spark, sf_dir).write.mode("overwrite").option("compression", "snappy").parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
