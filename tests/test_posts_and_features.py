@@ -212,3 +212,30 @@ def test_invariants_multi_hot_sum_and_urls(pages):
     for r in rows:
         assert r.mu == r.n
         assert r.s == (r.k if r.k is not None and r.k >= 0 else 0)
+
+
+def test_pluggable_scorer_runs_in_pandas(pages):
+    import pandas as pd
+
+    def last_label_scorer(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for key, cands in zip(pdf["set_key"], pdf["candidates"]):
+            best = sorted(cands)[-1]
+            rows += [(key, c, 1.0 if c == best else 0.0) for c in cands]
+        return pd.DataFrame(rows, columns=["set_key", "label", "score"])
+
+    vocab = ["Sport", "Politics"]
+    eligible = posts.eligible_posts(posts.posts(pages))
+    got = {r.id: r.labels for r in labels.group_labels(eligible, vocab, scorer=last_label_scorer).collect()}
+    assert got["p6"] == ["Sport"] and got["p8"] == ["Sport"]
+    assert got["p1"] == ["Politics"]
+
+
+def test_single_post_lines(spark, tmp_path):
+    line = {"data": post("s1", "u7", ann("X"), text="hi"), "includes": {"users": [user("u7", 42)]}}
+    line_fr = {"data": dict(post("s2", "u8", ann("X")), lang="fr"), "includes": {"users": [user("u8", 1)]}}
+    path = tmp_path / "sample.jsonl"
+    path.write_text(json.dumps(line) + "\n" + json.dumps(line_fr) + "\n")
+    lines = read_pages(spark, str(path), single=True)
+    rows = posts.sample_posts(lines, "en").collect()
+    assert [(r.id, r.followers_count, r.impression_count) for r in rows] == [("s1", 42, 10)]
