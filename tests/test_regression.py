@@ -2,7 +2,6 @@ import math
 
 import numpy as np
 import pandas as pd
-import pytest
 
 from tidewater.functions import stats
 from tidewater.operators.regression import durbin_watson, hash_split, ols, significant_terms

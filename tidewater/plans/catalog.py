@@ -7,14 +7,13 @@ engine can be compared value by value.
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.arrays import array_count, external_url_count, media_count, media_keys, names_of
+from ..functions.arrays import array_count, external_url_count, first_element, media_count, media_keys, names_of
 from ..functions.text import clean_name, sentiment_score, star_label, text_length
 from ..functions.time import between_time, local_hour, micros_of_day, parse_ts, serial_to_ts, to_zone
 from ..operators import explore, labels, posts, regression, ticks
@@ -83,7 +82,7 @@ def q_by_language(spark, sf_dir):
 
 def q_first_user(spark, sf_dir):
     pg = _pages(spark, sf_dir)
-    return pg.select("page_id", F.col("includes.users")[0].alias("user")).filter(F.col("user").isNotNull()).select(
+    return pg.select("page_id", first_element(F.col("includes.users")).alias("user")).filter(F.col("user").isNotNull()).select(
         "page_id", F.col("user.id").alias("user_id"), F.col("user.public_metrics.followers_count").alias("followers_count")
     )
 
