@@ -79,9 +79,28 @@ class _Written(WriterCommitMessage):
 
 
 class ArrowWriter(DataSourceArrowWriter):
-    def __init__(self, folder: str, compression: str | None):
+    """Each task attempt writes its own file; the driver keeps only committed ones.
+
+    A lost or retried task can leave a partial file from its failed attempt;
+    ``commit`` removes every ``.arrow`` file the committed attempts did not
+    report, and ``abort`` removes what the job wrote.
+    """
+
+    def __init__(self, folder: str, compression: str | None, existing: frozenset[str] = frozenset()):
         self.folder = folder
         self.compression = compression
+        self.existing = existing
+
+    def commit(self, messages):
+        keep = {m.path for m in messages if m is not None and m.path}
+        for f in glob.glob(os.path.join(self.folder, "*.arrow")):
+            if f not in keep and f not in self.existing:
+                os.remove(f)
+
+    def abort(self, messages):
+        for f in glob.glob(os.path.join(self.folder, "*.arrow")):
+            if f not in self.existing:
+                os.remove(f)
 
     def write(self, iterator):
         import pyarrow as pa
@@ -126,7 +145,8 @@ class ArrowDataSource(DataSource):
         if overwrite and folder and os.path.isdir(folder):
             for f in glob.glob(os.path.join(folder, "*.arrow")):
                 os.remove(f)
-        return ArrowWriter(folder, self.options.get("compression"))
+        existing = frozenset(glob.glob(os.path.join(folder, "*.arrow"))) if folder else frozenset()
+        return ArrowWriter(folder, self.options.get("compression"), existing)
 
 
 def register_arrow(spark: SparkSession) -> None:

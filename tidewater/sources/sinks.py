@@ -53,9 +53,15 @@ def checkpoint_json(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).json(path)
 
 
-def write_events(df: DataFrame, path: str, compression: str = "zstd") -> None:
-    """One folder per ticker and day (``ticker=<t>/date=<d>``), so readers prune partitions."""
-    df.repartition("ticker", "date").write.mode("overwrite").partitionBy("ticker", "date").option(
+def write_events(df: DataFrame, path: str, compression: str = "zstd", partitions: int | None = None) -> None:
+    """One folder per ticker and day (``ticker=<t>/date=<d>``), so readers prune partitions.
+
+    Rows are range-partitioned on (ticker, date, ts): one hot ticker-day is
+    cut into several tasks (several files in its folder) instead of one.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["ticker", "date"] + (["ts"] if "ts" in df.columns else [])
+    df.repartitionByRange(n, *keys).write.mode("overwrite").partitionBy("ticker", "date").option(
         "compression", compression
     ).parquet(path)
 
