@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.time import between_time, serial_to_ts, ts_to_serial
 from tidewater.operators import ticks
-from tidewater.sources.readers import expand_paths, read_table, scan_any, schema_drift, schema_leaves
+from tidewater.sources.readers import expand_paths, paired_paths, read_table, scan_any, schema_drift, schema_leaves
 from tidewater.sources.sinks import write_events, write_table
 
 
@@ -107,6 +107,15 @@ def test_expand_paths(spark):
     assert "raw/SPY/2010-01-02-SPY-trade.parquet" in {r.path for r in out}
 
 
+def test_paired_paths_keep_words_in_names(spark):
+    # A ticker or base folder containing "trade" must not be rewritten in the quote path.
+    tickers = spark.createDataFrame([("TRADE",), ("trades",)], "ticker string")
+    out = {r.ticker: r for r in paired_paths(spark, tickers, "2010-01-01", "2010-01-01", base="trade-data").collect()}
+    assert out["trades"].trade_path == "trade-data/trade/trades/2010-01-01-trades-trade.parquet"
+    assert out["trades"].quote_path == "trade-data/bbo/trades/2010-01-01-trades-bbo.parquet"
+    assert out["TRADE"].quote_path == "trade-data/bbo/TRADE/2010-01-01-TRADE-bbo.parquet"
+
+
 def test_schema_drift(spark):
     a = spark.range(1).select(F.struct(F.lit(1).alias("x"), F.lit("s").alias("y")).alias("s")).schema
     b = spark.range(1).select(F.struct(F.lit(1).alias("x")).alias("s")).schema

@@ -480,6 +480,16 @@ def q_expand_paths(spark, sf_dir):
     return out.withColumn("date", F.col("date").cast("string"))
 
 
+def q_paired_paths(spark, sf_dir):
+    from ..sources.readers import paired_paths
+
+    ev = views.table(spark, sf_dir, "events")
+    bounds = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    tickers = views.trades(spark, sf_dir).select("ticker")
+    out = paired_paths(spark, tickers, bounds["lo"].date().isoformat(), bounds["hi"].date().isoformat())
+    return out.withColumn("date", F.col("date").cast("string"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -515,4 +515,11 @@ def oracles() -> dict[str, str]:
         "SELECT ticker, CAST(CAST(d AS DATE) AS VARCHAR) AS date, "
         "'data/raw/trade/' || ticker || '/' || strftime(d, '%Y-%m-%d') || '-' || ticker || '-trade.parquet' AS path FROM tk, days"
     )
+    q["paired_paths"] = _with(TICKERS) + (
+        ", tk AS (SELECT DISTINCT t.ticker FROM events e JOIN tickers t ON t.user_id = e.user_id WHERE e.event_type IN ('purchase', 'error')),"
+        " days AS (SELECT unnest(range(CAST((SELECT min(ts) FROM events) AS DATE), CAST((SELECT max(ts) FROM events) AS DATE) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d)\n"
+        "SELECT ticker, CAST(CAST(d AS DATE) AS VARCHAR) AS date, "
+        "'data/raw/trade/' || ticker || '/' || strftime(d, '%Y-%m-%d') || '-' || ticker || '-trade.parquet' AS trade_path, "
+        "'data/raw/bbo/' || ticker || '/' || strftime(d, '%Y-%m-%d') || '-' || ticker || '-bbo.parquet' AS quote_path FROM tk, days"
+    )
     return q

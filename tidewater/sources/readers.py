@@ -140,6 +140,30 @@ def expand_paths(
     )
 
 
+def paired_paths(
+    spark: SparkSession,
+    tickers: DataFrame,
+    start: str,
+    end: str,
+    base: str = "data/raw",
+    trade_kind: str = "trade",
+    quote_kind: str = "bbo",
+    suffix: str = "parquet",
+) -> DataFrame:
+    """(ticker, date, trade_path, quote_path): both tick files of a ticker-day.
+
+    The quote path is its own template fill, not a text replacement in the
+    trade path, so a ticker or base folder containing the word is left alone.
+    """
+    trade = expand_paths(spark, tickers, start, end, base=f"{base}/{trade_kind}", kind=trade_kind, suffix=suffix)
+    lit = lambda v: v.replace("%", "%%")
+    fmt = f"{lit(base)}/{lit(quote_kind)}/%1$s/%2$s-%1$s-{lit(quote_kind)}.{lit(suffix)}"
+    return trade.select(
+        "ticker", "date", F.col("path").alias("trade_path"),
+        F.format_string(fmt, F.col("ticker"), F.date_format("date", "yyyy-MM-dd")).alias("quote_path"),
+    )
+
+
 def schema_leaves(schema: DataType, prefix: str = "") -> list[tuple[str, str]]:
     """(dotted leaf path, type name) of every leaf; array elements marked ``[]``."""
     if isinstance(schema, StructType):
