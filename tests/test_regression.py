@@ -77,6 +77,22 @@ def test_durbin_watson_ordered(spark):
     assert math.isclose(durbin_watson(df, fit, ["t"], partitions=4), expected, rel_tol=1e-9)
 
 
+def test_durbin_watson_ties_broken_by_residuals(spark):
+    # An order key with ties (here 10 groups) gives the same value for any input partitioning.
+    rng = np.random.default_rng(12)
+    n = 200
+    a = rng.normal(size=n)
+    y = 1.0 + 2.0 * a + rng.normal(size=n)
+    pdf = pd.DataFrame({"g": np.arange(n) % 10, "a": a, "y": y})
+    fit = ols(spark.createDataFrame(pdf), "y", ["a"])
+    e = y - fit.coef[0] - fit.coef[1] * a
+    order = np.lexsort((e, pdf["g"].to_numpy()))
+    expected = float(np.sum(np.diff(e[order]) ** 2) / np.sum(e ** 2))
+    for parts in (1, 5):
+        df = spark.createDataFrame(pdf.sample(frac=1.0, random_state=parts)).repartition(parts)
+        assert math.isclose(durbin_watson(df, fit, ["g"], partitions=3), expected, rel_tol=1e-9)
+
+
 def test_distribution_tails():
     # t with 10 df: two-sided p at 2.228 is 0.05; F(3, 20) upper tail at 3.098 is 0.05
     assert abs(stats.t_sf2(2.228138852, 10) - 0.05) < 1e-6

@@ -311,8 +311,9 @@ def _moment_diagnostics(mom: dict[str, float]) -> dict[str, float]:
 def durbin_watson(df: DataFrame, fit: OLSFit, order_by: list[str] | None = None, partitions: int | None = None) -> float:
     """Durbin-Watson statistic of the residuals in ``order_by`` order.
 
-    Without ``order_by`` the order is a content hash of the row (with every
-    column as tie-break): deterministic and independent of partitioning.
+    Without ``order_by`` the order is a content hash of the row.  Remaining
+    ties are broken by the residual (rows tying on both are interchangeable),
+    so the value is deterministic and independent of partitioning.
     """
     data, _ = design(df, fit.response, fit.terms)
     cols = data.columns
@@ -327,10 +328,11 @@ def durbin_watson(df: DataFrame, fit: OLSFit, order_by: list[str] | None = None,
     else:
         keyed = data.withColumn("__h", F.xxhash64(*[F.col(c) for c in cols]))
         e = F.col(fit.response) - fit.prediction()
-        order_cols = ["__h"] + cols
+        order_cols = ["__h"]
     resid = keyed.select(*order_cols, e.alias("__e"))
     nparts = partitions or resid.sparkSession.sparkContext.defaultParallelism
-    ranged = resid.repartitionByRange(nparts, *order_cols).sortWithinPartitions(*order_cols)
+    keys = [*order_cols, "__e"]
+    ranged = resid.repartitionByRange(nparts, *keys).sortWithinPartitions(*keys)
 
     def per_part(batches):
         from pyspark import TaskContext
@@ -370,11 +372,16 @@ def durbin_watson_many(
 ) -> list[float]:
     """Durbin-Watson of several models (each with its row-mask column) from one sorted scan.
 
-    Rows are range-partitioned and sorted once by ``order_by``; each task
-    returns, per model, the sum of squared successive differences of the
-    model's residuals over its masked rows, their sum of squares and the
-    first and last residual; the driver adds the differences across
-    partition edges.
+    Rows are range-partitioned and sorted once by ``order_by`` and then by
+    the residuals themselves; each task returns, per model, the sum of
+    squared successive differences of the model's residuals over its masked
+    rows, their sum of squares and the first and last residual; the driver
+    adds the differences across partition edges.
+
+    The residuals as trailing sort keys make any ``order_by`` deterministic:
+    rows that tie on every key are interchangeable for the statistic.  So a
+    content hash alone is enough as ``order_by``, and only it and the
+    residuals are shuffled.
     """
     cols = []
     for i, (fit, mask) in enumerate(models):
@@ -382,8 +389,9 @@ def durbin_watson_many(
         cols.append(F.when(ok, F.col(fit.response).cast("double") - fit.prediction()).alias(f"__e{i}"))
     resid = df.select(*order_by, *cols)
     nparts = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = resid.repartitionByRange(nparts, *order_by).sortWithinPartitions(*order_by)
     names = [f"__e{i}" for i in range(len(models))]
+    keys = [*order_by, *names]
+    ranged = resid.repartitionByRange(nparts, *keys).sortWithinPartitions(*keys)
 
     def per_part(batches):
         from pyspark import TaskContext
