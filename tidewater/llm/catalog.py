@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, oracles
+from . import mixing, oracles, warc
 from .common import read
 
 
@@ -14,7 +14,14 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as dictionary-compressed WARC archives and read back."""
+    pages = read(spark, sf_dir, "pages")
+    return warc.read_archives(warc.write_archives(pages)).drop("html", "url")
+
+
 QUERIES = {
+    "op10_warc": op10_warc,
     "op3_source_mix": op3_source_mix,
 }
 

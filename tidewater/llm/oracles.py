@@ -31,6 +31,24 @@ taken AS (
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM taken
 """
 
+WARC = r"""
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hexed
+  FROM pages),
+d AS (
+  SELECT page_id, payload_bytes,
+         array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             CAST((CAST('0x' || substr(hexed, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS BIGINT) + 1, 1)
+           FOR i IN range(32)], '') AS payload_digest
+  FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
 ORACLES = {
+    "op10_warc": WARC,
     "op3_source_mix": MIX,
 }
