@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, oracles, warc
+from . import bpe, mixing, oracles, warc
 from .common import read
 
 
@@ -20,7 +21,28 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(pages)).drop("html", "url")
 
 
+def tokenizer_path() -> str:
+    """The tokenizer file of op7 (the public files' own module knows where they are)."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded, then decoded, with the digests of both."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, tokenizer_path()).drop("text")
+    back = bpe.decode(coded, tokenizer_path())
+    return back.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
+    "op7_bpe": op7_bpe,
     "op10_warc": op10_warc,
     "op3_source_mix": op3_source_mix,
 }
