@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, oracles, warc
+from . import bpe, mixing, oracles, quality, warc
 from .common import read
 
 
@@ -41,7 +41,13 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts, base verdict and the forest's verdict of every document."""
+    return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op7_bpe": op7_bpe,
     "op10_warc": op10_warc,
     "op3_source_mix": op3_source_mix,
