@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, oracles, quality, warc
+from . import bpe, html_text, mixing, oracles, quality, warc
 from .common import read
 
 
@@ -46,7 +46,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op8_html_text": op8_html_text,
     "op1_quality_rules": op1_quality_rules,
     "op7_bpe": op7_bpe,
     "op10_warc": op10_warc,
