@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, mixing, oracles, quality, warc
+from . import bpe, html_text, mixing, oracles, pii, quality, warc
 from .common import read
 
 
@@ -51,7 +51,14 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text with its personal data pseudonymized."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, found="n_found")
+
+
 QUERIES = {
+    "op9_pii": op9_pii,
     "op8_html_text": op8_html_text,
     "op1_quality_rules": op1_quality_rules,
     "op7_bpe": op7_bpe,
