@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, mixing, oracles, pii, quality, warc
+from . import bpe, html_text, langid, mixing, oracles, pii, quality, warc
 from .common import read
 
 
@@ -57,7 +57,16 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(docs, found="n_found")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from the rows that are not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs)
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op6_language": op6_language,
     "op9_pii": op9_pii,
     "op8_html_text": op8_html_text,
     "op1_quality_rules": op1_quality_rules,
