@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, langid, mixing, oracles, pii, quality, warc
+from . import bpe, html_text, langid, mixing, oracles, pii, quality, topk, warc
 from .common import read
 
 
@@ -65,7 +65,15 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows for every fiftieth vector, over all vectors."""
+    rows = read(spark, sf_dir, "embeddings").where(topk.usable(F.col("embedding")) & F.col("vec_id").isNotNull())
+    rows = rows.select("vec_id", topk.scaled(F.col("embedding")).alias("vector"))
+    return topk.search(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
+    "op2_exact_topk": op2_exact_topk,
     "op6_language": op6_language,
     "op9_pii": op9_pii,
     "op8_html_text": op8_html_text,
