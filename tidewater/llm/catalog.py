@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, langid, mixing, oracles, pii, quality, topk, warc
+from . import bpe, html_text, jaccard, langid, mixing, oracles, pii, quality, topk, warc
 from .common import read
 
 
@@ -72,7 +72,13 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(rows, F.col("vec_id") % 50 == 0)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op5_jaccard_join": op5_jaccard_join,
     "op2_exact_topk": op2_exact_topk,
     "op6_language": op6_language,
     "op9_pii": op9_pii,
