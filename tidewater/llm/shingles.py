@@ -47,7 +47,7 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-_powers = _Powers()
+powers = _Powers()
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -56,7 +56,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     space = _SPACE[data]
     starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
-    up, down = _powers.get(len(data))
+    up, down = powers.get(len(data))
     total = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up)
     hashes = mix((total[ends - 1] - total[starts - 1]) * down[starts] + (ends - starts).astype(np.uint64))
     begins = np.cumsum([1] + [len(t) + 1 for t in texts])
