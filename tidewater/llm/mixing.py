@@ -28,6 +28,8 @@ from .common import kept_lineage, n_words
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 SEED = "mix-1"
+#: Rows of two numbers that may be broadcast: about 64 MB.
+BROADCAST_ROWS = 1_000_000
 
 
 def offset(source: Column, seed: str = SEED) -> Column:
@@ -116,18 +118,30 @@ def emit(
 ) -> DataFrame:
     """The rows of ``docs`` as many times as ``mixed`` says, all columns kept.
 
-    Rows that share an id are matched to the mix one to one (by source, size).
+    The mix (two numbers a row) is broadcast up to ``BROADCAST_ROWS`` rows, else
+    joined by a shuffle.  Rows that share an id are matched to it one to one
+    (by source and size).
     """
-    rows = docs.withColumn("_mix_size", n_words(F.col(text)))
-    turn = Window.partitionBy(doc_id).orderBy(F.col(source).asc_nulls_last(), "_mix_size")
-    rows = rows.withColumn("_mix_turn", F.row_number().over(turn))
-    same = Window.partitionBy("doc_id").orderBy(F.col("source").asc_nulls_last(), "size")
-    copies = mixed.select(
-        F.col("doc_id").alias("_mix_id"), F.row_number().over(same).alias("_mix_nth"), F.col("copies").alias("_mix_n")
-    ).where("_mix_n > 0")
     columns = [F.col(c) for c in docs.columns]
-    return (
-        rows.join(copies, F.col(doc_id).eqNullSafe(F.col("_mix_id")) & (F.col("_mix_turn") == F.col("_mix_nth")))
-        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n").cast("int"))))
-        .select(*columns)
-    )
+    mixed = kept_lineage(mixed.select(F.col("doc_id").alias("_mix_id"), "source", "size", F.col("copies").alias("_mix_n")))
+    again = kept_lineage(mixed.groupBy("_mix_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("_mix_id").alias("_again")))
+    wanted = mixed.where("_mix_n > 0")
+    same = F.col(doc_id).eqNullSafe(F.col("_mix_id"))
+
+    def sized(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n").cast("int")))).select(*columns)
+
+    if not again.limit(1).count():
+        return repeated(docs.join(sized(wanted.select("_mix_id", "_mix_n")), same))
+    is_again, mix_again = F.col(doc_id).eqNullSafe(F.col("_again")), F.col("_mix_id").eqNullSafe(F.col("_again"))
+    once = docs.join(sized(again), is_again, "left_anti").join(sized(wanted.select("_mix_id", "_mix_n")), same)
+    turn = Window.partitionBy(doc_id).orderBy(F.col(source).asc_nulls_last(), n_words(F.col(text)))
+    nth = Window.partitionBy("_mix_id").orderBy(F.col("source").asc_nulls_last(), "size")
+    rows = docs.join(sized(again), is_again, "left_semi").withColumn("_mix_turn", F.row_number().over(turn))
+    numbered = mixed.join(sized(again), mix_again, "left_semi").withColumn("_mix_nth", F.row_number().over(nth))
+    numbered = numbered.where("_mix_n > 0").select("_mix_id", "_mix_n", "_mix_nth")
+    many = rows.join(numbered, same & (F.col("_mix_turn") == F.col("_mix_nth")))
+    return repeated(once).unionByName(repeated(many))
