@@ -114,7 +114,9 @@ def _noise(tag: str, attrs: dict, inside_main: bool):
     if tag in ("html", "body", "main", "article", "p") or tag in VOID:
         return False
     words = _WORD.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}")
-    return "name" if any(w.lower() in NOISE for w in words) else False
+    if not any(w.lower() in NOISE for w in words):
+        return False
+    return "name" if tag in BLOCK else "tag"  # inside a line there is no article to hold
 
 
 class Lines(HTMLParser):
@@ -197,6 +199,8 @@ class Lines(HTMLParser):
             self.end(node)
 
     def handle_data(self, data):
+        if self.open.out:
+            return
         self.parts.append(data)
         if self.counts["a"]:
             self.linked += len(data.strip())
