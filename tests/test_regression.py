@@ -164,3 +164,56 @@ def test_staged_durbin_watson_and_summaries(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "s" / "fit"))
     assert back.select("stage").distinct().count() == 4
     assert back.filter("stat = 'durbin_watson'").count() == 4
+
+
+def test_rank_does_not_depend_on_the_number_of_rows():
+    """Replicated rows scale R by a square root; an ill-conditioned design keeps its fit."""
+    from tidewater.operators.regression import _solve
+
+    rng = np.random.default_rng(3)
+    n = 20_000
+    x = np.column_stack([np.ones(n), np.exp(rng.normal(12, 2, n)), rng.integers(0, 2, n), rng.normal(0, 1e-2, n)])
+    y = x @ np.array([500.0, 0.02, 800.0, 300.0]) + rng.normal(0, 5, n)
+    r = np.linalg.qr(np.column_stack([x, y]), mode="r")
+    assert np.linalg.cond(x) > 1e6
+    first = _solve(r, 4)
+    for copies in (1e2, 1e4, 1e6):
+        coef, _, _, _, rank = _solve(r * np.sqrt(copies), 4)
+        assert rank == 4
+        np.testing.assert_allclose(coef, first[0], rtol=1e-9)
+    np.testing.assert_allclose(first[0], np.linalg.lstsq(x, y, rcond=None)[0], rtol=1e-6)
+
+
+def test_collinear_and_constant_columns_have_the_minimum_norm_fit():
+    from tidewater.operators.regression import _solve
+
+    rng = np.random.default_rng(4)
+    a, b = rng.normal(size=500), rng.normal(size=500)
+    x = np.column_stack([np.ones(500), a, 2 * a, b, np.full(500, 7.0), np.zeros(500)])
+    y = 1 + 3 * a - b + rng.normal(size=500)
+    coef, cov, _, _, rank = _solve(np.linalg.qr(np.column_stack([x, y]), mode="r"), 6)
+    assert rank == 3
+    pinv = np.linalg.pinv(x)
+    np.testing.assert_allclose(coef, pinv @ y, atol=1e-9)
+    np.testing.assert_allclose(cov, pinv @ pinv.T, atol=1e-9)
+
+
+def test_hash_split_takes_small_fractions_and_a_seed(spark):
+    df = spark.range(20_000).withColumnRenamed("id", "k")
+    sizes = [hash_split(df, "k", f)[1].count() for f in (0.004, 0.006)]
+    assert 50 < sizes[0] < 115 and 85 < sizes[1] < 160
+    other = hash_split(df, "k", 0.004, seed=1)[1]
+    assert other.join(hash_split(df, "k", 0.004)[1], "k").count() < 20
+
+
+def test_tails_and_moment_tests_at_known_values():
+    from tidewater.functions import stats
+
+    assert abs(stats.t_sf2(2.0, 10) - 0.07338803477074049) < 1e-12
+    assert abs(stats.t_ppf(0.975, 5) - 2.5705818366147395) < 1e-9
+    assert abs(stats.f_sf(3.0, 4, 20) - 0.04317277) < 1e-6
+    assert abs(stats.betainc(0.5, 0.5, 0.25) - 1 / 3) < 1e-13
+    assert abs(stats.betainc(2e6, 0.5, 0.999999) - (1 - stats.betainc(0.5, 2e6, 1e-6))) < 1e-12
+    assert abs(stats.skew_test_z(0.0, 50)) < 1e-12 and stats.skew_test_z(1.0, 50) > 2.5
+    assert stats.skew_test_z(-1.0, 50) == -stats.skew_test_z(1.0, 50)
+    assert stats.kurtosis_test_z(6.0, 200) > 3 > -2 > stats.kurtosis_test_z(2.0, 200)

@@ -122,3 +122,85 @@ def test_schema_drift(spark):
     assert schema_leaves(a) == [("s.x", "int"), ("s.y", "string")]
     got = {(r.leaf, r.n_runs) for r in schema_drift(spark, [a, b]).collect()}
     assert got == {("s.x", 2), ("s.y", 1)}
+
+
+def test_build_events_keeps_days_whose_trades_are_all_special(spark):
+    t = _trades(spark).withColumn("trade-stringflag", F.lit("special"))
+    base = (dt.datetime(2010, 3, 15, 15, 0) - dt.datetime(1899, 12, 30)).total_seconds() / 86400
+    q = spark.createDataFrame(pd.DataFrame({
+        "ticker": ["A"], "seq": [1], "xltime": [base], "bid-price": [1.0], "bid-volume": [1.0],
+        "ask-price": [2.0], "ask-volume": [1.0]}))
+    assert ticks.build_events(t, q).count() == 1
+
+
+def test_the_hour_that_comes_twice_stays_two_instants(spark):
+    """2010-11-07 in New York: 05:30 and 06:30 UTC are both 01:30."""
+    days = [(dt.datetime(2010, 11, 7, h, 30) - dt.datetime(1899, 12, 30)).total_seconds() / 86400 for h in (5, 6)]
+    pdf = pd.DataFrame({"ticker": ["A", "A"], "xltime": days, "trade-price": [10.0, 20.0], "trade-volume": [1.0, 3.0],
+                        "trade-rawflag": ["", ""], "trade-stringflag": ["uncategorized"] * 2})
+    out = ticks.clean_trades(spark.createDataFrame(pdf), hours_only=False).collect()
+    assert sorted(r.trade_price for r in out) == [10.0, 20.0]
+
+
+def test_hours_do_not_depend_on_the_session_zone(spark):
+    from tidewater.functions.time import local_hour
+
+    found = []
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            at = spark.range(1).select(F.timestamp_seconds(F.lit(1_700_000_000)).alias("t"))
+            found.append(tuple(at.select(local_hour("t", 0).alias("h"), between_time("t", "22:00", "23:00").alias("b")).first()))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == [(22, True), (22, True)]
+
+
+def test_scan_any_reads_every_format_and_reports_what_it_skips(spark, tmp_path):
+    df = spark.range(10).select("id", F.col("id").cast("string").alias("s")).coalesce(1)
+    files = []
+    for fmt in ("arrow", "parquet", "csv"):
+        write_table(df, str(tmp_path / fmt), fmt)
+        files += [str(p) for p in (tmp_path / fmt).iterdir() if p.suffix == f".{fmt}"]
+    assert scan_any(spark, files[:2]).count() == 20
+    assert scan_any(spark, files[:1]).select("source_file").distinct().count() == 1
+    uris = ["file://" + f for f in files]
+    (tmp_path / "bad.parquet").write_bytes(b"not parquet")
+    (tmp_path / "empty.csv").write_bytes(b"")
+    skipped = []
+    more = [str(tmp_path / "bad.parquet"), str(tmp_path / "empty.csv"), str(tmp_path / "none.csv"), "x.txt"]
+    out = scan_any(spark, uris + more, "id long, s string", skipped)
+    assert out.count() == 30 and {p for p, _ in skipped} == set(more)
+    assert scan_any(spark, more) is None
+
+
+def test_arrow_files_are_split_checked_and_committed_alone(spark, tmp_path):
+    from pyspark.errors import PySparkException
+
+    path = str(tmp_path / "a")
+    write_table(spark.range(10).coalesce(1), path, "arrow")
+    (tmp_path / "a" / "_staging-other").mkdir()
+    (tmp_path / "a" / "_staging-other" / "part-x.arrow").write_bytes(b"another job's")
+    write_table(spark.range(10, 30).repartition(3), path, "arrow")
+    assert (tmp_path / "a" / "_staging-other" / "part-x.arrow").exists()
+    assert sorted(r.id for r in read_table(spark, path, "arrow").collect()) == list(range(10, 30))
+    empty = str(tmp_path / "e")
+    write_table(spark.range(0), empty, "arrow")
+    assert read_table(spark, empty, "arrow").count() == 0
+    write_table(spark.range(3).select(F.col("id").cast("string")).coalesce(1), str(tmp_path / "b"), "arrow")
+    try:
+        read_table(spark, f"{path},{tmp_path / 'b'}", "arrow").count()
+    except PySparkException as e:
+        assert "another schema" in str(e)
+    else:
+        raise AssertionError("files of two schemas were read as one")
+
+
+def test_sized_join_measures_long_strings(spark):
+    from tidewater.operators.joins import measured, sized_join
+
+    small = spark.range(50).select("id", F.repeat(F.lit("x"), 10_000).alias("text"), F.array(F.lit("y" * 500)).alias("a"))
+    rows, size = measured(small)
+    assert rows == 50 and size > 50 * 10_500
+    plan = sized_join(spark.range(100), small, "id", max_bytes=100_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan

@@ -1,6 +1,7 @@
 """Time parsing and time-of-day helpers as Column expressions.
 
-All functions assume the session time zone is UTC (see ``session.py``).
+Instants (timestamps) are read in UTC whatever the session's time zone is;
+wall-clock times come from ``to_zone`` as if they were UTC (see ``session.py``).
 """
 
 from __future__ import annotations
@@ -33,12 +34,13 @@ def iso_text(ts: Column | str) -> Column:
 
 def local_hour(ts: Column | str, shift: int = -5) -> Column:
     """Hour of day after a fixed hour shift, wrapped into 0..23 (date is not moved)."""
-    return F.pmod(F.hour(_col(ts)) + F.lit(shift), F.lit(24)).cast("long")
+    hours = F.floor(micros_of_day(ts) / F.lit(3_600_000_000)).cast("int")
+    return F.pmod(hours + F.lit(shift), F.lit(24)).cast("long")
 
 
 def zone_hour(ts: Column | str, tz: str) -> Column:
     """Hour of day in a real time zone (daylight saving aware)."""
-    return F.hour(F.from_utc_timestamp(_col(ts), tz)).cast("long")
+    return local_hour(to_zone(ts, tz), 0)
 
 
 def serial_to_ts(c: Column | str) -> Column:
@@ -58,9 +60,8 @@ def to_zone(ts: Column | str, tz: str) -> Column:
 
 
 def micros_of_day(ts: Column | str) -> Column:
-    """Microseconds since local midnight of a (wall-clock) timestamp."""
-    ts = _col(ts).cast("timestamp")
-    return F.unix_micros(ts) - F.unix_micros(F.date_trunc("day", ts))
+    """Microseconds since midnight UTC of a timestamp."""
+    return F.pmod(F.unix_micros(_col(ts).cast("timestamp")), F.lit(MICROS_PER_DAY))
 
 
 def _hms_micros(text: str) -> int:

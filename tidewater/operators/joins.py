@@ -2,14 +2,14 @@
 
 A derived small side (a vocabulary, per-text scores, per-user values) has
 no reliable size estimate at planning time.  ``sized_join`` materialises it
-once into the shared checkpoint folder, counts its rows and broadcasts it
-only when the count times the row width stays under the limits; otherwise it
-falls back to a shuffle join, which works for any size.
+once into the shared checkpoint folder, measures its rows and bytes (strings,
+binaries and arrays by their real lengths) and broadcasts it only within the
+limits; otherwise it falls back to a shuffle join, which works for any size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,19 +19,27 @@ BROADCAST_MAX_ROWS = 5_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
-def _type_width(t: T.DataType) -> int:
-    if isinstance(t, T.StructType):
-        return sum(_type_width(f.dataType) for f in t.fields)
-    if isinstance(t, (T.ArrayType, T.MapType)):
-        return 64
+def _bytes(c: Column, t: T.DataType) -> Column:
+    """Bytes of a value; nested values by their own lengths (NULL counts like a number)."""
     if isinstance(t, (T.StringType, T.BinaryType)):
-        return 64
-    return 8
-
-
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema (strings and arrays counted at 64 bytes)."""
-    return max(8, sum(_type_width(f.dataType) for f in df.schema.fields))
+        size = F.octet_length(c).cast("long")
+    elif isinstance(t, T.ArrayType):
+        size = F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + _bytes(x, t.elementType))
+    elif isinstance(t, T.MapType):
+        pairs = T.ArrayType(T.StructType([T.StructField("key", t.keyType), T.StructField("value", t.valueType)]))
+        size = _bytes(F.map_entries(c), pairs)
+    elif isinstance(t, T.StructType):
+        size = sum((_bytes(c.getField(f.name), f.dataType) for f in t.fields), F.lit(0).cast("long"))
+    else:
+        return F.lit(8).cast("long")
+    return F.coalesce(size, F.lit(0).cast("long")) + 16
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a table."""
+    width = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return row["n"], row["b"]
 
 
 def sized_join(
@@ -46,7 +54,7 @@ def sized_join(
     """``big.join(small)``; ``small`` broadcast only if its measured size is within bounds."""
     if materialize:
         small = cut_lineage(small)
-    n = small.count()
-    if n <= max_rows and n * row_width(small) <= max_bytes:
+    rows, size = measured(small)
+    if rows <= max_rows and size <= max_bytes:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

@@ -68,8 +68,8 @@ def _tsqr_many(data: DataFrame, specs: list[ModelSpec]) -> list[np.ndarray]:
     """R factor of [1, X, y] of every model, all from one scan of ``data``.
 
     Each task keeps one (k+2)x(k+2) triangle per model over its own masked
-    rows; with at most ``TREE_FANOUT`` tasks the triangles go to the driver,
-    otherwise they are merged per model on a ``TREE_FANOUT``-way tree first.
+    rows; they are merged per model on a ``TREE_FANOUT``-way tree, and the
+    driver merges what that leaves.
     """
     widths = [len(sp.terms) + 2 for sp in specs]
 
@@ -100,10 +100,7 @@ def _tsqr_many(data: DataFrame, specs: list[ModelSpec]) -> list[np.ndarray]:
         return pd.DataFrame({"model": [i], "r": [r.ravel().tolist()], "m": [r.shape[0]]})
 
     partial = data.mapInPandas(per_task, "model int, b int, r array<double>, m int")
-    if data.rdd.getNumPartitions() <= TREE_FANOUT:
-        rows = partial.select("model", "r", "m").collect()  # at most 64 small triangles per model
-    else:
-        rows = partial.groupBy("model", "b").applyInPandas(merge, "model int, r array<double>, m int").collect()
+    rows = partial.groupBy("model", "b").applyInPandas(merge, "model int, r array<double>, m int").collect()
     out = []
     for i, w in enumerate(widths):
         blocks = [np.asarray(r["r"], dtype=np.float64).reshape(r["m"], w) for r in rows if r["model"] == i]
@@ -189,26 +186,41 @@ def _linear(coef: np.ndarray, terms: list[str]) -> Column:
 def _solve(r: np.ndarray, k1: int):
     if r.shape[0] < k1 + 1:
         r = np.vstack([r, np.zeros((k1 + 1 - r.shape[0], k1 + 1))])
-    rx, z = r[:k1, :k1], r[:k1, k1]
-    u, s, vt = np.linalg.svd(rx)
-    s_max = s.max() if s.size else 0.0
-    # The first design column is all ones, so R[0, 0]^2 is the row count.
-    n = float(r[0, 0] ** 2)
-    keep = s > s_max * max(n, k1) * np.finfo(np.float64).eps
-    s_inv = np.where(keep, 1.0 / np.where(keep, s, 1.0), 0.0)
-    pinv_r = (vt.T * s_inv) @ u.T
-    # Centred total sum of squares: the design's first column is all ones, so
-    # R's first row carries sqrt(n)*ybar and the rest of y's column is y - ybar.
+    # The design's first column is all ones, so R's first row holds sqrt(n) and
+    # sqrt(n) * mean of each column, and the triangle below is that of the
+    # centred columns.  The rank is decided on the centred columns scaled to
+    # length one: it depends neither on the row count nor on units.
+    k, root_n, eps = k1 - 1, r[0, 0], np.finfo(np.float64).eps
+    singular = np.linalg.svd(r[:k1, :k1], compute_uv=False)
     ycol = r[1 : k1 + 1, k1]
-    return pinv_r @ z, pinv_r @ pinv_r.T, s, float(np.dot(ycol, ycol))
-
-
-def _assemble(sp: ModelSpec, coef, cov_unscaled, s, centered_tss, mom: dict[str, float], diagnostics: bool) -> OLSFit:
-    k1 = len(sp.terms) + 1
+    tss = float(np.dot(ycol, ycol))
+    if root_n == 0:
+        return np.zeros(k1), np.zeros((k1, k1)), singular, tss, 0
+    means = r[0, 1:k1] / root_n
+    centred, target = r[1:k1, 1:k1], r[1:k1, k1]
+    length = np.linalg.norm(centred, axis=0)
+    varies = length > k1 * eps * np.linalg.norm(r[:k1, 1:k1], axis=0)
+    scale = np.where(varies, length, 1.0)
+    u, s, vt = np.linalg.svd(np.where(varies, centred / scale, 0.0))
+    keep = s > k1 * eps * max(1.0, s.max(initial=0.0))
+    inverse = (vt.T * np.where(keep, 1.0 / np.where(keep, s, 1.0), 0.0)) @ u.T / scale[:, None]
+    slopes = inverse @ target
+    to_all = np.vstack([-means, np.eye(k)])  # slopes to (intercept, slopes) of the centred fit
+    coef = to_all @ slopes
+    coef[0] += r[0, k1] / root_n
+    cov = to_all @ (inverse @ inverse.T) @ to_all.T
+    cov[0, 0] += 1.0 / root_n**2
+    # What the design cannot tell apart is shared out by minimum norm.
+    null = to_all @ (vt[~keep].T / scale[:, None])
+    if null.shape[1]:
+        q = np.linalg.qr(null / np.linalg.norm(null, axis=0))[0]
+        project = np.eye(k1) - q @ q.T
+        coef, cov = project @ coef, project @ cov @ project
+    return coef, cov, singular, tss, 1 + int(keep.sum())
+
+
+def _assemble(sp: ModelSpec, coef, cov_unscaled, s, centered_tss, rank: int, mom: dict[str, float], diagnostics: bool) -> OLSFit:
     n = int(mom["n"])
-    s_max = s.max() if s.size else 0.0
-    rank_tol = s_max * max(n, k1) * np.finfo(np.float64).eps
-    rank = int((s > rank_tol).sum())
     df_resid = float(n - rank)
     df_model = float(rank - 1)
     ssr = mom["s2"]
@@ -273,20 +285,19 @@ def ols_many(df: DataFrame, specs: list[ModelSpec], diagnostics: bool = True) ->
         aggs += [F.count(e).alias(f"n{i}")] + [F.sum(e ** p).alias(f"s{p}_{i}") for p in (1, 2, 3, 4)]
     row = data.agg(*aggs).first()
     fits = {}
-    for i, (sp, e, (coef, cov, s, tss)) in enumerate(zip(specs, eff, solved)):
+    for i, (sp, e, (coef, cov, s, tss, rank)) in enumerate(zip(specs, eff, solved)):
         mom = {"n": float(row[f"n{i}"] or 0)}
         mom.update({f"s{p}": float(row[f"s{p}_{i}"] or 0.0) for p in (1, 2, 3, 4)})
-        fits[sp.name] = _assemble(sp, coef, cov, s, tss, mom, diagnostics)
+        fits[sp.name] = _assemble(sp, coef, cov, s, tss, rank, mom, diagnostics)
     return fits
 
 
 def ols(df: DataFrame, response: str, terms: list[str] | None = None, drop: tuple[str, ...] = (), diagnostics: bool = True) -> OLSFit:
     """Least squares of ``response`` on ``terms`` with an intercept.
 
-    Minimum-norm solution through the pseudo-inverse, so rank-deficient
-    designs fit; singular values at or below ``max * max(n, k) * eps`` are
-    cut, and the rank counts the ones above (the same tolerance for both,
-    so collinear columns give the same answer whatever the row order).  Rows with a
+    Minimum-norm solution, so rank-deficient designs fit.  The rank is that of
+    the centred columns scaled to length one (singular values above ``k * eps``),
+    so it is the same for any number of rows and any units.  Rows with a
     NULL, NaN or infinite value in any used column are left out.
     """
     if terms is None:
@@ -463,17 +474,24 @@ def score(df: DataFrame, fit: OLSFit) -> dict[str, float]:
     return {"n": float(row["n"]), "mse": mse, "rmse": math.sqrt(mse) if mse == mse else mse, "rmse_original": math.sqrt(mse_o) if mse_o == mse_o else mse_o}
 
 
-def split_bucket(key: Column) -> Column:
-    """Bucket 0..99 of a key: first 32 bits of md5 of its text form."""
-    return F.pmod(F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("long"), F.lit(100)).cast("int")
+def split_place(key: Column, seed: int = 0) -> Column:
+    """Place of a key in [0, 2**32): first 32 bits of md5 of its text form (and the seed, unless 0)."""
+    text = key.cast("string") if seed == 0 else F.concat(F.lit(f"{seed}:"), key.cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def split_cut(fraction: float) -> int:
+    """Keys below this place are the given fraction of all places."""
+    return int(round(fraction * 2**32))
 
 
-def hash_split(df: DataFrame, key: str | Column, validation_fraction: float = 0.2) -> tuple[DataFrame, DataFrame]:
+def hash_split(
+    df: DataFrame, key: str | Column, validation_fraction: float = 0.2, seed: int = 0
+) -> tuple[DataFrame, DataFrame]:
     """Deterministic (train, validation) split by key hash; stable across partitionings."""
     key = F.col(key) if isinstance(key, str) else key
-    cut = int(round(validation_fraction * 100))
-    b = split_bucket(key)
-    return df.filter(b >= cut), df.filter(b < cut)
+    place, cut = split_place(key, seed), split_cut(validation_fraction)
+    return df.filter(place >= cut), df.filter(place < cut)
 
 
 def discarded(before: OLSFit, after_terms: list[str]) -> int:

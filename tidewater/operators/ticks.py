@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import between_time, serial_to_ts, to_zone
@@ -26,22 +26,28 @@ def regular_trades(df: DataFrame, flag: str = "trade-stringflag", value: str = "
 
 
 def with_local_time(df: DataFrame, tz: str = "America/New_York", source: str = "xltime") -> DataFrame:
-    """Replace serial days by ``ts`` (exchange wall-clock time)."""
-    return df.withColumn("ts", to_zone(serial_to_ts(F.col(source)), tz)).drop(source)
+    """Replace serial days by ``utc`` (the instant) and ``ts`` (exchange wall-clock time)."""
+    return df.withColumn("utc", serial_to_ts(F.col(source))).withColumn("ts", to_zone(F.col("utc"), tz)).drop(source)
 
 
-def merge_sub_trades(df: DataFrame, keys: tuple[str, ...] = ("ticker", "ts")) -> DataFrame:
-    """One row per timestamp: mean price, total volume."""
-    return df.groupBy(*keys).agg(
-        F.avg("trade-price").alias("trade_price"),
-        F.sum("trade-volume").alias("trade_volume"),
-    )
+def _per_instant(df: DataFrame, keys: tuple[str, ...], aggs: list[Column], instant: str) -> DataFrame:
+    """Groups by key and instant: on the day clocks go back, an hour's wall-clock
+    times come twice and stay two rows."""
+    if instant not in df.columns:
+        return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*keys, instant).agg(*aggs).drop(instant)
 
 
-def merge_sub_quotes(df: DataFrame, seq: str = "seq", keys: tuple[str, ...] = ("ticker", "ts"), values: tuple[str, ...] = QUOTE_VALUES) -> DataFrame:
-    """One row per timestamp: per column, the last non-null value in ``seq`` order."""
+def merge_sub_trades(df: DataFrame, keys: tuple[str, ...] = ("ticker", "ts"), instant: str = "utc") -> DataFrame:
+    """One row per instant: mean price, total volume."""
+    aggs = [F.avg("trade-price").alias("trade_price"), F.sum("trade-volume").alias("trade_volume")]
+    return _per_instant(df, keys, aggs, instant)
+
+
+def merge_sub_quotes(df: DataFrame, seq: str = "seq", keys: tuple[str, ...] = ("ticker", "ts"), values: tuple[str, ...] = QUOTE_VALUES, instant: str = "utc") -> DataFrame:
+    """One row per instant: per column, the last non-null value in ``seq`` order."""
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in values]
-    return df.groupBy(*keys).agg(*aggs)
+    return _per_instant(df, keys, aggs, instant)
 
 
 def clean_trades(
@@ -80,7 +86,7 @@ def clean_quotes(
         df = df.filter(between_time(F.col("ts"), open_time, close_time))
     if merge:
         return merge_sub_quotes(df, seq)
-    return df.drop(seq)
+    return df.drop(seq, "utc")
 
 
 def merge_events(trades: DataFrame, quotes: DataFrame, keys: tuple[str, ...] = ("ticker", "ts")) -> DataFrame:
@@ -91,15 +97,20 @@ def merge_events(trades: DataFrame, quotes: DataFrame, keys: tuple[str, ...] = (
 def build_events(trades: DataFrame, quotes: DataFrame, **clean_kwargs) -> DataFrame:
     """Cleaned trades + quotes merged per ticker and day; days lacking either side are skipped.
 
+    A side is there if its table has any row of the ticker and day, whatever
+    cleaning leaves of it: a day whose trades are all special keeps its quotes.
     Day presence is a pair of semi joins on (ticker, date), so no per-day
     driver loop is needed.
     """
-    t = clean_trades(trades, **clean_kwargs.get("trades", {}))
-    q = clean_quotes(quotes, **clean_kwargs.get("quotes", {}))
-    t = t.withColumn("date", F.to_date("ts"))
-    q = q.withColumn("date", F.to_date("ts"))
-    t_days = t.select("ticker", "date").distinct()
-    q_days = q.select("ticker", "date").distinct()
+    t_options, q_options = clean_kwargs.get("trades", {}), clean_kwargs.get("quotes", {})
+    t = clean_trades(trades, **t_options).withColumn("date", F.to_date("ts"))
+    q = clean_quotes(quotes, **q_options).withColumn("date", F.to_date("ts"))
+
+    def days(raw: DataFrame, options: dict) -> DataFrame:
+        zone = {"tz": options["tz"]} if "tz" in options else {}
+        return with_local_time(raw, **zone).select("ticker", F.to_date("ts").alias("date")).distinct()
+
+    t_days, q_days = days(trades, t_options), days(quotes, q_options)
     t = t.join(q_days, ["ticker", "date"], "left_semi").drop("date")
     q = q.join(t_days, ["ticker", "date"], "left_semi").drop("date")
     return merge_events(t, q, ("ticker", "ts")).withColumn("date", F.to_date("ts"))

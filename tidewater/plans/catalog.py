@@ -192,7 +192,10 @@ def q_multi_hot(spark, sf_dir):
 def q_dummy_columns(spark, sf_dir):
     vocab = _vocab(spark, sf_dir)
     p = _posts(spark, sf_dir)
-    return p.select("id", *labels.dummy_columns(names_of("context_annotations"), vocab))
+    wide = p.select("id", *labels.dummy_columns(names_of("context_annotations"), vocab))
+    names = wide.columns[1:]
+    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("int").alias("x")) for n in names]))
+    return wide.select("id", cells.alias("c")).select("id", "c.name", "c.x")
 
 
 def q_clean_name(spark, sf_dir):
@@ -241,8 +244,10 @@ def _features(spark, sf_dir):
 
 
 def q_build_features(spark, sf_dir):
-    f = _features(spark, sf_dir)
-    return f.withColumn("tweet_sentiment", F.round("tweet_sentiment", ROUND))
+    f = _features(spark, sf_dir).withColumn("tweet_sentiment", F.round("tweet_sentiment", ROUND))
+    dummies = sorted(c for c in f.columns if c.startswith("dummy_"))
+    text = F.concat_ws(",", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in dummies])
+    return f.select(*[c for c in f.columns if c not in dummies], text.alias("dummies"))
 
 
 # ---------------------------------------------------------------- transforms and summaries
@@ -267,8 +272,9 @@ def q_threshold(spark, sf_dir):
 
 def q_hash_split(spark, sf_dir):
     m = _metrics(spark, sf_dir)
-    b = regression.split_bucket(F.col("id"))
-    return m.select("id", b.alias("bucket"), F.when(b < 20, F.lit("validation")).otherwise(F.lit("train")).alias("split"))
+    place = regression.split_place(F.col("id"))
+    part = F.when(place < regression.split_cut(0.004), F.lit("validation")).otherwise(F.lit("train"))
+    return m.select("id", place.alias("place"), part.alias("split"))
 
 
 def q_summary_stats(spark, sf_dir):

@@ -188,9 +188,9 @@ trades AS (
 ),
 clean_t AS (
   SELECT ticker, ts, avg(price) AS trade_price, sum(volume) AS trade_volume FROM (
-    SELECT ticker, {LOCAL_FROM_SERIAL} AS ts, price, volume FROM trades WHERE flag = 'uncategorized')
+    SELECT ticker, xltime, {LOCAL_FROM_SERIAL} AS ts, price, volume FROM trades WHERE flag = 'uncategorized')
   WHERE {IN_HOURS}
-  GROUP BY ticker, ts
+  GROUP BY ticker, ts, round(xltime * 86400e6)
 )"""
 
 QUOTES = f"""
@@ -278,7 +278,7 @@ SELECT CAST(p.impression_count AS DOUBLE) AS actual,
        round(g.b0 + g.b1 * p.like_count + g.b2 * p.reply_count, 4) AS predicted FROM posts p, g"""
 
 
-BUCKET = "CAST(('0x' || substr(md5(id), 1, 8))::BIGINT % 100 AS INTEGER)"
+PLACE = "CAST(('0x' || substr(md5(id), 1, 8)) AS BIGINT)"
 
 AUTHORED = """
 authors AS (
@@ -301,10 +301,10 @@ long AS (
 
 
 def _events_sql(select: str, tail: str) -> str:
-    """Trades and quotes of (ticker, day)s present on both sides, full outer joined."""
+    """Trades and quotes of (ticker, day)s with raw rows on both sides, full outer joined."""
     return _with(TICKERS, TRADES, QUOTES) + (
-        ", days AS (SELECT DISTINCT ticker, CAST(ts AS DATE) AS d FROM clean_t "
-        "INTERSECT SELECT DISTINCT ticker, CAST(ts AS DATE) AS d FROM clean_q),"
+        f", days AS (SELECT DISTINCT ticker, CAST({LOCAL_FROM_SERIAL} AS DATE) AS d FROM trades "
+        f"INTERSECT SELECT DISTINCT ticker, CAST({LOCAL_FROM_SERIAL} AS DATE) AS d FROM quotes),"
         " t2 AS (SELECT * FROM clean_t c WHERE EXISTS (SELECT 1 FROM days WHERE days.ticker = c.ticker AND days.d = CAST(c.ts AS DATE))),"
         " q2 AS (SELECT * FROM clean_q c WHERE EXISTS (SELECT 1 FROM days WHERE days.ticker = c.ticker AND days.d = CAST(c.ts AS DATE)))\n"
         + select + " FROM t2 t FULL OUTER JOIN q2 q ON t.ticker = q.ticker AND t.ts = q.ts" + tail
@@ -315,14 +315,14 @@ CLEAN = "regexp_replace(regexp_replace(lower({x}), '[^A-Za-z0-9_]+', '', 'g'), '
 
 
 def _dummy_columns() -> str:
-    """Dummy columns via a dynamic PIVOT (the column names depend on the data)."""
+    """Dummy cells as rows; the column names depend on the data."""
     return _with(POSTS, COUNTS, VOCAB) + f""",
 base AS (SELECT row_number() OVER () AS rn, id, labels FROM posts),
 cells AS (
   SELECT b.rn, b.id, 'dummy_' || {CLEAN.format(x="v.label")} AS name, CAST(list_contains(b.labels, v.label) AS INTEGER) AS x
   FROM base b, vocab v
 )
-SELECT * EXCLUDE (rn) FROM (PIVOT cells ON name USING max(x) GROUP BY rn, id)"""
+SELECT id, name, max(x) AS x FROM cells GROUP BY rn, id, name"""
 
 
 def _build_features() -> str:
@@ -354,8 +354,9 @@ cells AS (
   SELECT rn, {feature_cols}, 'dummy_' || {CLEAN.format(x="v.label")} AS name,
          CAST(list_contains(glabels, v.label) AS INTEGER) AS x
   FROM feats, vocab v
-)
-SELECT * EXCLUDE (rn) FROM (PIVOT cells ON name USING max(x) GROUP BY rn, {feature_cols})"""
+),
+named AS (SELECT rn, {feature_cols}, name, max(x) AS x FROM cells GROUP BY ALL)
+SELECT {feature_cols}, string_agg(name || '=' || x, ',' ORDER BY name) AS dummies FROM named GROUP BY rn, {feature_cols}"""
 
 
 def oracles() -> dict[str, str]:
@@ -446,7 +447,7 @@ def oracles() -> dict[str, str]:
     q["expm1_col"] = _with(POSTS) + "SELECT id, round(exp(ln(1 + impression_count)) - 1, 3) AS impression_count FROM posts"
     q["threshold"] = _with(POSTS) + "SELECT id, impression_count FROM posts WHERE impression_count >= 100"
     q["hash_split"] = _with(POSTS) + (
-        f"SELECT id, {BUCKET} AS bucket, CASE WHEN {BUCKET} < 20 THEN 'validation' ELSE 'train' END AS split FROM posts"
+        f"SELECT id, {PLACE} AS place, CASE WHEN {PLACE} < round(0.004 * 4294967296) THEN 'validation' ELSE 'train' END AS split FROM posts"
     )
     q["summary_stats"] = _with(POSTS) + (
         "SELECT count(*) AS n, CAST(min(impression_count) AS DOUBLE) AS min_value, CAST(max(impression_count) AS DOUBLE) AS max_value, "

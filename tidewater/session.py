@@ -39,11 +39,14 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tidew
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is configured by the operator and must be on
-    shared storage; it is only filled in here when unset (local runs, tests).
+    On a cluster the folder must be configured, on shared storage; it is only
+    filled in here when the master is local (tests), where one machine runs all.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)

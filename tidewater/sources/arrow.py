@@ -1,8 +1,11 @@
 """Arrow IPC files as a Spark data source (Python Data Source API).
 
-Read: one input partition per file, record batches streamed straight from
-the file (no row-at-a-time conversion).  Write: every task writes its Arrow
-batches to one IPC file under the target folder (optionally compressed).
+Paths may be local or URIs of a store that ``pyarrow.fs`` opens (``file://``,
+``hdfs://``, ``s3://``, ``gs://``); several are separated by commas, the last
+part may hold wildcards.  Read: a file is split into ranges of record batches of
+about ``SPLIT_BYTES``; files with another schema than the first are refused.
+Write: every task attempt writes one IPC file into the job's own staging folder,
+and the commit moves those of the successful attempts into place.
 Register once per session with ``register_arrow(spark)``; then
 ``spark.read.format("arrowipc").load(path_or_glob)`` and
 ``df.write.format("arrowipc").mode("overwrite").save(folder)``.
@@ -10,8 +13,9 @@ Register once per session with ``register_arrow(spark)``; then
 
 from __future__ import annotations
 
-import glob
+import fnmatch
 import os
+import posixpath
 import uuid
 from dataclasses import dataclass
 
@@ -23,105 +27,152 @@ from pyspark.sql.datasource import (
     InputPartition,
     WriterCommitMessage,
 )
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 FORMAT = "arrowipc"
+SPLIT_BYTES = 64 << 20
+FILE_COLUMN = "source_file"
+
+
+def _store(path: str):
+    """(file system, path in it) of a local path or URI."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else os.path.abspath(path))
+
+
+def _listed(path: str) -> list[str]:
+    """The ``.arrow`` files of a folder, the file itself, or what a pattern matches."""
+    from pyarrow import fs
+
+    store, inner = _store(path)
+    info = store.get_file_info(inner)
+    if info.type == fs.FileType.File:
+        return [path]
+    folder, pattern = (path, "*.arrow") if info.type == fs.FileType.Directory else posixpath.split(path)
+    store, inner = _store(folder)
+    found = store.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+    names = sorted(f.base_name for f in found if f.type == fs.FileType.File and fnmatch.fnmatch(f.base_name, pattern))
+    return [f"{folder.rstrip('/')}/{n}" for n in names]
 
 
 def _files(path: str) -> list[str]:
-    out: list[str] = []
-    for part in path.split(","):
-        part = part.strip()
-        if os.path.isdir(part):
-            out.extend(sorted(glob.glob(os.path.join(part, "*.arrow"))))
-        else:
-            out.extend(sorted(glob.glob(part)))
-    return out
+    return [f for part in path.split(",") for f in _listed(part.strip())]
 
 
 def _open(path: str):
+    """(reader, is a file with random access)."""
     import pyarrow as pa
     import pyarrow.ipc as ipc
 
-    source = pa.memory_map(path, "r")
+    store, inner = _store(path)
     try:
-        return ipc.open_file(source)
+        return ipc.open_file(store.open_input_file(inner)), True
     except pa.ArrowInvalid:
-        return ipc.open_stream(pa.memory_map(path, "r"))
+        return ipc.open_stream(store.open_input_stream(inner)), False
 
 
-class _FilePartition(InputPartition):
-    def __init__(self, path: str):
+class _Batches(InputPartition):
+    def __init__(self, path: str, first: int, last: int):
         super().__init__(path)
-        self.path = path
+        self.path, self.first, self.last = path, first, last
 
 
 class ArrowReader(DataSourceReader):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
+    def __init__(self, paths: list[str], with_file: bool):
+        self.paths, self.with_file = paths, with_file
 
     def partitions(self):
-        return [_FilePartition(p) for p in self.paths]
+        schema, parts = None, []
+        for path in self.paths:
+            reader, random_access = _open(path)
+            if schema is not None and not reader.schema.equals(schema):
+                raise ValueError(f"{path} has another schema than {self.paths[0]}")
+            schema = reader.schema
+            if not random_access:  # a stream is read from its start
+                parts.append(_Batches(path, 0, -1))
+                continue
+            store, inner = _store(path)
+            n = reader.num_record_batches
+            step = max(1, n * SPLIT_BYTES // max(SPLIT_BYTES, store.get_file_info(inner).size))
+            parts += [_Batches(path, i, min(n, i + step)) for i in range(0, n, step)]
+        return parts
 
     def read(self, partition):
-        reader = _open(partition.path)
-        if hasattr(reader, "num_record_batches"):
-            for i in range(reader.num_record_batches):
-                yield reader.get_batch(i)
-        else:
-            yield from reader
+        import pyarrow as pa
+
+        reader, random_access = _open(partition.path)
+        batches = (reader.get_batch(i) for i in range(partition.first, partition.last)) if random_access else reader
+        for batch in batches:
+            if self.with_file:
+                names = pa.array([partition.path] * batch.num_rows, pa.string())
+                batch = pa.RecordBatch.from_arrays([*batch.columns, names], names=[*batch.schema.names, FILE_COLUMN])
+            yield batch
 
 
 @dataclass
 class _Written(WriterCommitMessage):
-    path: str
+    name: str
     rows: int
 
 
 class ArrowWriter(DataSourceArrowWriter):
-    """Each task attempt writes its own file; the driver keeps only committed ones.
+    """Task attempts write into a staging folder of this job; only the driver's commit
+    touches the target, so other writers' files and failed attempts do not mix."""
+
+    def __init__(self, folder: str, schema: StructType, compression: str | None, overwrite: bool):
+        self.folder, self.compression, self.overwrite = folder.rstrip("/"), compression, overwrite
+        self.schema = schema
+        self.staging = f"_staging-{uuid.uuid4().hex}"
 
-    A lost or retried task can leave a partial file from its failed attempt;
-    ``commit`` removes every ``.arrow`` file the committed attempts did not
-    report, and ``abort`` removes what the job wrote.
-    """
+    def _options(self):
+        import pyarrow.ipc as ipc
 
-    def __init__(self, folder: str, compression: str | None, existing: frozenset[str] = frozenset()):
-        self.folder = folder
-        self.compression = compression
-        self.existing = existing
+        return ipc.IpcWriteOptions(compression=self.compression) if self.compression else None
 
     def commit(self, messages):
-        keep = {m.path for m in messages if m is not None and m.path}
-        for f in glob.glob(os.path.join(self.folder, "*.arrow")):
-            if f not in keep and f not in self.existing:
-                os.remove(f)
+        import pyarrow.ipc as ipc
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        store, root = _store(self.folder)
+        store.create_dir(root, recursive=True)
+        old = [_store(f)[1] for f in _listed(self.folder)] if self.overwrite else []
+        written = [m.name for m in messages if m is not None and m.name]
+        for name in written:
+            store.move(f"{root}/{self.staging}/{name}", f"{root}/{name}")
+        if not written and (self.overwrite or not _listed(self.folder)):
+            with ipc.new_file(store.open_output_stream(f"{root}/part-empty.arrow"), to_arrow_schema(self.schema)):
+                pass
+            old = [f for f in old if not f.endswith("/part-empty.arrow")]
+        for path in old:
+            store.delete_file(path)
+        self.abort(messages)
 
     def abort(self, messages):
-        for f in glob.glob(os.path.join(self.folder, "*.arrow")):
-            if f not in self.existing:
-                os.remove(f)
+        from pyarrow import fs
+
+        store, root = _store(self.folder)
+        if store.get_file_info(f"{root}/{self.staging}").type == fs.FileType.Directory:
+            store.delete_dir(f"{root}/{self.staging}")
 
     def write(self, iterator):
-        import pyarrow as pa
         import pyarrow.ipc as ipc
         from pyspark import TaskContext
 
-        os.makedirs(self.folder, exist_ok=True)
-        ctx = TaskContext.get()
-        name = f"part-{ctx.partitionId():05d}-{uuid.uuid4().hex[:12]}.arrow"
-        path = os.path.join(self.folder, name)
-        rows = 0
-        writer = None
-        opts = ipc.IpcWriteOptions(compression=self.compression) if self.compression else None
+        store, root = _store(self.folder)
+        name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:12]}.arrow"
+        rows, writer = 0, None
         for batch in iterator:
             if writer is None:
-                writer = ipc.new_file(pa.OSFile(path, "wb"), batch.schema, options=opts)
+                store.create_dir(f"{root}/{self.staging}", recursive=True)
+                sink = store.open_output_stream(f"{root}/{self.staging}/{name}")
+                writer = ipc.new_file(sink, batch.schema, options=self._options())
             writer.write_batch(batch)
             rows += batch.num_rows
         if writer is not None:
             writer.close()
-        return _Written(path if writer is not None else "", rows)
+            sink.close()
+        return _Written(name if writer is not None else "", rows)
 
 
 class ArrowDataSource(DataSource):
@@ -129,24 +180,23 @@ class ArrowDataSource(DataSource):
     def name(cls):
         return FORMAT
 
+    def _with_file(self) -> bool:
+        return self.options.get("with_file", "false") == "true"
+
     def schema(self):
         from pyspark.sql.pandas.types import from_arrow_schema
 
         files = _files(self.options.get("path", ""))
         if not files:
             raise FileNotFoundError(f"no Arrow files at {self.options.get('path')!r}")
-        return from_arrow_schema(_open(files[0]).schema)
+        schema = from_arrow_schema(_open(files[0])[0].schema)
+        return StructType([*schema.fields, StructField(FILE_COLUMN, StringType())]) if self._with_file() else schema
 
     def reader(self, schema: StructType):
-        return ArrowReader(_files(self.options.get("path", "")))
+        return ArrowReader(_files(self.options.get("path", "")), self._with_file())
 
     def writer(self, schema: StructType, overwrite: bool):
-        folder = self.options.get("path")
-        if overwrite and folder and os.path.isdir(folder):
-            for f in glob.glob(os.path.join(folder, "*.arrow")):
-                os.remove(f)
-        existing = frozenset(glob.glob(os.path.join(folder, "*.arrow"))) if folder else frozenset()
-        return ArrowWriter(folder, self.options.get("compression"), existing)
+        return ArrowWriter(self.options["path"], schema, self.options.get("compression"), overwrite)
 
 
 def register_arrow(spark: SparkSession) -> None:

@@ -8,7 +8,6 @@ scan.  File provenance comes from the ``_metadata.file_path`` column.
 from __future__ import annotations
 
 import datetime as dt
-import os
 from collections import Counter
 from functools import reduce
 
@@ -38,8 +37,12 @@ def read_table(
     schema: StructType | str | None = None,
     header: bool = True,
     sep: str = ",",
+    with_file: bool = False,
 ) -> DataFrame:
-    """Flat table by format: parquet, csv (plain or .gz), tsv, json, arrow."""
+    """Flat table by format: parquet, csv (plain or .gz), tsv, json, arrow.
+
+    ``with_file`` adds ``source_file`` to Arrow tables, which have no file metadata.
+    """
     fmt = fmt.lower()
     if fmt == "parquet":
         r = spark.read
@@ -53,7 +56,7 @@ def read_table(
         return (r.schema(schema) if schema else r).json(path)
     if fmt == "arrow":
         register_arrow(spark)
-        return spark.read.format(ARROW_FORMAT).load(path)
+        return spark.read.format(ARROW_FORMAT).option("with_file", str(with_file).lower()).load(path)
     raise ValueError(f"unknown format {fmt!r}")
 
 
@@ -77,33 +80,63 @@ def format_of(path: str) -> str | None:
     return None
 
 
-def scan_any(spark: SparkSession, paths: list[str], schema: StructType | str | None = None) -> DataFrame | None:
-    """Read files of mixed formats, chosen by suffix; missing, unreadable or empty input yields nothing.
+def _file_size(spark: SparkSession, path: str) -> int | None:
+    """Bytes of a file or of all files below a folder, in any store that Spark reads; None if missing."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.getContentSummary(where).getLength() if store.exists(where) else None
+
+
+def _scan_files(spark: SparkSession, fmt: str, files: list[str], schema: StructType | str | None) -> DataFrame:
+    if fmt == "arrow":
+        return read_table(spark, ",".join(files), "arrow", with_file=True)
+    r = spark.read.option("ignoreMissingFiles", "true")
+    if fmt == "csv":
+        r = r.option("header", True)
+        df = (r.schema(schema) if schema else r.option("inferSchema", True)).csv(files)
+    else:
+        df = (r.schema(schema) if schema else r).parquet(*files)
+    return df.withColumn("source_file", F.col("_metadata.file_path"))
+
+
+def _readable(spark: SparkSession, fmt: str, file: str, schema: StructType | str | None) -> str | None:
+    """None if the file's layout can be read, else why not."""
+    try:
+        _scan_files(spark, fmt, [file], schema).limit(1).collect()
+    except Exception as e:  # any reader's error is the reason that is reported
+        return str(e).split("\n")[0][:200]
+    return None
+
 
-    Files are grouped per format (one scan each) and unioned by name, with a
-    ``source_file`` column.  Returns None when no file could be read.
+def scan_any(
+    spark: SparkSession,
+    paths: list[str],
+    schema: StructType | str | None = None,
+    skipped: list[tuple[str, str]] | None = None,
+) -> DataFrame | None:
+    """Read files of mixed formats, chosen by suffix; missing, unreadable or empty files are left out.
+
+    Paths may be in any store that Spark reads.  Files are grouped per format
+    (one scan each) and unioned by name, with a ``source_file`` column.  If a
+    file's first row cannot be read, only that file is left out.  ``skipped`` receives ``(path, reason)`` of every file
+    left out.  Returns None when no file could be read.
     """
+    skipped = [] if skipped is None else skipped
     by_fmt: dict[str, list[str]] = {}
     for p in paths:
-        fmt = format_of(p)
-        if fmt and os.path.exists(p) and os.path.getsize(p) > 0:
+        fmt, size = format_of(p), _file_size(spark, p)
+        if fmt is None or not size:
+            skipped.append((p, "unknown format" if fmt is None else "missing" if size is None else "empty"))
+        else:
             by_fmt.setdefault(fmt, []).append(p)
     frames = []
     for fmt, files in sorted(by_fmt.items()):
-        try:
-            if fmt == "arrow":
-                df = read_table(spark, ",".join(files), "arrow")
-            else:
-                r = spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-                if fmt == "csv":
-                    r = r.option("header", True)
-                    r = r.schema(schema) if schema else r.option("inferSchema", True)
-                    df = r.csv(files)
-                else:
-                    df = (r.schema(schema) if schema else r).parquet(*files)
-            frames.append(df.withColumn("source_file", F.col("_metadata.file_path")))
-        except Exception:  # unreadable group: skipped, like a missing file
-            continue
+        reasons = {f: _readable(spark, fmt, f, schema) for f in files}
+        skipped += [(f, why) for f, why in reasons.items() if why]
+        good = [f for f, why in reasons.items() if why is None]
+        if good:
+            frames.append(_scan_files(spark, fmt, good, schema))
     if not frames:
         return None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -111,7 +144,7 @@ def scan_any(spark: SparkSession, paths: list[str], schema: StructType | str | N
 
 def scan_glob(spark: SparkSession, pattern: str, fmt: str = "parquet", schema: StructType | str | None = None) -> DataFrame:
     """Many files by glob pattern as one table, with ``source_file`` provenance."""
-    df = read_table(spark, pattern, fmt, schema)
+    df = read_table(spark, pattern, fmt, schema, with_file=True)
     if fmt == "arrow":
         return df
     return df.withColumn("source_file", F.col("_metadata.file_path"))
