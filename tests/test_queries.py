@@ -23,12 +23,12 @@ def test_entry_runs(spark):
     assert df.columns[-1] == "followers_count"
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.LLM_QUERIES)))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF001).toPandas()
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(sdf) >= 0
+        assert len(sdf) > 0 and not sdf.isna().all().any()
         return
     odf = con.execute(sql).fetchdf()
     assert digest(sdf)[:3] == digest(odf)[:3]

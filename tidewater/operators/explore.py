@@ -20,11 +20,11 @@ def metric_series(df: DataFrame, x: str, ys: list[str]) -> DataFrame:
     return long.filter((F.col("x") > 0) & (F.col("y") > 0))
 
 
-def metric_regressions(df: DataFrame, x: str, ys: list[str], log: bool = True) -> DataFrame:
+def metric_regressions(df: DataFrame, x: str, ys: list[str], log: bool = False) -> DataFrame:
     """(metric, n, slope, intercept, r2): straight-line fit of each metric on ``x``.
 
-    ``log`` fits on log10 of both axes (the plots' log scales), keeping
-    positive pairs only.  One partial aggregate per metric group.
+    The fit is on the values themselves; ``log`` fits log10 of both axes
+    instead, keeping positive pairs only.  One partial aggregate per metric.
     """
     series = metric_series(df, x, ys) if log else df.select(
         F.col(x).cast("double").alias("x"), *[F.col(y).cast("double").alias(y) for y in ys]

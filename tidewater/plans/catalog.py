@@ -18,12 +18,14 @@ from ..functions.text import clean_name, sentiment_score, star_label, text_lengt
 from ..functions.time import between_time, local_hour, micros_of_day, parse_ts, serial_to_ts, to_zone
 from ..operators import explore, labels, posts, regression, ticks
 from ..session import ensure_checkpoint_dir
+from ..sources import readers
 from . import views
 from .features import build_features
 from .staged import log1p_all, staged_regression
 
 K = 14
 ROUND = 6
+ALL_METRICS = ["following_count", "tweet_count", "retweet_count", "reply_count", "like_count", "quote_count", "impression_count"]
 METRICS = ["retweet_count", "reply_count", "like_count", "quote_count", "impression_count"]
 
 
@@ -270,6 +272,27 @@ def q_threshold(spark, sf_dir):
     return posts.threshold(_metrics(spark, sf_dir), "impression_count", lo=100).select("id", "impression_count")
 
 
+def q_threshold_range(spark, sf_dir):
+    m = posts.threshold(_metrics(spark, sf_dir), "impression_count", lo=5_000, hi=20_000)
+    return m.select("id", "impression_count")
+
+
+def q_rename_cast_select(spark, sf_dir):
+    """Positional rename, casts that give NULL where a value does not convert, a subset of columns."""
+    m = _metrics(spark, sf_dir).select("id", "author_id", "like_count")
+    m = posts.cast_columns(posts.rename(m, ["post", "author", "likes"]), ["author", "likes"], "int")
+    m = posts.cast_columns(m.withColumn("number", F.col("post")), ["number"], "int")
+    return posts.select_terms(m, ["author", "number"], "likes")
+
+
+def q_json_pages(spark, sf_dir):
+    """Pages written as JSON lines and scanned with the fixed schema: posts per page."""
+    path = _scratch(spark, "pages-json")
+    _pages(spark, sf_dir).drop("page_id").write.mode("overwrite").json(path)
+    back = readers.read_pages(spark, path)
+    return posts.posts(back).select("id", "author_id", "created_at", "lang")
+
+
 def q_hash_split(spark, sf_dir):
     m = _metrics(spark, sf_dir)
     place = regression.split_place(F.col("id"))
@@ -291,8 +314,20 @@ def q_metric_series(spark, sf_dir):
 
 
 def q_metric_regressions(spark, sf_dir):
-    r = explore.metric_regressions(_authored(spark, sf_dir), "followers_count", METRICS)
-    return r.select("metric", "n", *[F.round(c, ROUND).alias(c) for c in ("slope", "intercept", "r2")])
+    r = explore.metric_regressions(_authored(spark, sf_dir), "followers_count", ALL_METRICS)
+    return r.select("metric", "n", *[(F.round(c, ROUND) + 0.0).alias(c) for c in ("slope", "intercept", "r2")])
+
+
+def q_metric_regressions_few_views(spark, sf_dir):
+    """The same for posts below the first decile of impressions."""
+    few = posts.threshold(_authored(spark, sf_dir), "impression_count", hi=10_000)
+    r = explore.metric_regressions(few, "followers_count", ALL_METRICS)
+    return r.select("metric", "n", *[(F.round(c, ROUND) + 0.0).alias(c) for c in ("slope", "intercept", "r2")])
+
+
+def q_metric_regressions_log(spark, sf_dir):
+    r = explore.metric_regressions(_authored(spark, sf_dir), "followers_count", METRICS, log=True)
+    return r.select("metric", "n", *[(F.round(c, ROUND) + 0.0).alias(c) for c in ("slope", "intercept", "r2")])
 
 
 def q_log_histogram(spark, sf_dir):
@@ -319,7 +354,33 @@ def q_ols_fit(spark, sf_dir):
 
 def q_ols_inference(spark, sf_dir):
     _, fit = _two_regressor_fit(spark, sf_dir)
-    return fit.coef_df(spark)
+    c = fit.coef_df(spark)
+    return c.select("term", *[F.round(x, 4).alias(x) for x in c.columns if x != "term"])
+
+
+def q_significant_terms(spark, sf_dir):
+    _, fit = _two_regressor_fit(spark, sf_dir)
+    return spark.createDataFrame([(t,) for t in regression.significant_terms(fit)], "term string")
+
+
+def q_discarded_terms(spark, sf_dir):
+    _, fit = _two_regressor_fit(spark, sf_dir)
+    return spark.createDataFrame([(regression.discarded(fit, regression.significant_terms(fit)),)], "n int")
+
+
+def q_holdout_score(spark, sf_dir):
+    """Fit on the train part of the split, errors on its validation part."""
+    train, valid = regression.hash_split(_metrics(spark, sf_dir), "id", 0.2)
+    found = regression.score(valid, regression.ols(train, "impression_count", ["like_count", "reply_count"]))
+    rows = [(k, float(found[k])) for k in ("n", "mse", "rmse")]
+    return spark.createDataFrame(rows, "stat string, value double").withColumn("value", F.round("value", 3))
+
+
+def q_durbin_watson(spark, sf_dir):
+    """In the order of the post id; posts that share one in the order of their residuals."""
+    m, fit = _two_regressor_fit(spark, sf_dir)
+    value = regression.durbin_watson(m, fit, ["id"])
+    return spark.createDataFrame([(value,)], "durbin_watson double").withColumn("durbin_watson", F.round("durbin_watson", 4))
 
 
 def q_predict_score(spark, sf_dir):
@@ -346,7 +407,8 @@ def q_staged_fit(spark, sf_dir):
 
 def q_coef_table(spark, sf_dir):
     _, fit = _two_regressor_fit(spark, sf_dir)
-    return regression.coef_table(fit, spark)
+    c = regression.coef_table(fit, spark)
+    return c.select(*[F.round(x, 4).alias(x) if x not in ("term", "label") else F.col(x) for x in c.columns])
 
 
 def q_star_labels(spark, sf_dir):

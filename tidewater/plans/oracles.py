@@ -215,10 +215,11 @@ clean_q AS (
 )"""
 
 
-def _two_regressor() -> str:
+def _two_regressor(where: str = "TRUE") -> str:
     """Closed-form OLS of impression_count on like_count and reply_count."""
-    return _with(POSTS) + """,
-m AS (SELECT CAST(impression_count AS DOUBLE) AS y, CAST(like_count AS DOUBLE) AS x1, CAST(reply_count AS DOUBLE) AS x2 FROM posts),
+    return _with(POSTS) + f""",
+m AS (SELECT CAST(impression_count AS DOUBLE) AS y, CAST(like_count AS DOUBLE) AS x1, CAST(reply_count AS DOUBLE) AS x2
+      FROM posts WHERE {where}),
 mu AS (SELECT count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2 FROM m),
 s AS (
   SELECT any_value(n) AS n, any_value(my) AS my, any_value(m1) AS m1, any_value(m2) AS m2,
@@ -252,6 +253,41 @@ SELECT term, round(coef, 4) AS coef, round(se, 4) AS std_err, round(coef / se, 4
   UNION ALL SELECT 'reply_count', b2, sqrt(v2) FROM g)"""
 
 
+def _inference() -> str:
+    """Coefficients with two-sided t tails (Simpson's rule) and 95% intervals (expansion in 1/df)."""
+    z = 1.959963984540054
+    return _two_regressor() + f""",
+c AS (
+  SELECT 'Intercept' AS term, b0 AS coef, sqrt(sigma2 / n + m1 * m1 * v1 + m2 * m2 * v2 + 2 * m1 * m2 * c12) AS se, n - 3.0 AS df FROM g
+  UNION ALL SELECT 'like_count', b1, sqrt(v1), n - 3.0 FROM g
+  UNION ALL SELECT 'reply_count', b2, sqrt(v2), n - 3.0 FROM g),
+q AS (
+  SELECT *, least(abs(coef / se), 40.0) AS a,
+         {z} + ({z ** 3 + z}) / (4 * df) + ({5 * z ** 5 + 16 * z ** 3 + 3 * z}) / (96 * df * df)
+             + ({3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z}) / (384 * df * df * df) AS tq
+  FROM c),
+area AS (
+  SELECT term, sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+                   * exp(-(df + 1) / 2 * ln(1 + (a * i / 4000) * (a * i / 4000) / df))) * a / 12000 AS x
+  FROM q, range(4001) r(i) GROUP BY term, a, df),
+inf AS (
+  SELECT q.term, coef, se, coef / se AS t,
+         greatest(0.0, 1 - 2 * x * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi())) AS p,
+         coef - tq * se AS lo, coef + tq * se AS hi
+  FROM q JOIN area ON area.term = q.term),
+labelled AS (
+  SELECT *, CASE term WHEN 'Intercept' THEN 'Intercept' WHEN 'like_count' THEN 'Like Count' ELSE 'Reply Count' END
+            || CASE WHEN p <= 0.01 THEN ' ***' WHEN p <= 0.05 THEN ' **' WHEN p <= 0.1 THEN ' *' ELSE '' END AS label
+  FROM inf)
+"""
+
+
+INFERRED = (
+    "term, round(coef, 4) AS coef, round(se, 4) AS std_err, round(t, 4) AS t, round(p, 4) AS p_value, "
+    "round(lo, 4) AS ci_low, round(hi, 4) AS ci_high"
+)
+
+
 def _ols_fit() -> str:
     return _two_regressor() + """,
 h AS (SELECT *, 1 - ssr / syy AS r2, -n / 2.0 * (ln(2 * pi()) + ln(ssr / n) + 1) AS llf FROM g)
@@ -454,10 +490,20 @@ def oracles() -> dict[str, str]:
         "round(stddev_pop(impression_count), 4) AS stddev_pop FROM posts"
     )
     q["metric_series"] = _with(POSTS, PAGE_USERS, AUTHORED) + "SELECT x, metric, y FROM long WHERE x > 0 AND y > 0"
-    q["metric_regressions"] = _with(POSTS, PAGE_USERS, AUTHORED) + (
-        "SELECT metric, count(*) AS n, round(regr_slope(log10(y), log10(x)), 6) AS slope, "
-        "round(regr_intercept(log10(y), log10(x)), 6) AS intercept, round(regr_r2(log10(y), log10(x)), 6) AS r2 "
-        "FROM long WHERE x > 0 AND y > 0 GROUP BY metric"
+    per_metric = "regr_slope({y}, {x}), 6) + 0.0 AS slope, round(regr_intercept({y}, {x}), 6) + 0.0 AS intercept, round(regr_r2({y}, {x}), 6) + 0.0 AS r2 "
+    all_metrics = (
+        ", every AS (SELECT CAST(followers_count AS DOUBLE) AS x, metric, CAST(v AS DOUBLE) AS y FROM {source} UNPIVOT (v FOR metric IN "
+        "(following_count, tweet_count, retweet_count, reply_count, like_count, quote_count, impression_count))) "
+    )
+    linear = "SELECT metric, count(*) AS n, round(" + per_metric.format(y="y", x="x") + "FROM every WHERE x IS NOT NULL GROUP BY metric"
+    q["metric_regressions"] = _with(POSTS, PAGE_USERS, AUTHORED) + all_metrics.format(source="authored") + linear
+    q["metric_regressions_few_views"] = (
+        _with(POSTS, PAGE_USERS, AUTHORED) + ", few AS (SELECT * FROM authored WHERE impression_count < 10000)"
+        + all_metrics.format(source="few") + linear
+    )
+    q["metric_regressions_log"] = _with(POSTS, PAGE_USERS, AUTHORED) + (
+        "SELECT metric, count(*) AS n, round(" + per_metric.format(y="log10(y)", x="log10(x)")
+        + "FROM long WHERE x > 0 AND y > 0 GROUP BY metric"
     )
     q["log_histogram"] = _with(POSTS, PAGE_USERS, AUTHORED) + (
         "SELECT metric, CAST(floor(log10(v)) AS BIGINT) AS bucket, count(*) AS n FROM ("
@@ -466,6 +512,31 @@ def oracles() -> dict[str, str]:
         "WHERE v > 0 GROUP BY ALL"
     )
     q["ols_coef"] = _ols_coef()
+    q["ols_inference"] = _inference() + f"SELECT {INFERRED} FROM labelled"
+    q["coef_table"] = _inference() + f"SELECT {INFERRED}, label, round(coef - lo, 4) AS error FROM labelled"
+    q["star_labels"] = _inference() + "SELECT term, label FROM labelled"
+    q["significant_terms"] = _inference() + "SELECT term FROM labelled WHERE p < 0.05 AND term <> 'Intercept'"
+    q["discarded_terms"] = _inference() + (
+        "SELECT CAST(3 - count(*) FILTER (p < 0.05 AND term <> 'Intercept') AS INTEGER) AS n FROM labelled"
+    )
+    cut = round(0.2 * 2**32)
+    q["holdout_score"] = _two_regressor(f"{PLACE} >= {cut}") + f""",
+e AS (
+  SELECT power(p.impression_count - (g.b0 + g.b1 * p.like_count + g.b2 * p.reply_count), 2) AS e2
+  FROM posts p, f g WHERE {PLACE.replace("id", "p.id")} < {cut})
+SELECT stat, round(value, 3) AS value FROM (
+  SELECT 'n' AS stat, CAST(count(*) AS DOUBLE) AS value FROM e
+  UNION ALL SELECT 'mse', avg(e2) FROM e UNION ALL SELECT 'rmse', sqrt(avg(e2)) FROM e)"""
+    q["durbin_watson"] = _two_regressor() + """,
+e AS (
+  SELECT p.id, p.impression_count - (g.b0 + g.b1 * p.like_count + g.b2 * p.reply_count) AS e FROM posts p, f g),
+d AS (SELECT e, e - lag(e) OVER (ORDER BY id, e) AS step FROM e)
+SELECT round(sum(step * step) / sum(e * e), 4) AS durbin_watson FROM d"""
+    q["threshold_range"] = _with(POSTS) + "SELECT id, impression_count FROM posts WHERE impression_count >= 5000 AND impression_count < 20000"
+    q["rename_cast_select"] = _with(POSTS) + (
+        "SELECT CAST(author_id AS INTEGER) AS author, TRY_CAST(id AS INTEGER) AS number, CAST(like_count AS INTEGER) AS likes FROM posts"
+    )
+    q["json_pages"] = _with(POSTS) + "SELECT id, author_id, created_at, lang FROM posts"
     q["ols_fit"] = _ols_fit()
     q["predict_score"] = _predict()
     q["actual_vs_predicted"] = _actual_vs_predicted()
