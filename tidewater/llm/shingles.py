@@ -14,7 +14,7 @@ import numpy as np
 
 WORDS = 5
 #: Bytes of text that are hashed together; a longer text is hashed alone.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _COMBINE = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
