@@ -121,7 +121,7 @@ def q_known_labels(spark, sf_dir):
     vocab = _vocab(spark, sf_dir)
     p = _posts(spark, sf_dir)
     known = labels.known_labels(names_of("context_annotations"), vocab)
-    return p.select("id", F.array_join(known, ",").alias("known"), F.size(known).alias("n_known"))
+    return p.select("id", F.array_join(known, ",").alias("known"), F.coalesce(F.size(known), F.lit(0)).alias("n_known"))
 
 
 # ---------------------------------------------------------------- scalar features

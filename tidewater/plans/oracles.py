@@ -22,28 +22,40 @@ K = 14
 METRICS = ["retweet_count", "reply_count", "like_count", "quote_count", "impression_count"]
 
 POSTS = r"""
+parts AS MATERIALIZED (
+  SELECT p_partkey, p_type, p_brand,
+         CASE WHEN p_size % 4 = 0 THEN list_sort([p_brand, 'Size ' || p_size])
+              ELSE list_sort(list_distinct(list_concat(string_split(p_name, ' '), [p_brand]))) END AS names
+  FROM part),
+docs AS MATERIALIZED (SELECT doc_id, lang || '' AS lang, text || '' AS text FROM documents),
+line AS MATERIALIZED (
+  SELECT *, (l_orderkey * 7 + l_linenumber) % (SELECT CAST(floor((max(doc_id) + 1) * 1.05) AS BIGINT) FROM documents) AS place
+  FROM lineitem),
 posts AS (
   SELECT l.l_orderkey AS page_id,
          CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS id,
          CAST(o.o_custkey AS VARCHAR) AS author_id,
-         strftime(l.l_shipdate, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS created_at,
+         strftime(l.l_shipdate + to_minutes(l.l_partkey % 24 * 60 + l.l_suppkey % 60), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS created_at,
          d.doc_id AS doc_id,
          d.lang AS lang,
          d.text AS text,
-         list_distinct(string_split(p.p_name, ' ')) AS labels,
+         CASE WHEN l.l_tax > 0 THEN p.names END AS labels,
          p.p_type AS domain,
-         CAST(floor(l.l_extendedprice * (1 - l.l_discount)) AS BIGINT) AS impression_count,
+         CASE WHEN l.l_linenumber = 7 THEN CAST(floor(l.l_extendedprice * (1 - l.l_discount)) AS BIGINT) % 150
+              ELSE CAST(floor(l.l_extendedprice * (1 - l.l_discount)) AS BIGINT) END AS impression_count,
          CAST(l.l_quantity AS BIGINT) AS like_count,
          CAST(l.l_linenumber AS BIGINT) AS quote_count,
          CAST(round(l.l_discount * 100) AS BIGINT) AS reply_count,
          CAST(round(l.l_tax * 100) AS BIGINT) AS retweet_count,
-         regexp_extract_all(d.text, '#(\w+)', 1) AS hashtags,
-         regexp_extract_all(d.text, '@(\w+)', 1) AS mentions,
-         regexp_extract_all(d.text, '(https?://[^\s]+)', 1) AS urls
-  FROM lineitem l
+         CASE WHEN d.doc_id IS NULL OR l.l_returnflag = 'N' THEN NULL WHEN l.l_returnflag = 'R' THEN [p.p_brand, p.p_type]
+              ELSE [p.p_type] END AS hashtags,
+         CASE WHEN d.doc_id IS NOT NULL AND l.l_linestatus = 'F' THEN ['supplier' || l.l_suppkey] END AS mentions,
+         CASE WHEN d.doc_id IS NULL THEN 0 ELSE l.l_linenumber % 3 END AS n_urls,
+         CASE WHEN d.doc_id IS NOT NULL AND l.l_linenumber % 3 > 0 AND l.l_returnflag = 'R' THEN 1 ELSE 0 END AS n_media
+  FROM line l
   JOIN orders o ON o.o_orderkey = l.l_orderkey
-  JOIN part p ON p.p_partkey = l.l_partkey
-  LEFT JOIN documents d ON d.doc_id = l.l_suppkey
+  JOIN parts p ON p.p_partkey = l.l_partkey
+  LEFT JOIN docs d ON d.doc_id = l.place
 )"""
 
 COUNTS = """
@@ -355,7 +367,7 @@ def _dummy_columns() -> str:
     return _with(POSTS, COUNTS, VOCAB) + f""",
 base AS (SELECT row_number() OVER () AS rn, id, labels FROM posts),
 cells AS (
-  SELECT b.rn, b.id, 'dummy_' || {CLEAN.format(x="v.label")} AS name, CAST(list_contains(b.labels, v.label) AS INTEGER) AS x
+  SELECT b.rn, b.id, 'dummy_' || {CLEAN.format(x="v.label")} AS name, CAST(coalesce(list_contains(b.labels, v.label), false) AS INTEGER) AS x
   FROM base b, vocab v
 )
 SELECT id, name, max(x) AS x FROM cells GROUP BY rn, id, name"""
@@ -372,8 +384,8 @@ feats AS (
   SELECT row_number() OVER () AS rn, p.impression_count,
          CAST(coalesce(len(p.hashtags), 0) AS BIGINT) AS hashtags_count,
          CAST(coalesce(len(p.mentions), 0) AS BIGINT) AS mentions_count,
-         CAST(0 AS BIGINT) AS tweet_medias_count,
-         CAST(coalesce(len(p.urls), 0) AS BIGINT) AS tweet_external_urls_count,
+         CAST(p.n_media AS BIGINT) AS tweet_medias_count,
+         CAST(p.n_urls - p.n_media AS BIGINT) AS tweet_external_urls_count,
          CAST((hour(CAST(substr(p.created_at, 1, 19) AS TIMESTAMP)) - 5 + 24) % 24 AS BIGINT) AS tweet_period,
          round(coalesce(sm.s, 0.0) / sqrt(coalesce(sm.s, 0.0) * coalesce(sm.s, 0.0) + {SQUASH_ALPHA}), 6) AS tweet_sentiment,
          CAST(length(p.text) AS BIGINT) AS tweet_length,
@@ -437,15 +449,15 @@ def oracles() -> dict[str, str]:
     )
     q["known_labels"] = _with(POSTS, COUNTS, VOCAB) + (
         "SELECT id, array_to_string(list_sort(list_intersect(labels, vlist.v)), ',') AS known, "
-        "CAST(len(list_intersect(labels, vlist.v)) AS INTEGER) AS n_known FROM posts, vlist"
+        "CAST(coalesce(len(list_intersect(labels, vlist.v)), 0) AS INTEGER) AS n_known FROM posts, vlist"
     )
     q["array_counts"] = _with(POSTS) + (
         "SELECT id, CAST(coalesce(len(hashtags), 0) AS BIGINT) AS hashtags_count, "
-        "CAST(coalesce(len(mentions), 0) AS BIGINT) AS mentions_count, CAST(coalesce(len(urls), 0) AS BIGINT) AS urls_count FROM posts"
+        "CAST(coalesce(len(mentions), 0) AS BIGINT) AS mentions_count, CAST(n_urls AS BIGINT) AS urls_count FROM posts"
     )
     q["media_counts"] = _with(POSTS) + (
-        "SELECT id, CAST(0 AS BIGINT) AS n_media_keys, CAST(0 AS BIGINT) AS tweet_medias_count, "
-        "CAST(coalesce(len(urls), 0) AS BIGINT) AS tweet_external_urls_count FROM posts"
+        "SELECT id, CAST(n_media AS BIGINT) AS n_media_keys, CAST(n_media AS BIGINT) AS tweet_medias_count, "
+        "CAST(n_urls - n_media AS BIGINT) AS tweet_external_urls_count FROM posts"
     )
     q["text_length"] = "SELECT doc_id, CAST(length(text) AS BIGINT) AS tweet_length FROM documents"
     q["local_hour"] = (

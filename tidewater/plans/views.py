@@ -9,13 +9,16 @@ page  = one order; ``data`` = its line items as posts (NULL when the order has
         no lines), ``includes.users[0]`` = the ordering customer,
         ``__twarc.retrieved_at`` = the order date.
 post  = one line item: ``id`` = ``<orderkey>-<linenumber>`` (not unique in the
-        data), ``author_id`` = customer key, ``created_at`` = ship date,
-        ``text``/``lang`` = the document whose ``doc_id`` is the line's
-        supplier key, hashtags / mentions / urls = ``#tag`` / ``@name`` /
-        ``http(s)://`` spans of that text, ``context_annotations`` = the words
-        of the part name (domain = part type), counters from the line
-        (impressions = net revenue, likes = quantity, replies = discount
-        points, retweets = tax points, quotes = line number).
+        data), ``author_id`` = customer key, ``created_at`` = ship date with an
+        hour and minute from the part and supplier keys, ``text``/``lang`` = a
+        document chosen by the line's keys (all documents are used; one line in
+        21 has none, and no entities either), hashtags = part brand and type by
+        return flag, mentions = supplier by line status, urls = none to two by
+        line number, some of them media, ``context_annotations`` = the words of
+        the part name and its brand, or brand and size (domain = part type; NULL
+        where the tax is 0), counters from the line (impressions = net revenue,
+        small for 7th lines; likes = quantity, replies = discount points,
+        retweets = tax points, quotes = line number).
 user  = one customer: followers = floor(account balance), following =
         nation key, listed = 0, posts = floor(order total / 1000) (varies by
         page, so deduplication has to choose one).
@@ -41,22 +44,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Span patterns of entities inside a post text.
-HASHTAG_PATTERN = r"#(\w+)"
-MENTION_PATTERN = r"@(\w+)"
-URL_PATTERN = r"(https?://[^\s]+)"
+def _entities() -> F.Column:
+    """hashtags, mentions and urls of a line, each NULL, empty or filled."""
+    flag, tag = F.col("l_returnflag"), lambda c: F.struct(F.col(c).alias("tag"))
+    hashtags = F.when(flag == "R", F.array(tag("p_brand"), tag("p_type"))).when(flag == "A", F.array(tag("p_type")))
+    name = F.struct(F.concat(F.lit("supplier"), F.col("l_suppkey").cast("string")).alias("username"))
+    mentions = F.when(F.col("l_linestatus") == "F", F.array(name)).when(flag == "A", F.filter(F.array(name), lambda _: F.lit(False)))
 
+    def url(i: F.Column) -> F.Column:
+        address = F.concat(F.lit("https://t.example/"), F.col("l_partkey").cast("string"), F.lit("/"), i.cast("string"))
+        media = F.when((i == 1) & (flag == "R"), F.lit("m1")).when((i == 1) & (flag == "A"), F.lit(""))
+        return F.struct(address.alias("url"), media.alias("media_key"))
 
-def text_entities(text: F.Column) -> F.Column:
-    """Entities struct (hashtags, mentions, urls) extracted from a text."""
-    return F.struct(
-        F.transform(F.regexp_extract_all(text, F.lit(HASHTAG_PATTERN), 1), lambda t: F.struct(t.alias("tag"))).alias("hashtags"),
-        F.transform(F.regexp_extract_all(text, F.lit(MENTION_PATTERN), 1), lambda t: F.struct(t.alias("username"))).alias("mentions"),
-        F.transform(
-            F.regexp_extract_all(text, F.lit(URL_PATTERN), 1),
-            lambda u: F.struct(u.alias("url"), F.lit(None).cast("string").alias("media_key")),
-        ).alias("urls"),
-    )
+    count = F.col("l_linenumber") % 3
+    urls = F.when(count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), url))
+    return F.struct(hashtags.alias("hashtags"), mentions.alias("mentions"), urls.alias("urls"))
 
 
 def post_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,23 +66,21 @@ def post_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The narrow line items are hash-partitioned by order key first; part and
     document data are attached after that exchange (broadcast when their
-    measured size allows), so the grouping by order reuses the partitioning
-    and the post texts are never shuffled.
+    measured size allows), so the grouping by order reuses the partitioning.
     """
     from ..operators.joins import sized_join
 
+    documents = table(spark, sf_dir, "documents")
+    places = int(documents.agg(F.floor((F.max("doc_id") + 1) * 1.05)).first()[0] or 1)
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
+        "l_extendedprice", "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus",
+        F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.lit(places)).alias("doc_id"),
     ).repartition("l_orderkey")
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type")
-    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("doc_id"))
-    docs = (
-        table(spark, sf_dir, "documents")
-        .join(suppliers, "doc_id", "left_semi")
-        .select(F.col("doc_id").alias("l_suppkey"), "text", "lang", text_entities(F.col("text")).alias("entities"))
-    )
-    words = F.split(F.col("p_name"), " ")
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_brand", "p_size")
+    docs = documents.select("doc_id", "text", "lang", F.lit(True).alias("has_doc"))
+    named = F.when(F.col("p_size") % 4 == 0, F.array("p_brand", F.concat(F.lit("Size "), F.col("p_size").cast("string"))))
+    words = named.otherwise(F.concat(F.split(F.col("p_name"), " "), F.array("p_brand")))
     annotations = F.transform(
         words,
         lambda w: F.struct(
@@ -88,18 +88,21 @@ def post_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(w.alias("name")).alias("entity"),
         ),
     )
-    joined = sized_join(sized_join(li, part, "l_partkey", "inner"), docs, "l_suppkey", "left")
+    joined = sized_join(sized_join(li, part, "l_partkey", "inner"), docs, "doc_id", "left")
+    minutes = F.col("l_partkey") % 24 * 60 + F.col("l_suppkey") % 60
+    shipped = F.timestamp_micros(F.unix_micros(F.col("l_shipdate").cast("timestamp")) + minutes * 60_000_000)
+    revenue = F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("long")
     return joined.select(
         F.col("l_orderkey"),
         F.struct(
             F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
-            iso_text("l_shipdate").alias("created_at"),
+            iso_text(shipped).alias("created_at"),
             F.col("lang"),
             F.col("text"),
-            F.col("entities"),
-            annotations.alias("context_annotations"),
+            F.when(F.col("has_doc"), _entities()).alias("entities"),
+            F.when(F.col("l_tax") > 0, annotations).alias("context_annotations"),
             F.struct(
-                F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("long").alias("impression_count"),
+                F.when(F.col("l_linenumber") == 7, revenue % 150).otherwise(revenue).alias("impression_count"),
                 F.col("l_quantity").cast("long").alias("like_count"),
                 F.col("l_linenumber").cast("long").alias("quote_count"),
                 F.round(F.col("l_discount") * 100).cast("long").alias("reply_count"),
@@ -193,7 +196,7 @@ def _tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STORED: dict[tuple[str, str], str] = {}
-PAGE_DICTIONARY_BYTES = 16 << 20
+PAGE_DICTIONARY_BYTES = 64 << 20
 
 
 def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +215,7 @@ def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = ensure_checkpoint_dir(spark).rstrip("/")
         tag = hashlib.md5(key[1].encode()).hexdigest()[:10]
         path = f"{root}/tidewater-pages-{tag}-{key[0]}"
-        # Post texts repeat (reposts; here a supplier's document on each of its
+        # Post texts repeat (reposts; here a document on each of its
         # lines).  A 16 MB dictionary page keeps such columns dictionary-encoded
         # (the 1 MB default falls back to plain pages: 26x larger files, 5x
         # slower text scans); the cap bounds writer memory per column.
