@@ -24,23 +24,23 @@ from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK = 1 << 18
-MEMORY = 64 << 20
+BLOCK = 1 << 16
+MEMORY = 32 << 20
 #: More names than this are sorted in memory instead of by buckets.
 MAX_BUCKETS = 1 << 9
-LIMIT = 1 << 30
+LIMIT = 1 << 29
 
 
 class Queues:
     """First-in first-out queues of (position, common prefix), one per character."""
 
-    def __init__(self, memory: int = MEMORY):
-        self.memory, self.held = memory, 0
+    def __init__(self, memory: int, kind: type):
+        self.memory, self.held, self.kind = memory, 0, kind
         self.blocks: dict[int, list] = {}
         self.file = None
 
     def put(self, char: int, positions: np.ndarray, prefixes: np.ndarray) -> None:
-        block = np.array([positions, prefixes])
+        block = np.array([positions, prefixes], self.kind)
         self.blocks.setdefault(char, []).append(block)
         self.held += block.nbytes
         if self.held > self.memory:
@@ -61,7 +61,7 @@ class Queues:
             return block
         at, n = block
         self.file.seek(at)
-        return np.fromfile(self.file, np.int64, 2 * n).reshape(2, n)
+        return np.fromfile(self.file, self.kind, 2 * n).reshape(2, n)
 
     def _joined(self, blocks: list, down: bool = False) -> Iterator[np.ndarray]:
         """Blocks in order, small ones joined up to about ``BLOCK`` tuples."""
@@ -87,14 +87,20 @@ class Queues:
         yield from self._joined(self.blocks.get(char, []), down)
 
 
+def places(text: np.ndarray) -> type:
+    """The integers that hold a position of the text."""
+    return np.int32 if len(text) < 1 << 30 else np.int64
+
+
 def types(text: np.ndarray) -> np.ndarray:
     """True for S suffixes: smaller than the suffix after them."""
     n = len(text)
-    rise = np.zeros(n, np.int8)
-    rise[:-1] = np.sign(text[1:].astype(np.int64) - text[:-1])
-    rise[-1] = 1
-    at = np.flatnonzero(rise)
-    return rise[at[np.searchsorted(at, np.arange(n))]] > 0
+    smaller = np.ones(n, bool)
+    np.less(text[:-1], text[1:], out=smaller[:-1])
+    differ = np.ones(n, bool)
+    np.not_equal(text[:-1], text[1:], out=differ[:-1])
+    place = np.where(differ, np.arange(n, dtype=places(text)), n)
+    return smaller[np.minimum.accumulate(place[::-1])[::-1]]
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
@@ -170,7 +176,8 @@ def induce(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, prefixes: np.nda
         return int(common_prefix(text, np.array([a]), np.array([b]), limit)[0])
 
     # Upwards: L suffixes, induced from smaller L suffixes and LMS suffixes.
-    waiting, large = Queues(memory), Queues(memory)
+    kind = places(text)
+    waiting, large = Queues(memory, kind), Queues(memory, kind)
     up = _Scan(text, is_s, waiting, chars, False)
     for c in range(chars):
         last = None
@@ -186,7 +193,7 @@ def induce(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, prefixes: np.nda
                 up.scan(p, q)
 
     # Downwards: S suffixes, induced from larger S and L suffixes.
-    waiting = Queues(memory)
+    waiting = Queues(memory, kind)
     down = _Scan(text, is_s, waiting, chars, True)
     for c in range(chars - 1, -1, -1):
         last = None
@@ -199,7 +206,7 @@ def induce(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, prefixes: np.nda
         for block in large.each(c, down=True):
             positions = block[0][::-1]
             # Upwards a tuple has the prefix shared with the one below; downwards with the one above.
-            after = np.empty(len(positions), np.int64)
+            after = np.empty(len(positions), kind)
             after[0] = carried or 0
             after[1:] = block[1][::-1][:-1]
             carried = int(block[1][0])
@@ -251,7 +258,7 @@ def sorted_lms(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, memory: int,
     rough = lms[np.argsort(text[lms], kind="stable")]
     wanted = np.zeros(len(text), bool)
     wanted[lms] = True
-    parts = [p[wanted[p]] for p, _ in induce(text, is_s, rough, np.zeros(len(rough), np.int64), 1, memory)]
+    parts = [p[wanted[p]] for p, _ in induce(text, is_s, rough, np.zeros(len(rough), places(text)), 1, memory)]
     order = np.concatenate(parts)[::-1]
     names = _substring_names(text, lms, order)
     top = int(names.max()) + 1
@@ -274,9 +281,9 @@ def suffixes(text: np.ndarray, limit: int = LIMIT, memory: int = MEMORY, max_buc
         yield np.zeros(1, np.int64), np.zeros(1, np.int64)
         return
     is_s = types(text)
-    lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
+    lms = (np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1).astype(places(text))
     order = sorted_lms(text, is_s, lms, memory, max_buckets)
-    prefixes = np.zeros(len(order), np.int64)
-    if len(order) > 1 and limit > 1:
-        prefixes[1:] = common_prefix(text, order[:-1], order[1:], limit)
+    prefixes = np.zeros(len(order), places(text))
+    for i in range(1, len(order) if limit > 1 else 0, BLOCK):
+        prefixes[i : i + BLOCK] = common_prefix(text, order[i - 1 : i + BLOCK - 1][: len(order) - i], order[i : i + BLOCK], limit)
     yield from induce(text, is_s, order, prefixes, limit, memory)

@@ -42,8 +42,8 @@ from .shingles import mix, powers
 WINDOW = 200
 GRAM = 64
 HOT = 20_000
-#: Snippet bytes of a shard, about; its suffix order takes some 30 bytes of memory or disk for each.
-SHARD_BYTES = 4 << 20
+#: Snippet bytes of a shard, about; its suffix order takes some 60 bytes of memory or disk for each.
+SHARD_BYTES = 2 << 20
 PIECE = 4 << 20
 BROADCAST_IDS = 1_000_000
 
@@ -230,9 +230,11 @@ def counted_windows(distinct: DataFrame) -> DataFrame:
 def repeated_spans(keyed: DataFrame, shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
     """``key, spans``: the merged byte ranges [from, to) of repeated windows per text."""
     spark = keyed.sparkSession
-    found = anchor_rows(keyed).repartition("anchor")
-    twice = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
-    repeated = stored(found.join(twice, "anchor", "left_semi"), "dedup-anchors")
+    found = anchor_rows(keyed).where("anchor IS NOT NULL").repartition("anchor")
+    # Reads every column behind the same filter, so both sides of the join share one exchange.
+    twice = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.max(F.xxhash64("key", "start", "n")).alias("row"))
+    twice = twice.where("c > 1 AND row IS NOT NULL").select("anchor")
+    repeated = stored(found.join(twice, "anchor"), "dedup-anchors")
     cut = stored(snippets(keyed, repeated), "dedup-snippets")
 
     # Equal snippets are one; anchors with several distinct ones go to the sort.
