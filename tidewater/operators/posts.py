@@ -109,11 +109,12 @@ def attach_followers(features: DataFrame, followers: DataFrame, on: str = "user_
     return features.join(followers, on=on, how="inner")
 
 
-def posts_with_authors(pages: DataFrame, dedup: bool = False) -> DataFrame:
+def posts_with_authors(pages: DataFrame, dedup: bool = True) -> DataFrame:
     """Flat post + author table: post counters left-joined to the page author.
 
-    Without ``dedup`` every page of an author contributes a row (fan-out, as
-    the exploration notebook does); with it, one row per author (latest page).
+    One row per author (latest page).  ``dedup=False`` fans out instead: a row
+    for every page of an author, as the exploration notebook does, so the output
+    grows with posts times pages of an author.
     """
     metrics = project_metrics(posts(pages))
     if dedup:
