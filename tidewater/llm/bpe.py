@@ -39,10 +39,10 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 END = "</w>"
 #: Symbols read beyond the lookahead before stable tokens are emitted.
 CHUNK = 64
-#: Words remembered by a worker; the table is emptied when it is full.
-REMEMBERED = 500_000
+#: Words remembered by a worker: as many again from before the table was last full.
+REMEMBERED = 60_000
 #: Bytes of results after which a batch is handed back.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 SPACE = "\t-\r \x85\xa0  -     　"
 
 
@@ -86,16 +86,29 @@ def _words(top: int) -> re.Pattern:
     return re.compile(f"[{letters}]+|[{numbers}]|'(?:[stmd]|re|ve|ll)|[^{SPACE}{letters}{numbers}]+")
 
 
-class Tokenizer:
+def _spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+class Names:
+    """Token names by id and the special tokens: what decoding needs."""
+
+    def __init__(self, spec: dict):
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        names = {i: s for s, i in (spec["model"]["vocab"] | self.special).items()}
+        self.names = [names.get(i, "") for i in range(max(names) + 1)]
+
+
+class Tokenizer(Names):
     """Merge rules, vocabulary and special tokens of one tokenizer file."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = _spec(path)
+        super().__init__(spec)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.rules: dict[int, tuple[int, int]] = {}
         made = {s + e for s in byte_symbols() for e in ("", END)}
         for rank, (u, v) in enumerate(merges):
@@ -106,11 +119,10 @@ class Tokenizer:
         self.lookahead = lookahead(merges, lambda s: len(s.removesuffix(END)))
         self.inner = [self.vocab[s] for s in byte_symbols()]
         self.last = [self.vocab[s + END] for s in byte_symbols()]
-        names = {i: s for s, i in (self.vocab | self.special).items()}
-        self.names = [names.get(i, "") for i in range(max(names) + 1)]
         self.width = [len(n.removesuffix(END)) for n in self.names]
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, ids: list[int]) -> list[int]:
         """``ids`` after all merges, lowest rank first, left to right."""
@@ -155,12 +167,14 @@ class Tokenizer:
 
     def word(self, word: str) -> bytes:
         """Ids of one word, as bytes."""
-        data = word.encode()
-        ids = self.stream(self.last[b] if i == len(data) - 1 else self.inner[b] for i, b in enumerate(data))
-        packed = array("I", ids).tobytes()
-        if len(data) <= CHUNK:
+        packed = self.older.get(word)
+        if packed is None:
+            data = word.encode()
+            ids = self.stream(self.last[b] if i == len(data) - 1 else self.inner[b] for i, b in enumerate(data))
+            packed = array("I", ids).tobytes()
+        if len(word) <= CHUNK:
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known[word] = packed
         return packed
 
@@ -175,9 +189,8 @@ class Tokenizer:
             part = part.replace("Σ", "σ").lower()
             # Ranges beyond the basic plane make matching slow; few texts need them.
             words = _words(0x110000 if part and max(part) > "￿" else 0x10000)
-            known, make = self.known, self.word
             for m in words.findall(part):
-                yield known.get(m) or make(m)
+                yield self.known.get(m) or self.word(m)
 
     def encode(self, text: str | None) -> bytes:
         return b"".join(self.pieces(text or ""))
@@ -191,7 +204,7 @@ class TextDecoder:
     word end becomes a space.
     """
 
-    def __init__(self, tokenizer: Tokenizer, spaced: bool = True):
+    def __init__(self, tokenizer: Names, spaced: bool = True):
         back = {s: b for b, s in enumerate(byte_symbols())}
         special = set(tokenizer.special)
         if spaced:
@@ -228,7 +241,7 @@ def load(path: str) -> Tokenizer:
 
 @lru_cache(maxsize=4)
 def _decoder(path: str, spaced: bool) -> TextDecoder:
-    return TextDecoder(load(path), spaced)
+    return TextDecoder(Names(_spec(path)), spaced)
 
 
 def _mapped(df: DataFrame, column: str, into: str, kind, one) -> DataFrame:
