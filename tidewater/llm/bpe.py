@@ -40,7 +40,9 @@ END = "</w>"
 #: Symbols read beyond the lookahead before stable tokens are emitted.
 CHUNK = 64
 #: Words remembered by a worker: as many again from before the table was last full.
-REMEMBERED = 60_000
+REMEMBERED = 100_000
+#: After every rule.
+NONE = (1 << 60, -1)
 #: Bytes of results after which a batch is handed back.
 BATCH_BYTES = 4 << 20
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -125,26 +127,20 @@ class Tokenizer(Names):
         self.older: dict[str, bytes] = {}
 
     def merged(self, ids: list[int]) -> list[int]:
-        """``ids`` after all merges, lowest rank first, left to right."""
-        rules = self.rules
-        while len(ids) > 1:
-            best = None
-            for i in range(len(ids) - 1):
-                rule = rules.get(ids[i] << 20 | ids[i + 1])
-                if rule is not None and (best is None or rule < best):
-                    best, at = rule, i
-            if best is None:
+        """``ids`` (used up) after all merges, lowest rank first, left to right."""
+        find = self.rules.get
+        found = [find(a << 20 | b, NONE) for a, b in zip(ids, ids[1:], strict=False)]
+        while found:
+            best = min(found)
+            if best is NONE:
                 break
-            a, b = ids[at], ids[at + 1]
-            out, i, n = ids[:at], at, len(ids)
-            while i < n:
-                if i + 1 < n and ids[i] == a and ids[i + 1] == b:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            at = found.index(best)
+            ids[at] = best[1]
+            del ids[at + 1], found[at]
+            if at:
+                found[at - 1] = find(ids[at - 1] << 20 | ids[at], NONE)
+            if at < len(found):
+                found[at] = find(ids[at] << 20 | ids[at + 1], NONE)
         return ids
 
     def stream(self, symbols: Iterator[int]) -> Iterator[int]:
@@ -170,11 +166,15 @@ class Tokenizer(Names):
         packed = self.older.get(word)
         if packed is None:
             data = word.encode()
-            ids = self.stream(self.last[b] if i == len(data) - 1 else self.inner[b] for i, b in enumerate(data))
-            packed = array("I", ids).tobytes()
+            symbols = [self.inner[b] for b in data]
+            symbols[-1] = self.last[data[-1]]
+            # A word that the buffer holds is emitted at its end.
+            fits = len(symbols) <= self.lookahead + CHUNK
+            packed = array("I", self.merged(symbols) if fits else self.stream(iter(symbols))).tobytes()
         if len(word) <= CHUNK:
             if len(self.known) >= REMEMBERED:
-                self.known, self.older = {}, self.known
+                self.older = dict(self.known)
+                self.known.clear()
             self.known[word] = packed
         return packed
 
@@ -189,8 +189,8 @@ class Tokenizer(Names):
             part = part.replace("Σ", "σ").lower()
             # Ranges beyond the basic plane make matching slow; few texts need them.
             words = _words(0x110000 if part and max(part) > "￿" else 0x10000)
-            for m in words.findall(part):
-                yield self.known.get(m) or self.word(m)
+            known, make = self.known.get, self.word
+            yield b"".join([known(m) or make(m) for m in words.findall(part)])
 
     def encode(self, text: str | None) -> bytes:
         return b"".join(self.pieces(text or ""))
