@@ -249,7 +249,7 @@ def q_build_features(spark, sf_dir):
     f = _features(spark, sf_dir).withColumn("tweet_sentiment", F.round("tweet_sentiment", ROUND))
     dummies = sorted(c for c in f.columns if c.startswith("dummy_"))
     text = F.concat_ws(",", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in dummies])
-    return f.select(*[c for c in f.columns if c not in dummies], text.alias("dummies"))
+    return f.select(text.alias("dummies"), *[c for c in f.columns if c not in dummies])
 
 
 # ---------------------------------------------------------------- transforms and summaries
