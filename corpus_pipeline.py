@@ -44,14 +44,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and the digests of both directions."""
-    coded = bpe.encode(docs, tokenizer_path())
-    back = bpe.decode(coded, tokenizer_path(), into="_decoded")
+    back = bpe.encode_and_decode(docs, tokenizer_path(), into=("ids", "_decoded"))
     made = {
         "n_tokens": (F.octet_length("ids") / 4).cast("long"),
         "ids_sha256": F.sha2("ids", 256),
         "decoded_sha256": F.sha2(F.col("_decoded").cast("binary"), 256),
     }
-    kept = [c for c in coded.columns if c not in made]
+    kept = [c for c in back.columns if c not in made and c != "_decoded"]
     return back.select(*kept, *[column.alias(name) for name, column in made.items()])
 
 

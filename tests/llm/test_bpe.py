@@ -71,6 +71,9 @@ def test_text_mode_round_trip():
 def test_null_repeated_and_clashing_columns(spark):
     rows = [(1, None, "x"), (1, "the end", "y"), (1, "the end", "y"), (2, "", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    both = bpe.encode_and_decode(docs, PATH).collect()
+    assert sorted(r.decoded for r in both) == ["", "", "the</w> end</w>", "the</w> end</w>"]
+    assert [r.decoded for r in bpe.decode(bpe.encode(docs, PATH), PATH).collect()] == [r.decoded for r in both]
     out = bpe.encode(docs, PATH)
     assert sorted(out.columns) == ["doc_id", "ids", "text"] and out.count() == 4
     assert bpe.encode(docs.limit(0), PATH).count() == 0

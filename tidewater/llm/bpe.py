@@ -241,45 +241,60 @@ def load(path: str) -> Tokenizer:
 
 @lru_cache(maxsize=4)
 def _decoder(path: str, spaced: bool) -> TextDecoder:
-    return TextDecoder(Names(_spec(path)), spaced)
+    return TextDecoder(load(path) if load.cache_info().currsize else Names(_spec(path)), spaced)
 
 
-def _mapped(df: DataFrame, column: str, into: str, kind, one) -> DataFrame:
-    """``df`` with ``into`` = ``one(value of column)``, batch by batch, other columns untouched."""
-    kept = [c for c in df.columns if c != into]
+def _mapped(df: DataFrame, column: str, into: dict, one) -> DataFrame:
+    """``df`` with the columns ``into`` (name to type) = ``one(value of column)``, batch
+    by batch, other columns untouched."""
+    kept = [c for c in df.columns if c not in into]
     carried = df.select(F.struct(*kept).alias("row"), F.col(column).alias("given"))
-    schema = StructType([carried.schema["row"], StructField(into, kind)])
+    schema = StructType([carried.schema["row"], *[StructField(n, kind) for n, kind in into.items()]])
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        out_type = pa.binary() if isinstance(kind, BinaryType) else pa.string()
+        types = [pa.binary() if isinstance(kind, BinaryType) else pa.string() for kind in into.values()]
         for batch in batches:
             given, start, held, made = batch.column("given"), 0, 0, []
             for i in range(len(given)):
                 made.append(one(given[i].as_py()))
-                held += len(made[-1])
+                held += sum(map(len, made[-1]))
                 if held >= BATCH_BYTES or i == len(given) - 1:
                     rows = batch.column("row").slice(start, len(made))
-                    yield pa.RecordBatch.from_arrays([rows, pa.array(made, out_type)], names=["row", into])
+                    columns = [pa.array(c, t) for c, t in zip(zip(*made, strict=True), types, strict=True)]
+                    yield pa.RecordBatch.from_arrays([rows, *columns], names=["row", *into])
                     start, held, made = i + 1, 0, []
 
     mapped = carried.mapInArrow(run, schema)
-    return mapped.select(*[F.col("row").getField(c).alias(c) for c in kept], into)
+    return mapped.select(*[F.col("row").getField(c).alias(c) for c in kept], *into)
+
+
+def _decoded(value: bytes | None, path: str, spaced: bool) -> str:
+    """The text of ids, read in pieces of 64k tokens."""
+    machine = _decoder(path, spaced)
+    step = 4 << 16
+    parts = [machine.feed(value[i : i + step]) for i in range(0, len(value or b""), step)]
+    return "".join(parts) + machine.flush()
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
     """``docs`` with the ids of ``text`` (no special tokens added); ``path`` is the tokenizer file."""
-    return _mapped(docs, text, into, BinaryType(), lambda value: load(path).encode(value))
+    return _mapped(docs, text, {into: BinaryType()}, lambda value: (load(path).encode(value),))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", into: str = "decoded", spaced: bool = True) -> DataFrame:
-    """``encoded`` with the text of ``ids``, read in pieces of 64k tokens."""
+    """``encoded`` with the text of ``ids``."""
+    return _mapped(encoded, ids, {into: StringType()}, lambda value: (_decoded(value, path, spaced),))
+
+
+def encode_and_decode(
+    docs: DataFrame, path: str, text: str = "text", into: tuple[str, str] = ("ids", "decoded"), spaced: bool = True
+) -> DataFrame:
+    """Both in one pass, so that a task needs one Python worker: ids, and the text decoded from them."""
 
-    def one(value: bytes | None) -> str:
-        machine = _decoder(path, spaced)
-        step = 4 << 16
-        parts = [machine.feed(value[i : i + step]) for i in range(0, len(value or b""), step)]
-        return "".join(parts) + machine.flush()
+    def one(value: str | None) -> tuple[bytes, str]:
+        ids = load(path).encode(value)
+        return ids, _decoded(ids, path, spaced)
 
-    return _mapped(encoded, ids, into, StringType(), one)
+    return _mapped(docs, text, {into[0]: BinaryType(), into[1]: StringType()}, one)

@@ -31,8 +31,7 @@ def tokenizer_path() -> str:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded, then decoded, with the digests of both."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, tokenizer_path()).drop("text")
-    back = bpe.decode(coded, tokenizer_path())
+    back = bpe.encode_and_decode(docs, tokenizer_path()).drop("text")
     return back.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
