@@ -81,3 +81,29 @@ def test_table_and_odd_rows(spark):
     odd = spark.createDataFrame([(1, None, None, "t"), (1, "u", "<p>x</p>", "t"), (1, "u", "<p>x</p>", "t"), (None, "u", "", "t")], "page_id long, url string, html string, text string")
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in extract(odd).collect()) == [(0, "", 0), (1, "", 0), (1, "x", 1), (1, "x", 1)]
     assert extract(odd.limit(0)).count() == 0
+
+
+WHOLE = {
+    "headline beside the body": (f"<div id=content><h1>Title</h1><div class=body><p>{LONG}</p><p>{LONG}</p></div></div><footer>(c)</footer>", f"Title\n{LONG}\n{LONG}"),
+    "lead in a sibling": (
+        f"<div id=content><div class=lead><p>{LONG}</p></div><div class=body>" + f"<p>{LONG * 5}</p>" * 4 + "</div></div>",
+        "\n".join([LONG] + [LONG * 5] * 4),
+    ),
+    "heading, lead and section beside the article": (
+        f"<main><h1>Title</h1><p>{LONG}</p><article><p>{LONG * 5}</p><p>{LONG * 5}</p></article><section><h2>More</h2><p>{LONG}</p></section></main>",
+        f"Title\n{LONG}\n{LONG * 5}\n{LONG * 5}\nMore\n{LONG}",
+    ),
+    "heading before the article": (f"<h1>Title</h1><p>Lead.</p><article><p>{LONG}</p></article><div>All rights.</div>", f"Title\nLead.\n{LONG}"),
+    "two articles": (f"<article><h1>A</h1><p>{LONG}</p></article><article><p>{LONG * 3}</p></article>", f"A\n{LONG}\n{LONG * 3}"),
+    "linked references": (
+        f"<article><p>{LONG}</p><ol>" + "".join(f"<li><a href='https://x.example/{i}'>Source {i}</a></li>" for i in range(4)) + "</ol></article>",
+        LONG + "".join(f"\nSource {i}" for i in range(4)),
+    ),
+    "beside without content": (f"<div><p>(c) us</p></div><div><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></div>", f"Title\n{LONG}\n{LONG}"),
+}
+
+
+@pytest.mark.parametrize("name", WHOLE)
+def test_nothing_of_the_article_is_lost(name):
+    body, want = WHOLE[name]
+    assert main_text(page(body)) == want

@@ -7,9 +7,12 @@ article (navigation, footer, aside, form, ... by tag, role or class word) are
 left out.  Of the others, the ratio of unlinked characters to tags is smoothed
 with a Gaussian along the page, never across an element that starts or ends a
 region, and lines at or above the threshold (the standard deviation of the
-smoothed ratios) are content lines.  The region is the article or main element
-(else the smallest element) that holds the mass of the content lines; all its
-remaining lines are the text, but for runs of links.
+smoothed ratios), or as long as a sentence outside their links, are content
+lines.  The regions are the outermost article and main elements with content
+(else the page), each narrowed only while one element inside holds its heading
+and all its content lines; all their remaining lines are the text.  A page's
+main heading before an article without one belongs to it, with the lines
+between.  Of runs of links only those that lead nowhere are left out.
 
 Defined results
   null or empty html, or a page without text outside the left-out elements:
@@ -31,11 +34,9 @@ from pyspark.sql import functions as F
 
 PIECE = 1 << 16
 SIGMA = 1.0
-#: A region may be narrowed to an element inside it that has this share of its content.
-MAIN_SHARE = 0.5
-#: The same where nothing is marked as the article.
-PAGE_SHARE = 0.7
-#: Lines of links in a row, at this link share, are a menu.
+#: Unlinked characters of a line that is content however much longer the others are.
+SENTENCE = 50
+#: Lines of links without a target in a row, at this link share, are a menu of controls.
 MENU_LINES, MENU_SHARE = 3, 0.9
 
 # Element kinds of HTML.
@@ -49,6 +50,7 @@ DROPPED = frozenset(
     "aside button canvas dialog footer form head iframe menu nav noscript object script select style svg template textarea "
     "title".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 REGION = frozenset("article aside body div footer form header main nav section td".split())
 CLOSES = {  # an opening element ends an open one of the first, inside the innermost of the second
     "li": (("li",), frozenset(("ul", "ol", "menu"))),
@@ -77,27 +79,31 @@ class Element:
 
     ``out``: it or an element around it is left out by tag or role.  ``named``:
     the nearest such element by class or id, itself included.  ``home``: the
-    nearest region, itself included.  All are inherited when an element opens,
-    so nothing walks up a deep page again for each line.
+    nearest region, itself included.  ``heading``: the tag of the nearest heading,
+    itself included.  ``target``: the nearest link, itself included, leads somewhere.
+    All are inherited when an element opens, so nothing walks up a deep page again
+    for each line.
     """
 
-    __slots__ = ("tag", "parent", "main", "out", "named", "home", "holds_main", "mass", "depth", "inside")
+    __slots__ = ("tag", "parent", "main", "out", "named", "home", "heading", "target", "holds_main", "held", "depth", "inside")
 
-    def __init__(self, tag, parent, noise, main, region):
+    def __init__(self, tag, parent, noise, main, region, target=None):
         self.tag, self.parent, self.main = tag, parent, main
         self.out = noise == "tag" or (parent is not None and parent.out)
         self.named = self if noise == "name" else parent and parent.named
         self.home = self if region or parent is None else parent.home
         self.depth = 0 if parent is None else parent.home.depth + (self.home is self)
+        self.heading = tag if tag in HEADINGS else parent and parent.heading
+        self.target = parent is not None and parent.target if target is None else target
         self.holds_main = self.inside = False
-        self.mass = 0.0
+        self.held = 0
 
 
 class Line:
-    __slots__ = ("text", "tags", "linked", "at", "ratio", "smooth")
+    __slots__ = ("text", "tags", "linked", "targets", "at", "ratio", "smooth")
 
-    def __init__(self, text, tags, linked, at):
-        self.text, self.tags, self.linked, self.at = text, tags, linked, at
+    def __init__(self, text, tags, linked, targets, at):
+        self.text, self.tags, self.linked, self.targets, self.at = text, tags, linked, targets, at
         self.ratio = self.smooth = 0.0
 
     def link_share(self) -> float:
@@ -119,6 +125,12 @@ def _noise(tag: str, attrs: dict, inside_main: bool):
     return "name" if tag in BLOCK else "tag"  # inside a line there is no article to hold
 
 
+def _leads(href: str) -> bool:
+    """A link to another page or a named place; the others are controls of a script."""
+    href = href.strip().lower()
+    return href not in ("", "#") and not href.startswith("javascript:")
+
+
 class Lines(HTMLParser):
     """Collects the lines and regions of a page from parser events."""
 
@@ -130,13 +142,13 @@ class Lines(HTMLParser):
         self.mains = 0
         self.lines: list[Line] = []
         self.parts: list[str] = []
-        self.tags, self.linked = 0, 0
+        self.tags, self.linked, self.targets = 0, 0, False
 
     def break_line(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append(Line(text, self.tags, self.linked, self.open))
-        self.parts, self.tags, self.linked = [], 0, 0
+            self.lines.append(Line(text, self.tags, self.linked, self.targets, self.open))
+        self.parts, self.tags, self.linked, self.targets = [], 0, 0, False
 
     def end(self, node: Element):
         """Close ``node`` and all that is open inside it."""
@@ -174,7 +186,8 @@ class Lines(HTMLParser):
             return
         given = {k: v or "" for k, v in attrs}
         main = tag in ("article", "main") or given.get("role") == "main" or given.get("itemprop") == "articleBody"
-        node = Element(tag, self.open, _noise(tag, given, self.mains > 0), main, main or tag in REGION)
+        target = _leads(given.get("href", "")) if tag == "a" else None
+        node = Element(tag, self.open, _noise(tag, given, self.mains > 0), main, main or tag in REGION, target)
         if main or tag == "h1":
             above = self.open
             while above is not None and not above.holds_main:
@@ -204,6 +217,7 @@ class Lines(HTMLParser):
         self.parts.append(data)
         if self.counts["a"]:
             self.linked += len(data.strip())
+            self.targets |= self.open.target and not data.isspace()
 
 
 def parsed(html: str) -> Lines:
@@ -245,47 +259,77 @@ def smooth(lines: list[Line], sigma: float = SIGMA) -> None:
 
 
 def content_lines(lines: list[Line]) -> list[Line]:
-    """Lines at or above the standard deviation of the smoothed ratios."""
+    """Lines at or above the standard deviation of the smoothed ratios, and sentences."""
     mean = sum(x.smooth for x in lines) / len(lines)
     deviation = math.sqrt(sum((x.smooth - mean) ** 2 for x in lines) / len(lines))
-    return [x for x in lines if x.smooth > 0 and x.smooth >= deviation] or lines
-
-
-def main_region(regions: list[Element], lines: list[Line]) -> Element:
-    """The article or main element with the most content, else the page; from
-    there inwards while a region keeps its share of the content."""
-
-    def weigh(some: list[Line]) -> list[Element]:
-        for region in regions:
-            region.mass = 0.0
-        for line in some:
-            line.at.home.mass += (line.smooth + 0.01) * len(line.text) ** 0.5
-        for region in reversed(regions[1:]):
-            region.parent.home.mass += region.mass
-        return [r for r in regions if r.main and r.mass > 0]
-
-    # An article without any content line is still the article.
-    marked = weigh(content_lines(lines)) or weigh(lines)
-    if not marked:
-        weigh(content_lines(lines))
-    best = max(marked, key=lambda r: r.mass) if marked else regions[0]
-    share = MAIN_SHARE if marked else PAGE_SHARE
-    _mark_inside(regions, best)
-    inner = [r for r in marked or regions if r.inside and r.mass >= share * best.mass]
-    return max(inner, key=lambda r: r.depth, default=best)
-
-
-def _mark_inside(regions: list[Element], region: Element) -> None:
+    found = [x for x in lines if len(x.text) - x.linked >= SENTENCE or (x.smooth > 0 and x.smooth >= deviation)]
+    return found or lines
+
+
+def heading_of(lines: list[Line], content: list[Line]) -> Line | None:
+    """The main heading nearest before the content, else any, else the nearest heading of another level."""
+    body = next((x for x in content if not x.at.heading), None)
+    before = lines[: lines.index(body)] if body else lines
+    for some, tags in ((before, ("h1",)), (lines[::-1], ("h1",)), (before, HEADINGS)):
+        if found := [x for x in some if x.at.heading in tags]:
+            return found[-1]
+    return None
+
+
+def narrowed(regions: list[Element], held: list[Line]) -> Element:
+    """The innermost region around all of ``held``."""
+    for region in regions:
+        region.held = 0
+    for line in held:
+        line.at.home.held += 1
+    for region in reversed(regions[1:]):
+        region.parent.home.held += region.held
+    return max((r for r in regions if r.held == len(held)), key=lambda r: r.depth)
+
+
+def _mark_inside(regions: list[Element], chosen: list[Element]) -> None:
+    marked = set(chosen)
+    for r in regions:
+        r.inside = r in marked or (r.parent is not None and r.parent.home.inside)
+
+
+def article_lines(regions: list[Element], lines: list[Line]) -> list[Line]:
+    """The lines of the outermost article and main elements, else of the page, each
+    narrowed past what is beside its heading and content."""
+    outer: dict[Element, Element] = {}  # of each region inside a marked one, the outermost marked
+    own: dict[Element, list[Element]] = {regions[0]: regions}
     for r in regions:
-        r.inside = r is region or (r.parent is not None and r.parent.home.inside)
+        if top := (r.parent and outer.get(r.parent.home)) or (r if r.main else None):
+            outer[r] = top
+            own.setdefault(top, []).append(r)
+    scopes: dict[Element, list[Line]] = {}
+    for line in lines:
+        if (top := outer.get(line.at.home)) is not None:
+            scopes.setdefault(top, []).append(line)
+    if not scopes:
+        scopes = {regions[0]: lines}
+    content = {id(x) for x in content_lines([x for some in scopes.values() for x in some])}
+    chosen = []
+    for top, some in scopes.items():
+        # An article without any content line beside one with some is none.
+        if held := [x for x in some if id(x) in content]:
+            heading = heading_of(some, held)
+            chosen.append(narrowed(own[top], held + [heading] if heading else held))
+    _mark_inside(regions, chosen)
+    kept = [x.at.home.inside for x in lines]
+    first = kept.index(True)
+    if not any(k and x.at.heading == "h1" for k, x in zip(kept, lines, strict=True)):
+        above = max((i for i in range(first) if lines[i].at.heading == "h1"), default=first)
+        kept[above:first] = [True] * (first - above)
+    return [x for k, x in zip(kept, lines, strict=True) if k]
 
 
 def without_menus(lines: list[Line]) -> list[Line]:
-    """Drops runs of lines that are nearly all link."""
+    """Drops runs of lines that are nearly all link and lead nowhere."""
     out: list[Line] = []
     run: list[Line] = []
     for line in [*lines, None]:
-        if line is not None and line.link_share() >= MENU_SHARE:
+        if line is not None and not line.targets and line.link_share() >= MENU_SHARE:
             run.append(line)
             continue
         out += run if len(run) < MENU_LINES else []
@@ -304,8 +348,7 @@ def main_text(html: str | None) -> str:
     for line in lines:
         line.ratio = (len(line.text) - min(line.linked, len(line.text))) / max(1, line.tags)
     smooth(lines)
-    _mark_inside(page.regions, main_region(page.regions, lines))
-    return "\n".join(x.text for x in without_menus([x for x in lines if x.at.home.inside]))
+    return "\n".join(x.text for x in without_menus(article_lines(page.regions, lines)))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
