@@ -74,3 +74,30 @@ def test_nulls_empty_and_unlabelled(spark):
     assert quality.judge(docs.limit(0), labels).count() == 0
     some = spark.createDataFrame([(3, 1, 0), (3, None, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
     assert quality.judge(docs, some).count() == len(rows)
+
+
+def test_an_extreme_row_changes_no_verdict(spark):
+    """Documents bad by word length only, with and without an unbroken string of a megabyte."""
+    rng = random.Random(2)
+    text = lambda a, b: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(a, b))) for _ in range(60))
+
+    def uneven(i):
+        """A good text; one in four has some symbols, one in four some words twice."""
+        words = text(3, 7).split()
+        some = rng.randrange(20)
+        change = {1: lambda w: "#" + w, 2: lambda w: f"{w} {w}"}.get(i % 4, str)
+        return " ".join([change(w) for w in words[:some]] + words[some:])
+
+    rows = [(i, uneven(i)) for i in range(256)] + [(i, text(19, 21)) for i in range(256, 320)]
+    words = text(3, 7).split()
+    rows += [(400, "#" * 9 + " ".join("#" + w for w in words)), (401, " ".join(f"{w} {w}" for w in words))]
+    rows += [(402, "\n".join(w + "\nand" for w in words)), (403, " ".join(words + words[:8]))]
+    labels = spark.createDataFrame([(i, int(i < 256), 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    odd = [(1000, " ".join(["a b c d e f g h i j k l m n o p q r s", "x" * 1_000_000]))]
+
+    def kept(rows):
+        return {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()}
+
+    plain, stretched = kept(rows), kept(rows + odd)
+    assert not stretched.pop(1000) and stretched == plain
+    assert sum(plain[i] for i in range(256)) >= 250 and not any(plain[i] for i in range(256, 320))

@@ -6,9 +6,10 @@ judged by an isolation forest over ratios of those counts.
 
 The forest isolates documents from the population labelled good: each tree
 holds ``TREE_ROWS`` of at most ``SAMPLE_ROWS`` good rows (the smallest hashes of
-doc_id), and its random splits are drawn over the value ranges of *all*
-documents.  A document in a region without good rows is isolated after a few
-splits; one like the good rows needs many.  The score is the usual
+doc_id), and its random splits are drawn over the range of the node's own rows
+and a fixed ``MARGIN`` beyond, all on log scales.  So no other document, however
+extreme, changes a verdict.  A document in a region without good rows is isolated
+after a few splits; one like the good rows needs many.  The score is the usual
 ``2 ** (-mean path length / c(n))``.
 
 The threshold is calibrated on every labelled row: the score histogram by label
@@ -39,6 +40,8 @@ SYMBOLS = "#*$%&|<>"
 TREES, TREE_ROWS, SAMPLE_ROWS, MAX_DEPTH = 100, 256, 4096, 12
 GOOD_WEIGHT = 100.0
 BINS = 2000
+#: How far beyond its rows a node's splits reach, for each of ``FEATURES``.
+MARGIN = [1.0, 4.0, 4.0, 4.0, 4.0]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 EXTRA = ["n_lines", "n_adjacent"]
 FEATURES = ["word_length", "symbols", "dup_lines", "repeats", "adjacent"]
@@ -117,14 +120,15 @@ def base_failed() -> Column:
 
 
 def ratios() -> list[Column]:
-    """``FEATURES``; shares on a log scale, so that a little is already far from none."""
+    """``FEATURES``, 0 or more; on a log scale, so that a little is already far from
+    none and one long unbroken string is not far from everything."""
     words = F.greatest(F.col("n_words"), F.lit(1))
 
     def share(count: str, of: Column) -> Column:
         return F.log1p(100 * F.col(count) / of)
 
     return [
-        (F.col("word_chars") / words).alias("word_length"),
+        F.log(F.greatest("word_chars", words) / words).alias("word_length"),
         share("n_symbols", words).alias("symbols"),
         share("n_dup_lines", F.greatest(F.col("n_lines"), F.lit(1))).alias("dup_lines"),
         share("n_repeat_words", words).alias("repeats"),
@@ -140,9 +144,10 @@ def mean_path(n: int) -> float:
 
 
 class IsolationForest:
-    """Random axis-parallel splits inside the box ``low..high``; flat node arrays."""
+    """Random axis-parallel splits inside the box ``low..high``, and no further than
+    ``margin`` from a node's own rows; flat node arrays."""
 
-    def __init__(self, rows: np.ndarray, low, high, trees=TREES, tree_rows=TREE_ROWS, max_depth=MAX_DEPTH, seed=1):
+    def __init__(self, rows: np.ndarray, low, high, trees=TREES, tree_rows=TREE_ROWS, max_depth=MAX_DEPTH, seed=1, margin=np.inf):
         rng = np.random.default_rng(seed)
         self.max_depth = max_depth
         self.feature: list[int] = []
@@ -157,12 +162,16 @@ class IsolationForest:
             waiting = [(self.roots[-1], own, np.array(low, float), np.array(high, float), 0)]
             while waiting:
                 node, own, lo, hi, depth = waiting.pop()
-                wide = np.flatnonzero(hi > lo)
-                if depth >= max_depth or len(own) <= 1 or not len(wide):
+                if depth >= max_depth or len(own) <= 1:
+                    self.path[node] = depth + mean_path(len(own))
+                    continue
+                first, last = np.maximum(lo, own.min(0) - margin), np.minimum(hi, own.max(0) + margin)
+                wide = np.flatnonzero(last > first)
+                if not len(wide):
                     self.path[node] = depth + mean_path(len(own))
                     continue
                 f = int(rng.choice(wide))
-                cut = float(rng.uniform(lo[f], hi[f]))
+                cut = float(rng.uniform(first[f], last[f]))
                 left, right = self._new(), self._new()
                 self.feature[node], self.split[node], self.child[node] = f, cut, left
                 below = own[:, f] < cut
@@ -197,17 +206,14 @@ class IsolationForest:
 
 
 def fit(statistics: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> IsolationForest | None:
-    """A forest over the good population, splits over the ranges of all documents."""
+    """A forest over the good population."""
     judged = statistics.where(~base_failed())
-    edges = judged.select(*ratios()).agg(
-        F.struct(*[F.min(f).alias(f) for f in FEATURES]).alias("low"),
-        F.struct(*[F.max(f).alias(f) for f in FEATURES]).alias("high"),
-    ).first()
     good = judged.join(labels.where("quality = 1"), "doc_id", "left_semi")
     sample = good.orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(sample_rows).select(*ratios()).collect()
     if not sample:
         return None
-    return IsolationForest(np.array(sample, float), list(edges["low"]), list(edges["high"]))
+    edges = np.zeros(len(FEATURES))
+    return IsolationForest(np.array(sample, float), edges, edges + np.inf, margin=np.array(MARGIN))
 
 
 def scored(statistics: DataFrame, forest: IsolationForest) -> DataFrame:
