@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from tests.conftest import SF01
 from tidewater.llm import quality
@@ -101,3 +102,12 @@ def test_an_extreme_row_changes_no_verdict(spark):
     plain, stretched = kept(rows), kept(rows + odd)
     assert not stretched.pop(1000) and stretched == plain
     assert sum(plain[i] for i in range(256)) >= 250 and not any(plain[i] for i in range(256, 320))
+
+
+@pytest.mark.parametrize("wrong", [1, 3])
+def test_wrong_labels_do_not_switch_the_threshold_off(spark, wrong):
+    """Bad rows labelled good score above all others."""
+    scores = [0.3] * 60 + [0.9] * wrong + [0.7] * 40
+    rows = spark.createDataFrame([(i, 30, 0, x) for i, x in enumerate(scores)], "doc_id long, n_words long, n_repeat_words long, score double")
+    labels = spark.createDataFrame([(i, int(i < 60 + wrong)) for i in range(len(scores))], "doc_id long, quality int")
+    assert 0.3 < quality.threshold(rows, labels) < 0.7
