@@ -15,6 +15,12 @@ One regular expression finds all candidates of a text; the text is cut at them,
 each is rewritten inside an array function, and the pieces are joined again.
 No shuffle, no row leaves its task, and a text without candidates costs one scan.
 
+Layouts: cards are 13 to 19 digits in one piece, or grouped by one kind of space
+or hyphen as 4-4-4-n (n up to 7), 4-6-5 and 4-6-4; other numbers may follow.
+Telephone numbers are those of North America with brackets or with area code,
+exchange and line apart, with or without +1 or 1 before, or in one piece behind
++1; and of other countries behind + and a country code, which stays.
+
 Defined results
   null text stays null; a text without valid data comes back unchanged.
   Numbers that fail validation (a wrong check digit, 31 February) are left as
@@ -37,7 +43,19 @@ ROUNDS = 10
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}"
 SECRET = r"(?i:(?<=(?:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?)[0-9a-f]{32,128}(?![0-9a-z]))"
-PHONE = r"(?<![\p{L}\d+])(?:\+1[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\d+-])(?:\+1[ .-])?[2-9]\d{2}[.-][2-9]\d{2}[.-]\d{4}(?![\d-])"
+PHONE = (
+    r"(?<![\p{L}\d+])(?:\+?1[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
+    r"|(?<![\d+-])(?:\+?1[ .-])?[2-9]\d{2}[ .-][2-9]\d{2}[ .-]\d{4}(?![\d-])"
+    r"|(?<![\p{L}\d+])\+1[2-9]\d{2}[2-9]\d{6}(?!\d)"
+)
+# Between the digits of other countries' numbers; a space does not lead on into a day, an address or a card.
+CARD_AHEAD = r"\d{4} \d{4} \d{4} \d{1,7}(?!\d)(?! \d{4}(?!\d))|\d{4}-\d{4}-\d{4}-\d|\d{4} \d{6} \d|\d{4}-\d{6}-\d"
+GAP = rf"(?:(?:[.-]|[ ](?!\d{{1,2}}/\d|\d{{4}}-\d\d-|\d{{1,3}}\.\d|\d{{3}}-\d\d-\d{{4}}|{CARD_AHEAD}))(?=\d\d|\d[ .-]\d\d))?"
+ABROAD = (
+    rf"(?<![\p{{L}}\d+])\+[2-9]\d{{0,2}}(?:[ .-]?\(\d{{1,5}}\)[ .-]?(?:{GAP}\d){{3,10}}|(?:{GAP}\d){{5,12}})(?!\d)"
+)
+#: Country codes of one or two digits; the others have three.
+COUNTRY = r"7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 IPV4 = rf"(?<![\p{{L}}\d])(?<!\d\.)(?:{OCTET}\.){{3}}{OCTET}(?!\d)(?!\.\d)"
 DATE = (
     r"(?<![\d-])(?:19|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?!\d)(?!-\d)"
@@ -45,10 +63,10 @@ DATE = (
     r"|(?<!\d)(?<!\d\.)(?:0[1-9]|[12]\d|3[01])\.(?:0[1-9]|1[0-2])\.(?:19|20)\d\d(?!\d)(?!\.\d)"
 )
 SSN = r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\d-])"
-CARD = r"(?<!\d)(?<!\d\.)(?:\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}(?!\1?\d)|\d{13,19}(?!\d))"
+CARD = r"(?<!\d)(?<!\d\.)(?:\d{4}([ -])(?:\d{4}\1\d{4}\1\d{1,7}|\d{6}\1\d{4,5})|\d{13,19})(?!\d)"
 # What an alternative must begin with is looked at first, so that most places of a
 # text fail at once (the look behind a secret is the costly one).
-NUMBERS = "|".join((PHONE, IPV4, DATE, SSN, CARD))
+NUMBERS = "|".join((PHONE, ABROAD, IPV4, DATE, SSN, CARD))
 CANDIDATES = rf"{EMAIL}|(?=[0-9a-fA-F]{{32}}){SECRET}|(?=[+(\d])(?:{NUMBERS})"
 
 FIRST_DAY, DAYS = "1900-01-01", (17, 4297)  # 17 * 4297 days: 1900 to 2099
@@ -148,8 +166,8 @@ def card(value: Column, key: str, restore: bool) -> Column:
 def phone(value: Column, key: str, restore: bool) -> Column:
     """The last ten digits; a country code stays.  Without brackets, area code and
     exchange begin with 2 to 9 before and after."""
-    national = F.regexp_extract(value, r"^(?:\+1[ .-]?)?(.*)$", 1)
-    prefix = F.regexp_extract(value, r"^((?:\+1[ .-]?)?)", 1)
+    national = F.regexp_extract(value, r"^(?:\+?1[ .-]?)?(.*)$", 1)
+    prefix = F.regexp_extract(value, r"^((?:\+?1[ .-]?)?)", 1)
     digits = F.regexp_replace(national, r"\D", "")
     area, exchange, line = (_long(F.substring(digits, a, n)) for a, n in ((1, 3), (4, 3), (7, 4)))
     strict = permute(
@@ -163,6 +181,14 @@ def phone(value: Column, key: str, restore: bool) -> Column:
     return F.concat(prefix, _bind(new, lambda d: refill(national, d)))
 
 
+def phone_abroad(value: Column, key: str, restore: bool) -> Column:
+    """All digits behind the country code."""
+    prefix = F.regexp_extract(value, rf"^\+(?:{COUNTRY}|)", 0)
+    national = F.substr(value, F.length(prefix) + 1, F.length(value))
+    new = permuted_digits(F.regexp_replace(national, r"\D", ""), "phone+", key, restore)
+    return F.concat(prefix, _bind(new, lambda d: refill(national, d)))
+
+
 def ssn(value: Column, key: str, restore: bool) -> Column:
     area, group, serial = (_long(F.substring(value, a, n)) for a, n in ((1, 3), (5, 2), (8, 4)))
     left = area - 1 - (area > 666).cast("int")
@@ -230,6 +256,7 @@ def pseudonym(value: Column, key: str = KEY, restore: bool = False) -> Column:
         .when(value.rlike(_whole(DATE)), date(value, key, restore))
         .when(value.rlike(_whole(SSN)), ssn(value, key, restore))
         .when(value.rlike(_whole(PHONE)), phone(value, key, restore))
+        .when(value.startswith("+"), phone_abroad(value, key, restore))
         .when(value.rlike(r"^\d[\d -]{12,25}$") & (F.length(F.regexp_replace(value, r"\D", "")) <= 19), card(value, key, restore))
         .otherwise(F.when(value.rlike("^(?i)[0-9a-f]{32,128}$"), one_way(secret(value, key))))
     )
