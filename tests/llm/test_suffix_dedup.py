@@ -103,3 +103,21 @@ def test_anchors_are_the_same_in_any_place_and_piece(monkeypatch):
     assert all(inside[1000 + s] == h for s, h in of_window(whole).items())
     monkeypatch.setattr(suffix_dedup, "PIECE", 128)
     assert of_window(suffix_dedup.anchors(np.frombuffer(inner, np.uint8))) == of_window(whole)
+
+
+def test_equal_rows_are_cut_once(spark, monkeypatch):
+    """Also without an id, and beside a row that shares a passage with them."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choices("etaoins ", k=n))
+    same, other = text(2000), text(1500)
+    rows = [(1, same)] * 15 + [(None, other)] * 10 + [(2, text(300) + same[500:900] + text(300)), (3, text(400) + other[100:350]), (4, text(500)), (5, "short")] + [(6, "short")] * 3
+    snippets = []
+
+    def stored(frame, name, f=suffix_dedup.stored):
+        out = f(frame, name)
+        snippets.extend([out.count()] if name == "dedup-snippets" else [])
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    assert run(spark, rows) == brute(rows)
+    assert len(snippets) == 1 and snippets[0] < 40

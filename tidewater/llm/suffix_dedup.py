@@ -19,6 +19,10 @@ aggregation spreads.
 
 The spans of the repeated windows are merged per document and cut out.
 
+Rows equal in id and text are one row in all of this, found by counting ids and
+text hashes; their own text is one span, all of it, and the spans are joined
+back to every row.
+
 Defined results
   null text is empty.  Texts shorter than 200 bytes are kept whole.  Equal rows
   are documents each, so a text of 200 bytes or more that is there twice is
@@ -277,10 +281,27 @@ def repeated_spans(keyed: DataFrame, shard_bytes: int = SHARD_BYTES, hot: int =
     return per.mapInArrow(merge, f"key {KEY}, spans array<array<int>>")
 
 
+def _spans(keyed: DataFrame) -> DataFrame:
+    """``key, spans`` of all rows, equal ones once."""
+    long = keyed.where(F.octet_length("data") >= WINDOW)
+    copies = long.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max(F.octet_length("data")).alias("n")).where("c > 1")
+    copies = stored(copies.select("key", "n"), "dedup-copies")
+    many = copies.count()
+    if not many:
+        return repeated_spans(keyed)
+    keys = copies.select("key")
+    keys = F.broadcast(keys) if many <= BROADCAST_IDS else keys
+    firsts = stored(long.join(keys, "key", "left_semi").select("key", "data").dropDuplicates(["key"]), "dedup-firsts")
+    others = long.join(keys, "key", "left_anti").select("key", "data")
+    found = repeated_spans(others.unionByName(firsts)).join(keys, "key", "left_anti")
+    whole = F.array(F.array(F.lit(0), F.col("n"))).cast("array<array<int>>")
+    return found.unionByName(copies.select("key", whole.alias("spans")))
+
+
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` (binary) of every document."""
     keyed = _keyed(docs, doc_id, text)
-    spans = stored(repeated_spans(keyed), "dedup-spans")
+    spans = stored(_spans(keyed), "dedup-spans")
 
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
