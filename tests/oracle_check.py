@@ -20,8 +20,14 @@ from tidewater.session import local_session  # noqa: E402
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+def pandas_rows(df) -> pd.DataFrame:
+    """The rows in pandas, whole numbers with nulls kept whole (as DuckDB gives them)."""
+    pdf = df.toPandas()
+    return pdf.astype({c: "Int64" for c, kind in df.dtypes if kind == "bigint" and pdf[c].hasnans})
+
+
 def norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return "NULL"
     if isinstance(v, float):
         return repr(round(v, 9))
@@ -50,7 +56,7 @@ def main():
             continue
         t0 = time.time()
         try:
-            sdf = fn(spark, sf).toPandas()
+            sdf = pandas_rows(fn(spark, sf))
         except Exception as e:  # noqa: BLE001
             print(f"FAIL-SPARK {name}: {str(e)[:400]}")
             bad += 1

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tests.oracle_check import TABLES, digest
+from tests.oracle_check import TABLES, digest, pandas_rows
 
 from .conftest import SF001
 
@@ -25,7 +25,7 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.LLM_QUERIES)))
 def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF001).toPandas()
+    sdf = pandas_rows(E.queries()[name](spark, SF001))
     sql = E.oracle_sql().get(name)
     if sql is None:
         assert len(sdf) > 0 and not sdf.isna().all().any()
