@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, jaccard, langid, mixing, oracles, pii, quality, suffix_dedup, topk, warc
+from . import bpe, html_text, jaccard, langid, mixing, oracles, pii, quality, suffix_dedup, topk, variants, warc
 from .common import read
 
 
@@ -88,7 +88,13 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, forms and roots of the vocabulary of all documents."""
+    return variants.variants(variants.word_counts(read(spark, sf_dir, "documents")))
+
+
 QUERIES = {
+    "op11_spelling_variants": op11_spelling_variants,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op2_exact_topk": op2_exact_topk,

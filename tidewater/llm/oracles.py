@@ -60,7 +60,45 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+VARIANTS = r"""
+WITH RECURSIVE steps AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) ORDER BY b) AS t
+  FROM range(256) AS r(b)),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents),
+per AS (SELECT id, run, count(*) AS k, hex(encode(id || ':' || run)) AS x FROM runs GROUP BY id, run),
+summed AS (
+  SELECT run, k, xor(4294967295, list_reduce(
+           list_transform(range(1, len(x), 2), lambda i: CAST(CAST('0x' || substr(x, i, 2) AS UTINYINT) AS BIGINT)),
+           lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295)) AS h
+  FROM per, steps),
+made AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word, k FROM summed),
+words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM made WHERE len(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+cut AS (
+  SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest, substr(word, i + 1, 1) AS c
+  FROM (SELECT word, unnest(range(len(word))) AS i FROM words)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.c <> b.c
+  UNION SELECT cut.word, words.word FROM cut JOIN words ON words.word = cut.rest
+  UNION SELECT words.word, cut.word FROM cut JOIN words ON words.word = cut.rest),
+ranked AS (
+  SELECT a, b, words.n AS bn, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY words.n DESC, b) AS rk
+  FROM pairs JOIN words ON words.word = b),
+forms AS (
+  SELECT word, n, CASE WHEN bn >= 2 * n THEN b END AS form, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 2 * n THEN bn END AS form_n
+  FROM words LEFT JOIN ranked ON a = word AND rk = 1),
+chain AS (
+  SELECT word, word AS node FROM forms
+  UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.node WHERE forms.form IS NOT NULL)
+SELECT forms.word, forms.form, chain.node AS root, forms.n, forms.n_near, forms.form_n
+FROM forms JOIN chain ON chain.word = forms.word JOIN forms AS last ON last.word = chain.node AND last.form IS NULL
+"""
+
 ORACLES = {
+    "op11_spelling_variants": VARIANTS,
     "op2_exact_topk": TOPK,
     "op10_warc": WARC,
     "op3_source_mix": MIX,
