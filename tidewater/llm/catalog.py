@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, jaccard, langid, mixing, oracles, pii, quality, suffix_dedup, topk, variants, warc
+from . import bpe, collocations, html_text, jaccard, langid, mixing, oracles, pii, quality, suffix_dedup, topk, variants, warc
 from .common import read
 
 
@@ -93,7 +93,13 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(variants.word_counts(read(spark, sf_dir, "documents")))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two and three words of each language over all documents."""
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op13_collocations": op13_collocations,
     "op11_spelling_variants": op11_spelling_variants,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_jaccard_join": op5_jaccard_join,

@@ -97,7 +97,38 @@ SELECT forms.word, forms.form, chain.node AS root, forms.n, forms.n_near, forms.
 FROM forms JOIN chain ON chain.word = forms.word JOIN forms AS last ON last.word = chain.node AND last.form IS NULL
 """
 
+COLLOCATIONS = r"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+grams AS (
+  SELECT lang, 1 AS k, w[i] AS phrase FROM placed
+  UNION ALL SELECT lang, 2, w[i] || ' ' || w[i + 1] FROM placed WHERE i + 1 <= len(w)
+  UNION ALL SELECT lang, 3, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM placed WHERE i + 2 <= len(w)),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS BIGINT) AS n FROM grams GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND n >= 10),
+longer AS (
+  SELECT lang, phrase, max(a) AS a
+  FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM cand WHERE k = 3) GROUP BY lang, phrase),
+kept AS (
+  SELECT c.* FROM cand c LEFT JOIN longer g ON c.k = 2 AND g.lang = c.lang AND g.phrase = c.phrase
+  WHERE g.a IS NULL OR 100 * g.a < 50 * c.a),
+cuts AS (
+  SELECT lang, k, phrase, a, unnest(range(1, k)) AS pos, w FROM kept),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, cuts.pos, x.n AS l, y.n AS r,
+         CAST((CAST(1000000 AS HUGEINT) * cuts.a * cuts.a) // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(list_slice(w, 1, pos), ' ')
+            JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(list_slice(w, pos + 1, k), ' ')),
+least_cut AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, pos) AS pick FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least_cut WHERE pick = 1)
+SELECT ranked.lang, rank, phrase, a, l, r, total.n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
+"""
+
 ORACLES = {
+    "op13_collocations": COLLOCATIONS,
     "op11_spelling_variants": VARIANTS,
     "op2_exact_topk": TOPK,
     "op10_warc": WARC,
