@@ -120,8 +120,8 @@ cuts AS (
 scored AS (
   SELECT cuts.lang, cuts.phrase, cuts.a, cuts.pos, x.n AS l, y.n AS r,
          CAST((CAST(1000000 AS HUGEINT) * cuts.a * cuts.a) // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
-  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(list_slice(w, 1, pos), ' ')
-            JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(list_slice(w, pos + 1, k), ' ')),
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(list_slice(w, 1, cuts.pos), ' ')
+            JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(list_slice(w, pos + 1, cuts.k), ' ')),
 least_cut AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, pos) AS pick FROM scored),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least_cut WHERE pick = 1)
 SELECT ranked.lang, rank, phrase, a, l, r, total.n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
