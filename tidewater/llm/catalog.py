@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, collocations, html_text, jaccard, langid, mixing, oracles, pii, quality, suffix_dedup, topk, variants, warc
+from . import bpe, chat, collocations, html_text, jaccard, langid, mixing, oracles, pii, quality, suffix_dedup, topk, variants, warc
 from .common import read
 
 
@@ -98,7 +98,19 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
 
+#: A conversation whose texts look like the template's own marks.
+LOOKALIKE = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted with a loss mask, and what reading them back gives."""
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(LOOKALIKE, "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_chats(rows.unionByName(extra)))
+
+
 QUERIES = {
+    "op12_chat_format": op12_chat_format,
     "op13_collocations": op13_collocations,
     "op11_spelling_variants": op11_spelling_variants,
     "op4_suffix_dedup": op4_suffix_dedup,

@@ -127,7 +127,25 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT ranked.lang, rank, phrase, a, l, r, total.n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
 """
 
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r, text AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]', 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]', 'assistant', '</s>[INST] ok [/INST]'),
+escaped AS (
+  SELECT *, len(regexp_replace(text, '([<\[])(\\*)(/?(?:s|SYS|ROLE|END)>|/?INST\])', '\1\\\2\3', 'g')) AS n,
+         len(regexp_replace(role, '([<\[])(\\*)(/?(?:s|SYS|ROLE|END)>|/?INST\])', '\1\\\2\3', 'g')) AS rn
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN len(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)) AS loss_sha256,
+       CAST(3 + sum(n + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 6 WHEN 'system' THEN 13 ELSE 20 + rn END) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
 ORACLES = {
+    "op12_chat_format": CHAT,
     "op13_collocations": COLLOCATIONS,
     "op11_spelling_variants": VARIANTS,
     "op2_exact_topk": TOPK,
