@@ -2,6 +2,8 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
 from tidewater.functions import stats
 from tidewater.operators.regression import durbin_watson, hash_split, ols, significant_terms
@@ -149,7 +151,7 @@ def test_staged_regression_matches_numpy(spark):
 
 def test_staged_durbin_watson_and_summaries(spark, tmp_path):
     from tidewater.plans.staged import staged_regression
-    from tidewater.sources.sinks import write_summaries
+    from tidewater.sources.sinks import read_summaries, write_summaries
 
     rng = np.random.default_rng(9)
     n = 300
@@ -160,10 +162,50 @@ def test_staged_durbin_watson_and_summaries(spark, tmp_path):
     for stage in ("raw", "threshold", "log", "final"):
         dw = res.fits[stage].diagnostics["durbin_watson"]
         assert 0.0 < dw < 4.0
-    write_summaries(spark, res, str(tmp_path / "s"))
-    back = spark.read.parquet(str(tmp_path / "s" / "fit"))
-    assert back.select("stage").distinct().count() == 4
-    assert back.filter("stat = 'durbin_watson'").count() == 4
+    path = str(tmp_path / "s")
+    assert write_summaries(spark, res, path) == 1
+    back = read_summaries(spark, path)
+    assert back["fit"].select("stage").distinct().count() == 4
+    assert back["fit"].filter("stat = 'durbin_watson'").count() == 4
+    assert {r.stat for r in back["holdout"].collect()} == {"n", "mse", "rmse", "rmse_original", "discarded_terms"}
+    assert back["final"].count() == int((y >= 100).sum()) and back["coef"].count() == res.coef_df(spark).count()
+    (tmp_path / "s" / "data-half").mkdir()  # a writer that failed before its marker
+    assert write_summaries(spark, res, path) == 2 and set(read_summaries(spark, path, 1)) == set(back)
+    with pytest.raises(FileNotFoundError):
+        read_summaries(spark, path, 3)
+
+
+def test_triangles_give_subsets_unions_and_errors(spark):
+    from tidewater.operators.regression import ModelSpec, fit_of, triangles
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 4)) * [1, 100, 1e-3, 5] + [0, 1e4, 0, 3]
+    y = x @ [1, 0.5, 200, -2] + rng.normal(size=500)
+    pdf = pd.DataFrame(np.column_stack([x, y]), columns=list("abcdy")).assign(one=np.arange(500) < 300, two=np.arange(500) >= 300)
+    first, second = triangles(spark.createDataFrame(pdf).repartition(5), [ModelSpec(m, "y", list("abcd"), m) for m in ("one", "two")])
+    assert (first.n, second.n) == (300, 200)
+    fit = fit_of(ModelSpec("s", "y", ["b", "d"], ""), first.merged(second).of_terms([1, 3]))
+    want = np.linalg.lstsq(np.column_stack([np.ones(500), x[:, [1, 3]]]), y, rcond=None)[0]
+    assert np.allclose(fit.coef, want) and fit.n == 500
+    left = y[300:] - np.column_stack([np.ones(200), x[300:, [1, 3]]]) @ want
+    assert np.isclose(second.of_terms([1, 3]).squared_error(fit.coef), left @ left)
+
+
+def test_durbin_watson_of_a_key_on_a_third_of_the_rows(spark):
+    """Rows that tie on key and residual are spread, and the value does not depend on it."""
+    from tidewater.operators.regression import in_order, steps
+
+    n = 6000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 0, 0.25).otherwise(F.sin(F.col("id").cast("double"))).alias("e"),
+    )
+    sizes = [r["count"] for r in in_order(rows, ["k", "e"], n, 8).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < n / 4
+    pdf = rows.toPandas().sort_values(["k", "e"])
+    want = float((np.diff(pdf.e) ** 2).sum() / (pdf.e ** 2).sum())
+    for parts in (1, 3, 8):
+        assert np.isclose(steps(rows.repartition(4), ["e"], ["k"], n, parts)[0], want)
 
 
 def test_rank_does_not_depend_on_the_number_of_rows():
@@ -211,7 +253,7 @@ def test_tails_and_moment_tests_at_known_values():
 
     assert abs(stats.t_sf2(2.0, 10) - 0.07338803477074049) < 1e-12
     assert abs(stats.t_ppf(0.975, 5) - 2.5705818366147395) < 1e-9
-    assert abs(stats.f_sf(3.0, 4, 20) - 0.04317277) < 1e-6
+    assert abs(stats.f_sf(3.0, 4, 20) - 0.625**10 * 4.75) < 1e-12  # I_0.625(10, 2)
     assert abs(stats.betainc(0.5, 0.5, 0.25) - 1 / 3) < 1e-13
     assert abs(stats.betainc(2e6, 0.5, 0.999999) - (1 - stats.betainc(0.5, 2e6, 1e-6))) < 1e-12
     assert abs(stats.skew_test_z(0.0, 50)) < 1e-12 and stats.skew_test_z(1.0, 50) > 2.5

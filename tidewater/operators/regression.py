@@ -4,7 +4,7 @@ Fit = two Spark passes, each a map-side reduction to O(k^2) numbers:
 
 1. **TSQR** (tall-skinny QR).  Every task QR-factorises its rows of the
    design ``[1, x_1..x_k, y]`` batch by batch (Arrow batches through
-   ``mapInPandas``), keeping only the (k+2)x(k+2) triangle R.  The triangles
+   ``mapInArrow``), keeping only the (k+2)x(k+2) triangle R.  The triangles
    are merged on a bounded tree (``applyInPandas`` over at most
    ``TREE_FANOUT`` groups) and the last few are merged on the driver.  R has
    the singular values of the design, so the pseudo-inverse, the rank and the
@@ -13,9 +13,13 @@ Fit = two Spark passes, each a map-side reduction to O(k^2) numbers:
 2. **Residual moments**: one ``agg`` of sum(e^p), p = 1..4, with e = y - Xb
    as a JVM expression (whole-stage codegen).
 
-Durbin-Watson needs an order: range partitioning on the order key, a sort
-within partitions and per-partition sums plus edge residuals; the driver
-stitches partition edges together (one value pair per partition).
+A triangle also gives the models of fewer columns, of joined row sets and the
+errors of other coefficients on its rows, all without reading the data again.
+
+Durbin-Watson needs an order: range partitioning on the order key, the residuals and
+the row's place, a sort within partitions and per-partition sums plus edge
+residuals; the driver stitches partition edges together (one value pair per
+partition and model).
 """
 
 from __future__ import annotations
@@ -56,55 +60,97 @@ def _qr_r(a: np.ndarray) -> np.ndarray:
 
 @dataclass
 class ModelSpec:
-    """One model of a multi-model fit: response, terms and the row mask column."""
+    """One model of a multi-model fit: response, terms and the row mask column.
+
+    ``log`` fits ``log1p`` of every column; rows with a value of -1 or less leave that fit.
+    """
 
     name: str
     response: str
     terms: list[str]
     mask: str
+    log: bool = False
+
+
+@dataclass
+class Triangle:
+    """R factor of ``[1, X, y]`` over the rows of one model, and how many they are."""
+
+    r: np.ndarray
+    n: int
 
+    def of_terms(self, places: list[int]) -> Triangle:
+        """The triangle of the design with only the terms at ``places``: no scan of the data.
 
-def _tsqr_many(data: DataFrame, specs: list[ModelSpec]) -> list[np.ndarray]:
-    """R factor of [1, X, y] of every model, all from one scan of ``data``.
+        The columns of R have the inner products of the design's columns, so those
+        kept are factored again.
+        """
+        k = self.r.shape[1] - 2
+        return Triangle(_qr_r(self.r[:, [0, *[1 + p for p in places], 1 + k]]), self.n)
 
-    Each task keeps one (k+2)x(k+2) triangle per model over its own masked
-    rows; they are merged per model on a ``TREE_FANOUT``-way tree, and the
-    driver merges what that leaves.
+    def merged(self, other: Triangle) -> Triangle:
+        """The triangle of both row sets together."""
+        return Triangle(_qr_r(np.vstack([self.r, other.r])), self.n + other.n)
+
+    def squared_error(self, coef: np.ndarray) -> float:
+        """Sum of squared residuals of these coefficients (intercept first) over the rows."""
+        left = self.r[:, -1] - self.r[:, :-1] @ coef
+        return float(left @ left)
+
+
+def triangles(data: DataFrame, specs: list[ModelSpec]) -> list[Triangle]:
+    """The triangle of every model, all from one scan of ``data`` (double columns, boolean masks).
+
+    A model uses the masked rows whose values are all finite (after ``log1p``, if
+    it is a log model).  Each task keeps one (k+2)x(k+2) triangle per model;
+    they are merged per model on a ``TREE_FANOUT``-way tree, and the driver merges
+    what that leaves.
     """
     widths = [len(sp.terms) + 2 for sp in specs]
+    columns = list(dict.fromkeys(c for sp in specs for c in [*sp.terms, sp.response]))
+    places = [[columns.index(c) for c in [*sp.terms, sp.response]] for sp in specs]
+    logs = any(sp.log for sp in specs)
+    masks = list(dict.fromkeys(sp.mask for sp in specs))
 
     def per_task(batches):
+        import pyarrow as pa
         from pyspark import TaskContext
 
         bucket = TaskContext.get().partitionId() % TREE_FANOUT
-        rs = [np.zeros((0, w)) for w in widths]
-        for pdf in batches:
-            if len(pdf) == 0:
+        rs, ns = [np.zeros((0, w)) for w in widths], [0] * len(specs)
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
+            values = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns]).astype(np.float64, copy=False)
+            flags = {m: np.asarray(batch.column(m).fill_null(False).to_numpy(zero_copy_only=False), dtype=bool) for m in masks}
+            with np.errstate(divide="ignore", invalid="ignore"):
+                logged = np.log1p(values) if logs else values
             for i, sp in enumerate(specs):
-                mask = pdf[sp.mask].to_numpy(dtype=bool)
-                if not mask.any():
-                    continue
-                block = np.empty((int(mask.sum()), widths[i]))
+                block = np.empty((batch.num_rows, widths[i]))
                 block[:, 0] = 1.0
-                block[:, 1:] = pdf.loc[mask, list(sp.terms) + [sp.response]].to_numpy(dtype=np.float64)
-                rs[i] = _qr_r(np.vstack([rs[i], block]))
-        out = [(i, bucket, r.ravel().tolist(), r.shape[0]) for i, r in enumerate(rs) if r.shape[0]]
+                block[:, 1:] = (logged if sp.log else values)[:, places[i]]
+                block = block[flags[sp.mask] & np.isfinite(block).all(axis=1)]
+                if len(block):
+                    rs[i], ns[i] = _qr_r(np.vstack([rs[i], block])), ns[i] + len(block)
+        out = [(i, bucket, r.ravel().tolist(), r.shape[0], n) for i, (r, n) in enumerate(zip(rs, ns)) if n]
         if out:
-            yield pd.DataFrame(out, columns=["model", "b", "r", "m"])
+            yield pa.RecordBatch.from_pandas(
+                pd.DataFrame(out, columns=["model", "b", "r", "m", "n"]).astype({"model": "int32", "b": "int32", "m": "int32"}), preserve_index=False
+            )
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         i = int(pdf["model"].iloc[0])
         blocks = [np.asarray(v, dtype=np.float64).reshape(m, widths[i]) for v, m in zip(pdf["r"], pdf["m"])]
         r = _qr_r(np.vstack(blocks))
-        return pd.DataFrame({"model": [i], "r": [r.ravel().tolist()], "m": [r.shape[0]]})
+        return pd.DataFrame({"model": [i], "r": [r.ravel().tolist()], "m": [r.shape[0]], "n": [int(pdf["n"].sum())]})
 
-    partial = data.mapInPandas(per_task, "model int, b int, r array<double>, m int")
-    rows = partial.groupBy("model", "b").applyInPandas(merge, "model int, r array<double>, m int").collect()
+    partial = data.select(*columns, *masks).mapInArrow(per_task, "model int, b int, r array<double>, m int, n long")
+    rows = partial.groupBy("model", "b").applyInPandas(merge, "model int, r array<double>, m int, n long").collect()
     out = []
     for i, w in enumerate(widths):
-        blocks = [np.asarray(r["r"], dtype=np.float64).reshape(r["m"], w) for r in rows if r["model"] == i]
-        out.append(_qr_r(np.vstack(blocks)) if blocks else np.zeros((0, w)))
+        mine = [r for r in rows if r["model"] == i]
+        blocks = [np.asarray(r["r"], dtype=np.float64).reshape(r["m"], w) for r in mine]
+        out.append(Triangle(_qr_r(np.vstack(blocks)) if blocks else np.zeros((0, w)), sum(r["n"] for r in mine)))
     return out
 
 
@@ -262,6 +308,22 @@ def finite_mask(cols: list[str]) -> Column:
     return cond
 
 
+def fit_of(sp: ModelSpec, triangle: Triangle, moments: dict[str, float] | None = None) -> OLSFit:
+    """The model that a triangle gives; residual diagnostics need the moments of a scan."""
+    coef, cov, s, tss, rank = _solve(triangle.r, len(sp.terms) + 1)
+    mom = moments or {"n": float(triangle.n), "s2": triangle.squared_error(coef)}
+    return _assemble(sp, coef, cov, s, tss, rank, mom, moments is not None)
+
+
+def moment_columns(e: Column, name: str) -> list[Column]:
+    """Aggregates of a residual column: its count and the sums of its first four powers."""
+    return [F.count(e).alias(f"n_{name}")] + [F.sum(e ** p).alias(f"s{p}_{name}") for p in (1, 2, 3, 4)]
+
+
+def moments_of(row, name: str) -> dict[str, float]:
+    return {"n": float(row[f"n_{name}"] or 0)} | {f"s{p}": float(row[f"s{p}_{name}"] or 0.0) for p in (1, 2, 3, 4)}
+
+
 def ols_many(df: DataFrame, specs: list[ModelSpec], diagnostics: bool = True) -> dict[str, OLSFit]:
     """Several OLS models from two scans of ``df`` (one TSQR pass, one residual pass).
 
@@ -277,18 +339,15 @@ def ols_many(df: DataFrame, specs: list[ModelSpec], diagnostics: bool = True) ->
         e.mask: F.coalesce(F.col(sp.mask), F.lit(False)) & finite_mask([sp.response, *sp.terms])
         for sp, e in zip(specs, eff)
     }).select(*value_cols, *[e.mask for e in eff])
-    rs = _tsqr_many(data, eff)
-    solved = [_solve(r, len(sp.terms) + 1) for r, sp in zip(rs, eff)]
+    solved = [_solve(t.r, len(sp.terms) + 1) for t, sp in zip(triangles(data, eff), eff)]
     aggs = []
     for i, (sp, (coef, *_)) in enumerate(zip(eff, solved)):
         e = F.when(F.col(sp.mask), F.col(sp.response) - _linear(coef, sp.terms))
-        aggs += [F.count(e).alias(f"n{i}")] + [F.sum(e ** p).alias(f"s{p}_{i}") for p in (1, 2, 3, 4)]
+        aggs += moment_columns(e, str(i))
     row = data.agg(*aggs).first()
     fits = {}
     for i, (sp, e, (coef, cov, s, tss, rank)) in enumerate(zip(specs, eff, solved)):
-        mom = {"n": float(row[f"n{i}"] or 0)}
-        mom.update({f"s{p}": float(row[f"s{p}_{i}"] or 0.0) for p in (1, 2, 3, 4)})
-        fits[sp.name] = _assemble(sp, coef, cov, s, tss, rank, mom, diagnostics)
+        fits[sp.name] = _assemble(sp, coef, cov, s, tss, rank, moments_of(row, str(i)), diagnostics)
     return fits
 
 
@@ -319,102 +378,46 @@ def _moment_diagnostics(mom: dict[str, float]) -> dict[str, float]:
     return {"omnibus": omni, "omnibus_pvalue": omni_p, "skew": skew, "kurtosis": kurt, "jarque_bera": jb, "jarque_bera_pvalue": jb_p}
 
 
-def durbin_watson(df: DataFrame, fit: OLSFit, order_by: list[str] | None = None, partitions: int | None = None) -> float:
-    """Durbin-Watson statistic of the residuals in ``order_by`` order.
+#: Bytes of residuals and keys that one task of an ordered scan should hold.
+ORDERED_BYTES = 64 << 20
 
-    Without ``order_by`` the order is a content hash of the row.  Remaining
-    ties are broken by the residual (rows tying on both are interchangeable),
-    so the value is deterministic and independent of partitioning.
-    """
-    data, _ = design(df, fit.response, fit.terms)
-    cols = data.columns
-    if order_by:
-        keyed = df.select(*order_by, *[F.col(c).cast("double").alias(f"__{c}") for c in cols])
-        keyed = _rows_finite(keyed, [f"__{c}" for c in cols])
-        pred = F.lit(float(fit.coef[0]))
-        for name, b in zip(fit.terms, fit.coef[1:]):
-            pred = pred + F.lit(float(b)) * F.col(f"__{name}")
-        e = F.col(f"__{fit.response}") - pred
-        order_cols = list(order_by)
-    else:
-        keyed = data.withColumn("__h", F.xxhash64(*[F.col(c) for c in cols]))
-        e = F.col(fit.response) - fit.prediction()
-        order_cols = ["__h"]
-    resid = keyed.select(*order_cols, e.alias("__e"))
-    nparts = partitions or resid.sparkSession.sparkContext.defaultParallelism
-    keys = [*order_cols, "__e"]
-    ranged = resid.repartitionByRange(nparts, *keys).sortWithinPartitions(*keys)
 
-    def per_part(batches):
-        from pyspark import TaskContext
+def in_order(rows: DataFrame, keys: list[str], n_rows: int | None = None, partitions: int | None = None) -> DataFrame:
+    """``rows`` range-partitioned and sorted by ``keys``; equal keys may lie in several partitions.
 
-        pid = TaskContext.get().partitionId()
-        first = last = None
-        ssd = 0.0
-        sse = 0.0
-        for pdf in batches:
-            v = pdf["__e"].to_numpy(dtype=np.float64)
-            if v.size == 0:
-                continue
-            if last is not None:
-                ssd += (v[0] - last) ** 2
-            else:
-                first = v[0]
-            ssd += float(np.sum(np.diff(v) ** 2))
-            sse += float(np.dot(v, v))
-            last = v[-1]
-        if first is not None:
-            yield pd.DataFrame({"pid": [pid], "first": [first], "last": [last], "ssd": [ssd], "sse": [sse]})
-
-    parts = ranged.select("__e").mapInPandas(per_part, "pid int, first double, last double, ssd double, sse double").collect()
-    parts = sorted(parts, key=lambda r: r["pid"])
-    ssd = sum(r["ssd"] for r in parts)
-    sse = sum(r["sse"] for r in parts)
-    for a, b in zip(parts, parts[1:]):
-        ssd += (b["first"] - a["last"]) ** 2
-    return ssd / sse if sse > 0 else float("nan")
+    The place of a row (partition and position) is the last key, so a key that
+    a third of all rows hold is cut like any other range.  The number of partitions follows the
+    number of rows.  Only for results that do not depend on the order of rows
+    whose keys are all equal.
+    """
+    n = rows.count() if n_rows is None else n_rows
+    parallel = rows.sparkSession.sparkContext.defaultParallelism
+    need = max(partitions or parallel, -(-n * 16 * (1 + len(rows.columns)) // ORDERED_BYTES))
+    placed = rows.withColumn("__place", F.monotonically_increasing_id())
+    keys = [*keys, "__place"]
+    return placed.repartitionByRange(need, *keys).sortWithinPartitions(*keys).drop("__place")
 
 
-def durbin_watson_many(
-    df: DataFrame,
-    models: list[tuple[OLSFit, str]],
-    order_by: list[str],
-    partitions: int | None = None,
-) -> list[float]:
-    """Durbin-Watson of several models (each with its row-mask column) from one sorted scan.
-
-    Rows are range-partitioned and sorted once by ``order_by`` and then by
-    the residuals themselves; each task returns, per model, the sum of
-    squared successive differences of the model's residuals over its masked
-    rows, their sum of squares and the first and last residual; the driver
-    adds the differences across partition edges.
-
-    The residuals as trailing sort keys make any ``order_by`` deterministic:
-    rows that tie on every key are interchangeable for the statistic.  So a
-    content hash alone is enough as ``order_by``, and only it and the
-    residuals are shuffled.
+def steps(resid: DataFrame, names: list[str], order_by: list[str], n_rows: int | None = None, partitions: int | None = None) -> list[float]:
+    """Durbin-Watson of each residual column (null: not a row of that model) in ``order_by`` order.
+
+    Ties are broken by the residuals: rows tying on those too are interchangeable,
+    so the value does not depend on partitioning.  Each task returns, per column, the sum of
+    squared successive differences and of squares, and its first and last residual;
+    the driver adds the differences across partition edges.
     """
-    cols = []
-    for i, (fit, mask) in enumerate(models):
-        ok = F.coalesce(F.col(mask), F.lit(False)) & finite_mask([fit.response, *fit.terms])
-        cols.append(F.when(ok, F.col(fit.response).cast("double") - fit.prediction()).alias(f"__e{i}"))
-    resid = df.select(*order_by, *cols)
-    nparts = partitions or df.sparkSession.sparkContext.defaultParallelism
-    names = [f"__e{i}" for i in range(len(models))]
-    keys = [*order_by, *names]
-    ranged = resid.repartitionByRange(nparts, *keys).sortWithinPartitions(*keys)
+    ranged = in_order(resid.select(*order_by, *names), [*order_by, *names], n_rows, partitions)
 
     def per_part(batches):
+        import pyarrow as pa
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        first = [None] * len(names)
-        last = [None] * len(names)
-        ssd = [0.0] * len(names)
-        sse = [0.0] * len(names)
-        for pdf in batches:
+        first, last = [None] * len(names), [None] * len(names)
+        ssd, sse = [0.0] * len(names), [0.0] * len(names)
+        for batch in batches:
             for i, c in enumerate(names):
-                v = pdf[c].dropna().to_numpy(dtype=np.float64)
+                v = batch.column(c).drop_null().to_numpy(zero_copy_only=False)
                 if v.size == 0:
                     continue
                 if last[i] is not None:
@@ -426,13 +429,13 @@ def durbin_watson_many(
                 last[i] = v[-1]
         rows = [(pid, i, first[i], last[i], ssd[i], sse[i]) for i in range(len(names)) if first[i] is not None]
         if rows:
-            yield pd.DataFrame(rows, columns=["pid", "model", "first", "last", "ssd", "sse"])
+            yield pa.RecordBatch.from_pandas(
+                pd.DataFrame(rows, columns=["pid", "model", "first", "last", "ssd", "sse"]).astype({"pid": "int32", "model": "int32"}), preserve_index=False
+            )
 
-    parts = ranged.select(*names).mapInPandas(
-        per_part, "pid int, model int, first double, last double, ssd double, sse double"
-    ).collect()
+    parts = ranged.select(*names).mapInArrow(per_part, "pid int, model int, first double, last double, ssd double, sse double").collect()
     out = []
-    for i in range(len(models)):
+    for i in range(len(names)):
         mine = sorted((r for r in parts if r["model"] == i), key=lambda r: r["pid"])
         ssd = sum(r["ssd"] for r in mine) + sum((b["first"] - a["last"]) ** 2 for a, b in zip(mine, mine[1:]))
         sse = sum(r["sse"] for r in mine)
@@ -440,6 +443,31 @@ def durbin_watson_many(
     return out
 
 
+def durbin_watson_many(
+    df: DataFrame,
+    models: list[tuple[OLSFit, str]],
+    order_by: list[str],
+    partitions: int | None = None,
+) -> list[float]:
+    """Durbin-Watson of several models (each with its row-mask column) from one sorted scan."""
+    cols = []
+    for i, (fit, mask) in enumerate(models):
+        ok = F.coalesce(F.col(mask), F.lit(False)) & finite_mask([fit.response, *fit.terms])
+        cols.append(F.when(ok, F.col(fit.response).cast("double") - fit.prediction()).alias(f"__e{i}"))
+    return steps(df.select(*order_by, *cols), [f"__e{i}" for i in range(len(models))], order_by, max((f.n for f, _ in models), default=0), partitions)
+
+
+def durbin_watson(df: DataFrame, fit: OLSFit, order_by: list[str] | None = None, partitions: int | None = None) -> float:
+    """Durbin-Watson statistic of the residuals in ``order_by`` order.
+
+    Without ``order_by`` the order is a content hash of the row's values.
+    """
+    if order_by is None:
+        df = df.select(*[F.col(c).cast("double").alias(c) for c in [fit.response, *fit.terms]])
+        df, order_by = df.withColumn("__h", F.xxhash64(*df.columns)), ["__h"]
+    return durbin_watson_many(df.withColumn("__all", F.lit(True)), [(fit, "__all")], list(order_by), partitions)[0]
+
+
 def significant_terms(fit: OLSFit, alpha: float = 0.05) -> list[str]:
     """Terms with p < alpha, intercept removed."""
     return [n for n, p in zip(fit.names, fit.p) if p < alpha and n != INTERCEPT]

@@ -8,6 +8,7 @@ engine can be compared value by value.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from ..functions.text import clean_name, sentiment_score, star_label, text_lengt
 from ..functions.time import between_time, local_hour, micros_of_day, parse_ts, serial_to_ts, to_zone
 from ..operators import explore, labels, posts, regression, ticks
 from ..session import ensure_checkpoint_dir
-from ..sources import readers
+from ..sources import readers, sinks
 from . import views
 from .features import build_features
 from .staged import log1p_all, staged_regression
@@ -405,6 +406,43 @@ def q_staged_fit(spark, sf_dir):
     return res.fit_df(spark)
 
 
+def _staged_small(spark, sf_dir):
+    """All four stages on two regressors, split by the post id and in its order."""
+    m = _metrics(spark, sf_dir).select("id", "like_count", "reply_count", "impression_count")
+    return staged_regression(m, split_key="id", order_by="id")
+
+
+def q_staged_small_fit(spark, sf_dir):
+    """Every statistic of every stage but the p-values, as seven significant digits and an exponent."""
+    rows = _staged_small(spark, sf_dir).fit_df(spark).where(~F.col("stat").endswith("pvalue") & ~F.isnan("value"))
+    exponent = F.when(F.col("value") == 0, 0).otherwise(F.floor(F.log10(F.abs("value")))).cast("int")
+    rows = rows.withColumn("exponent", exponent)
+    return rows.select("stage", "stat", "exponent", F.round(F.col("value") / F.pow(F.lit(10.0), "exponent"), 6).alias("digits"))
+
+
+def q_staged_small_coefficients(spark, sf_dir):
+    c = _staged_small(spark, sf_dir).coef_df(spark)
+    return c.select("stage", "term", F.round("coef", 5).alias("coef"), F.round("std_err", 5).alias("std_err"), F.round("t", 4).alias("t"))
+
+
+def q_staged_small_holdout(spark, sf_dir):
+    return _staged_small(spark, sf_dir).holdout_df(spark).withColumn("value", F.round("value", 4))
+
+
+def q_model_summaries(spark, sf_dir):
+    """All results of the stages stored under one version and read back; sums of the final table."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/summaries-{uuid.uuid4().hex}"
+    sinks.write_summaries(spark, _staged_small(spark, sf_dir), path)
+    final = sinks.read_summaries(spark, path)["final"]
+    total = lambda c: F.sum(c) if c in final.columns else F.lit(0.0)
+    return final.agg(
+        F.count(F.lit(1)).alias("n"),
+        total("like_count").alias("sum_likes"),
+        total("reply_count").alias("sum_replies"),
+        F.sum("impression_count").alias("sum_impressions"),
+    )
+
+
 def q_coef_table(spark, sf_dir):
     _, fit = _two_regressor_fit(spark, sf_dir)
     c = regression.coef_table(fit, spark)

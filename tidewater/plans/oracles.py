@@ -227,6 +227,9 @@ clean_q AS (
 )"""
 
 
+PLACE = "CAST(('0x' || substr(md5(id), 1, 8)) AS BIGINT)"
+
+
 def _two_regressor(where: str = "TRUE") -> str:
     """Closed-form OLS of impression_count on like_count and reply_count."""
     return _with(POSTS) + f""",
@@ -315,6 +318,137 @@ SELECT stat, round(value, 4) AS value FROM (
   UNION ALL SELECT 'bic', -2 * llf + 3 * ln(n) FROM h)"""
 
 
+def _staged() -> str:
+    """The four stages on like_count and reply_count in closed form.
+
+    ``rows_of`` holds every stage's rows, ``mo`` their centred sums, ``se``/``pv`` the log stage's tests;
+    a term that the log stage drops has slope 0 in the final stage.
+    """
+    cut = round(0.2 * 2**32)
+    sums = """count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2,
+         regr_sxx(y, x1) AS s11, regr_sxx(y, x2) AS s22, regr_sxy(x1, x2) AS s12,
+         regr_sxy(y, x1) AS s1y, regr_sxy(y, x2) AS s2y, regr_syy(y, x1) AS syy"""
+    p_value = """greatest(0.0, 1 - 2 * exp(lgamma((n - 2) / 2.0) - lgamma((n - 3) / 2.0)) / sqrt((n - 3) * pi())
+         * list_sum(list_transform(range(4001), lambda i: CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+             * exp(-(n - 2) / 2.0 * ln(1 + power(least(abs(t), 40.0) * i / 4000, 2) / (n - 3))))) * least(abs(t), 40.0) / 12000)"""
+    return _with(POSTS) + f""",
+base AS (
+  SELECT row_number() OVER () AS rn, id, CAST(impression_count AS DOUBLE) AS y, CAST(like_count AS DOUBLE) AS x1, CAST(reply_count AS DOUBLE) AS x2,
+         {PLACE} < {cut} AS held
+  FROM posts),
+logs AS (SELECT rn, id, ln(1 + y) AS y, ln(1 + x1) AS x1, ln(1 + x2) AS x2, held FROM base WHERE y >= 100),
+lm AS (SELECT {sums} FROM logs),
+lb AS (
+  SELECT *, s11 * s22 - s12 * s12 AS det, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+         (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM lm),
+lv AS (SELECT *, (syy - b1 * s1y - b2 * s2y) / (n - 3) AS sigma2 FROM lb),
+tests AS (
+  SELECT n, b1 / sqrt(sigma2 * s22 / det) AS t, 1 AS which FROM lv UNION ALL SELECT n, b2 / sqrt(sigma2 * s11 / det), 2 FROM lv),
+picked AS (SELECT bool_or(which = 1 AND {p_value} < 0.05) AS u1, bool_or(which = 2 AND {p_value} < 0.05) AS u2 FROM tests),
+rows_of AS (
+  SELECT 'raw' AS stage, rn, id, y, x1, x2, TRUE AS u1, TRUE AS u2 FROM base
+  UNION ALL SELECT 'threshold', rn, id, y, x1, x2, TRUE, TRUE FROM base WHERE y >= 100
+  UNION ALL SELECT 'log', rn, id, y, x1, x2, TRUE, TRUE FROM logs
+  UNION ALL SELECT 'final', rn, id, y, x1, x2, u1, u2 FROM logs, picked
+  UNION ALL SELECT 'holdout', rn, id, y, x1, x2, u1, u2 FROM logs, picked WHERE NOT held),
+mo AS (SELECT stage, any_value(u1) AS u1, any_value(u2) AS u2, {sums} FROM rows_of GROUP BY stage),
+co AS (
+  SELECT *, 1 + CAST(u1 AS INTEGER) + CAST(u2 AS INTEGER) AS k, s11 * s22 - s12 * s12 AS det,
+         CASE WHEN u1 AND u2 THEN (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) WHEN u1 THEN s1y / s11 ELSE 0 END AS b1,
+         CASE WHEN u1 AND u2 THEN (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) WHEN u2 THEN s2y / s22 ELSE 0 END AS b2
+  FROM mo),
+fit AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0 FROM co),
+res AS (SELECT r.stage, r.rn, r.id, r.y - (f.b0 + f.b1 * r.x1 + f.b2 * r.x2) AS e FROM rows_of r JOIN fit f ON f.stage = r.stage),
+ord AS (  -- posts of one id in the order of their raw residuals, in every stage
+  SELECT res.stage, res.e, res.e - lag(res.e) OVER (PARTITION BY res.stage ORDER BY res.id, raw.e) AS step
+  FROM res JOIN res AS raw ON raw.stage = 'raw' AND raw.rn = res.rn),
+em AS (
+  SELECT stage, sum(e * e) AS ssr, avg(e) AS ea, sum(step * step) / sum(e * e) AS dw FROM ord GROUP BY stage),
+ce AS (
+  SELECT ord.stage, avg(power(e - ea, 2)) AS c2, avg(power(e - ea, 3)) AS c3, avg(power(e - ea, 4)) AS c4
+  FROM ord JOIN em ON em.stage = ord.stage GROUP BY ord.stage),
+st AS (
+  SELECT fit.*, em.ssr, em.dw, c3 / power(c2, 1.5) AS skew, c4 / (c2 * c2) AS kurt, 1 - em.ssr / syy AS r2, em.ssr / (n - k) AS sigma2,
+         -n / 2.0 * (ln(2 * pi()) + ln(em.ssr / n) + 1) AS llf
+  FROM fit JOIN em ON em.stage = fit.stage JOIN ce ON ce.stage = fit.stage)"""
+
+
+def _staged_fit() -> str:
+    return _staged() + """,
+sk AS (
+  SELECT *, skew * sqrt((n + 1.0) * (n + 3) / (6.0 * (n - 2))) AS sy,
+         3.0 * (1.0 * n * n + 27.0 * n - 70) * (n + 1) * (n + 3) / ((n - 2.0) * (n + 5) * (n + 7) * (n + 9)) AS beta2,
+         (kurt - 3.0 * (n - 1) / (n + 1)) / sqrt(24.0 * n * (n - 2) * (n - 3) / (power(n + 1.0, 2) * (n + 3) * (n + 5))) AS kx,
+         6.0 * (1.0 * n * n - 5.0 * n + 2) / ((n + 7.0) * (n + 9)) * sqrt(6.0 * (n + 3) * (n + 5) / (1.0 * n * (n - 2) * (n - 3))) AS sb
+  FROM st),
+w AS (SELECT *, sqrt(2 * (beta2 - 1)) - 1 AS w2, 6 + 8 / sb * (2 / sb + sqrt(1 + 4 / (sb * sb))) AS ka FROM sk),
+z AS (
+  SELECT *, 1 / sqrt(0.5 * ln(w2)) * asinh(sy / sqrt(2 / (w2 - 1))) AS zs,
+         ((1 - 2 / (9 * ka)) - cbrt((1 - 2 / ka) / (1 + kx * sqrt(2 / (ka - 4))))) / sqrt(2 / (9 * ka)) AS zk
+  FROM w),
+gram AS (
+  SELECT *, CAST(n AS DOUBLE) AS g00, CASE WHEN u1 THEN n * m1 ELSE 0 END AS g01, CASE WHEN u2 THEN n * m2 ELSE 0 END AS g02,
+         CASE WHEN u1 THEN s11 + n * m1 * m1 ELSE 0 END AS g11, CASE WHEN u2 THEN s22 + n * m2 * m2 ELSE 0 END AS g22,
+         CASE WHEN u1 AND u2 THEN s12 + n * m1 * m2 ELSE 0 END AS g12
+  FROM z),
+inv AS (
+  SELECT *, g00 + g11 + g22 AS tr,
+         CASE WHEN u1 THEN n * s11 ELSE 0 END + CASE WHEN u2 THEN n * s22 ELSE 0 END + g11 * g22 - g12 * g12 AS c2m,
+         CASE WHEN u1 AND u2 THEN n * det ELSE 0 END AS d3
+  FROM gram),
+big AS (
+  SELECT *, tr / 3 AS q, sqrt((power(g00 - tr / 3, 2) + power(g11 - tr / 3, 2) + power(g22 - tr / 3, 2) + 2 * (g01 * g01 + g02 * g02 + g12 * g12)) / 6) AS p FROM inv),
+ang AS (
+  SELECT *, ((g00 - q) * ((g11 - q) * (g22 - q) - g12 * g12) - g01 * (g01 * (g22 - q) - g12 * g02) + g02 * (g01 * g12 - (g11 - q) * g02)) / (2 * p * p * p) AS cosine FROM big),
+lam AS (SELECT *, q + 2 * p * cos(acos(greatest(-1.0, least(1.0, cosine))) / 3) AS l1 FROM ang),
+mid AS (SELECT *, (c2m - d3 / l1) / l1 AS sm, d3 / l1 AS dm FROM lam),
+cond AS (
+  SELECT *, sqrt(l1 / CASE WHEN k = 3 THEN 2 * dm / (sm + sqrt(sm * sm - 4 * dm)) WHEN k = 2 THEN sm ELSE l1 END) AS cond_no FROM mid),
+long AS (
+  SELECT stage, unnest(['nobs', 'rank', 'df_model', 'df_resid', 'ssr', 'centered_tss', 'r_squared', 'adj_r_squared', 'f_statistic', 'log_likelihood',
+                        'aic', 'bic', 'condition_number', 'omnibus', 'skew', 'kurtosis', 'jarque_bera', 'durbin_watson']) AS stat,
+         unnest([n, k, k - 1, n - k, ssr, syy, r2, 1 - (1 - r2) * (n - 1) / (n - k), (r2 / (k - 1)) / ((1 - r2) / (n - k)), llf,
+                 -2 * llf + 2 * k, -2 * llf + k * ln(n), cond_no, zs * zs + zk * zk, skew, kurt,
+                 n / 6.0 * (skew * skew + power(kurt - 3, 2) / 4), dw]::DOUBLE[]) AS value
+  FROM cond WHERE stage <> 'holdout')
+SELECT stage, stat, exponent, round(value / power(10.0, exponent), 6) AS digits
+FROM (SELECT *, CAST(CASE WHEN value = 0 THEN 0 ELSE floor(log10(abs(value))) END AS INTEGER) AS exponent FROM long WHERE isfinite(value))"""
+
+
+def _staged_coefficients() -> str:
+    return _staged() + f""",
+ses AS (
+  SELECT *, CASE WHEN u1 AND u2 THEN sigma2 * s22 / det WHEN u1 THEN sigma2 / s11 END AS v1,
+         CASE WHEN u1 AND u2 THEN sigma2 * s11 / det WHEN u2 THEN sigma2 / s22 END AS v2,
+         CASE WHEN u1 AND u2 THEN -sigma2 * s12 / det ELSE 0 END AS c12
+  FROM st WHERE stage <> 'holdout'),
+terms AS (
+  SELECT stage, 'Intercept' AS term, b0 AS coef,
+         sqrt(sigma2 / n + CASE WHEN u1 THEN m1 * m1 * v1 ELSE 0 END + CASE WHEN u2 THEN m2 * m2 * v2 ELSE 0 END + 2 * m1 * m2 * c12) AS se
+  FROM ses
+  UNION ALL SELECT stage, 'like_count', b1, sqrt(v1) FROM ses WHERE u1
+  UNION ALL SELECT stage, 'reply_count', b2, sqrt(v2) FROM ses WHERE u2)
+SELECT stage, term, round(coef, 5) AS coef, round(se, 5) AS std_err, round(coef / se, 4) AS t FROM terms"""
+
+
+def _staged_holdout() -> str:
+    return _staged() + """,
+e AS (
+  SELECT l.y - (f.b0 + f.b1 * l.x1 + f.b2 * l.x2) AS e, exp(l.y) - exp(f.b0 + f.b1 * l.x1 + f.b2 * l.x2) AS back
+  FROM logs l, fit f WHERE f.stage = 'holdout' AND l.held),
+s AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(e * e) AS mse, sqrt(avg(back * back)) AS original FROM e)
+SELECT stat, round(value, 4) AS value FROM (
+  SELECT 'n' AS stat, n AS value FROM s UNION ALL SELECT 'mse', mse FROM s UNION ALL SELECT 'rmse', sqrt(mse) FROM s
+  UNION ALL SELECT 'rmse_original', original FROM s
+  UNION ALL SELECT 'discarded_terms', 3 - CAST(u1 AS INTEGER) - CAST(u2 AS INTEGER) FROM picked)"""
+
+
+def _staged_final() -> str:
+    return _staged() + """
+SELECT count(*) AS n, sum(CASE WHEN u1 THEN x1 ELSE 0 END) AS sum_likes, sum(CASE WHEN u2 THEN x2 ELSE 0 END) AS sum_replies, sum(y) AS sum_impressions
+FROM base, picked WHERE y >= 100"""
+
+
 def _predict() -> str:
     return _two_regressor() + """
 SELECT p.id, round(g.b0 + g.b1 * p.like_count + g.b2 * p.reply_count, 4) AS prediction FROM posts p, g"""
@@ -326,7 +460,6 @@ SELECT CAST(p.impression_count AS DOUBLE) AS actual,
        round(g.b0 + g.b1 * p.like_count + g.b2 * p.reply_count, 4) AS predicted FROM posts p, g"""
 
 
-PLACE = "CAST(('0x' || substr(md5(id), 1, 8)) AS BIGINT)"
 
 AUTHORED = """
 authors AS (
@@ -550,6 +683,10 @@ SELECT round(sum(step * step) / sum(e * e), 4) AS durbin_watson FROM d"""
     )
     q["json_pages"] = _with(POSTS) + "SELECT id, author_id, created_at, lang FROM posts"
     q["ols_fit"] = _ols_fit()
+    q["staged_small_fit"] = _staged_fit()
+    q["staged_small_coefficients"] = _staged_coefficients()
+    q["staged_small_holdout"] = _staged_holdout()
+    q["model_summaries"] = _staged_final()
     q["predict_score"] = _predict()
     q["actual_vs_predicted"] = _actual_vs_predicted()
     q["serial_to_ts"] = (

@@ -8,6 +8,7 @@ zone, a shared checkpoint folder) and a local session for tests.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def staged(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back (deleted when the session ends).
+
+    Later jobs scan only the columns they use, and retries after a lost executor
+    start from the files.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    df.write.option("compression", "zstd").parquet(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -6,6 +6,8 @@ Nothing is collected to the driver: every writer is a distributed
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .arrow import FORMAT as ARROW_FORMAT
@@ -66,7 +68,54 @@ def write_events(df: DataFrame, path: str, compression: str = "zstd", partitions
     ).parquet(path)
 
 
-def write_summaries(spark: SparkSession, result, path: str) -> None:
-    """Coefficients and fit statistics of a staged regression, partitioned by stage."""
-    result.coef_df(spark).write.mode("overwrite").partitionBy("stage").parquet(f"{path}/coef")
-    result.fit_df(spark).write.mode("overwrite").partitionBy("stage").parquet(f"{path}/fit")
+SUMMARIES = ("coef", "fit", "holdout", "final")
+_VERSIONS = "_versions"
+
+
+def _store(spark: SparkSession, path: str):
+    """(the store that holds ``path``, ``path`` as the store names it)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions stored at ``path``."""
+    store, where = _store(spark, f"{path.rstrip('/')}/{_VERSIONS}")
+    return sorted(int(f.getPath().getName()) for f in store.listStatus(where)) if store.exists(where) else []
+
+
+def write_summaries(spark: SparkSession, result, path: str) -> int:
+    """All results of a staged regression as one version; returns its number.
+
+    Coefficients and fit statistics (partitioned by stage), hold-out errors with
+    the number of dropped terms, and the final table.  The tables are written to a
+    folder of their own first; a marker file, created in one step and never
+    overwritten, makes them the current version.  A reader sees all tables of
+    one version; a failed or concurrent writer leaves the others' as they are.
+    """
+    root, folder = path.rstrip("/"), f"data-{uuid.uuid4().hex}"
+    result.coef_df(spark).write.partitionBy("stage").parquet(f"{root}/{folder}/coef")
+    result.fit_df(spark).write.partitionBy("stage").parquet(f"{root}/{folder}/fit")
+    result.holdout_df(spark).write.parquet(f"{root}/{folder}/holdout")
+    result.final_table.write.option("compression", "zstd").parquet(f"{root}/{folder}/final")
+    number = max(versions(spark, root), default=0) + 1
+    store, marks = _store(spark, f"{root}/{_VERSIONS}")
+    store.mkdirs(marks)
+    while True:
+        store, mark = _store(spark, f"{root}/{_VERSIONS}/{number}")
+        _, draft = _store(spark, f"{root}/{folder}/_name")
+        with_name = store.create(draft, True)
+        with_name.write(folder.encode())
+        with_name.close()
+        if not store.exists(mark) and store.rename(draft, mark):
+            return number
+        number += 1
+
+
+def read_summaries(spark: SparkSession, path: str, version: int | None = None) -> dict[str, DataFrame]:
+    """The tables of a version (default: the last complete one) by name."""
+    root, found = path.rstrip("/"), versions(spark, path)
+    if not found or (version is not None and version not in found):
+        raise FileNotFoundError(f"no such version at {path}")
+    name = spark.read.text(f"{root}/{_VERSIONS}/{version or found[-1]}").first()[0]
+    return {table: spark.read.parquet(f"{root}/{name}/{table}") for table in SUMMARIES}
