@@ -1,8 +1,8 @@
 """Join helpers with an explicit size check before broadcasting.
 
 A derived small side (a vocabulary, per-text scores, per-user values) has
-no reliable size estimate at planning time.  ``sized_join`` materialises it
-once into the shared checkpoint folder, measures its rows and bytes (strings,
+no reliable size estimate at planning time.  ``sized_join`` writes it
+once as Parquet into the shared folder, measures its rows and bytes (strings,
 binaries and arrays by their real lengths) and broadcasts it only within the
 limits; otherwise it falls back to a shuffle join, which works for any size.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import staged
 
 BROADCAST_MAX_ROWS = 5_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
@@ -53,7 +53,7 @@ def sized_join(
 ) -> DataFrame:
     """``big.join(small)``; ``small`` broadcast only if its measured size is within bounds."""
     if materialize:
-        small = cut_lineage(small)
+        small = staged(small, "side")
     rows, size = measured(small)
     if rows <= max_rows and size <= max_bytes:
         return big.join(F.broadcast(small), on, how)

@@ -398,51 +398,92 @@ def in_order(rows: DataFrame, keys: list[str], n_rows: int | None = None, partit
     return placed.repartitionByRange(need, *keys).sortWithinPartitions(*keys).drop("__place")
 
 
-def steps(resid: DataFrame, names: list[str], order_by: list[str], n_rows: int | None = None, partitions: int | None = None) -> list[float]:
-    """Durbin-Watson of each residual column (null: not a row of that model) in ``order_by`` order.
-
-    Ties are broken by the residuals: rows tying on those too are interchangeable,
-    so the value does not depend on partitioning.  Each task returns, per column, the sum of
-    squared successive differences and of squares, and its first and last residual;
-    the driver adds the differences across partition edges.
+def ordered_moments(
+    resid: DataFrame, names: list[str], order_by: list[str], n_rows: int | None = None, partitions: int | None = None
+) -> list[dict[str, float]]:
+    """Per residual column (null: not a row of that model): ``n``, ``s1``..``s4`` and ``dw``.
+
+    Sums of the first four powers, and Durbin-Watson in ``order_by`` order, from one
+    sorted scan.  Ties are broken by the residuals: rows tying on those too are
+    interchangeable, so the value does not depend on partitioning.  Each task returns, per
+    column, its sums and its first and last residual; the driver adds the
+    differences across partition edges.
     """
     ranged = in_order(resid.select(*order_by, *names), [*order_by, *names], n_rows, partitions)
+    fields = ["n", "s1", "s2", "s3", "s4", "ssd", "first", "last"]
 
     def per_part(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        pid = TaskContext.get().partitionId()
-        first, last = [None] * len(names), [None] * len(names)
-        ssd, sse = [0.0] * len(names), [0.0] * len(names)
+        pid, found = TaskContext.get().partitionId(), {}
         for batch in batches:
             for i, c in enumerate(names):
                 v = batch.column(c).drop_null().to_numpy(zero_copy_only=False)
                 if v.size == 0:
                     continue
-                if last[i] is not None:
-                    ssd[i] += (v[0] - last[i]) ** 2
+                sums = np.array([v.size, v.sum(), v @ v, (v**3).sum(), (v**4).sum(), (np.diff(v) ** 2).sum()])
+                if i in found:
+                    old, first, last = found[i]
+                    sums[5] += (v[0] - last) ** 2
+                    found[i] = (old + sums, first, v[-1])
                 else:
-                    first[i] = v[0]
-                ssd[i] += float(np.sum(np.diff(v) ** 2))
-                sse[i] += float(np.dot(v, v))
-                last[i] = v[-1]
-        rows = [(pid, i, first[i], last[i], ssd[i], sse[i]) for i in range(len(names)) if first[i] is not None]
-        if rows:
-            yield pa.RecordBatch.from_pandas(
-                pd.DataFrame(rows, columns=["pid", "model", "first", "last", "ssd", "sse"]).astype({"pid": "int32", "model": "int32"}), preserve_index=False
-            )
-
-    parts = ranged.select(*names).mapInArrow(per_part, "pid int, model int, first double, last double, ssd double, sse double").collect()
+                    found[i] = (sums, v[0], v[-1])
+        if found:
+            rows = [(pid, i, *sums.tolist(), float(first), float(last)) for i, (sums, first, last) in found.items()]
+            frame = pd.DataFrame(rows, columns=["pid", "model", *fields]).astype({"pid": "int32", "model": "int32"})
+            yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
+
+    schema = "pid int, model int, " + ", ".join(f"{f} double" for f in fields)
+    parts = ranged.select(*names).mapInArrow(per_part, schema).collect()
     out = []
     for i in range(len(names)):
         mine = sorted((r for r in parts if r["model"] == i), key=lambda r: r["pid"])
-        ssd = sum(r["ssd"] for r in mine) + sum((b["first"] - a["last"]) ** 2 for a, b in zip(mine, mine[1:]))
-        sse = sum(r["sse"] for r in mine)
-        out.append(ssd / sse if sse > 0 else float("nan"))
+        sums = {f: math.fsum(r[f] for r in mine) for f in fields[:6]}
+        ssd = sums.pop("ssd") + sum((b["first"] - a["last"]) ** 2 for a, b in zip(mine, mine[1:]))
+        out.append(sums | {"dw": ssd / sums["s2"] if sums["s2"] > 0 else float("nan")})
     return out
 
 
+def steps(resid: DataFrame, names: list[str], order_by: list[str], n_rows: int | None = None, partitions: int | None = None) -> list[float]:
+    """Durbin-Watson of each residual column in ``order_by`` order."""
+    return [m["dw"] for m in ordered_moments(resid, names, order_by, n_rows, partitions)]
+
+
+def residuals(table: DataFrame, models: list[tuple[str, OLSFit, ModelSpec]], carry: str) -> DataFrame:
+    """``carry`` and one residual column per (name, fit, spec), NULL outside the model's rows.
+
+    One scan in which the workers take logarithms and multiply.  Of a log model whose
+    name ends in ``!`` the residual is that after ``expm1``, on the original scale.
+    """
+    columns = list(dict.fromkeys(c for _, _, sp in models for c in [*sp.terms, sp.response]))
+    places = [([columns.index(c) for c in sp.terms], columns.index(sp.response)) for _, _, sp in models]
+    masks = list(dict.fromkeys(sp.mask for _, _, sp in models))
+    needs = [[columns.index(c) for c in [*sp.terms, sp.response]] for _, _, sp in models]
+    coefs = [fit.coef for _, fit, _ in models]
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            values = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns]).astype(np.float64, copy=False)
+            with np.errstate(all="ignore"):
+                logged = np.log1p(values)
+                made = []
+                for (name, _, sp), (xs, y), need, coef in zip(models, places, needs, coefs):
+                    use = logged if sp.log else values
+                    fitted = coef[0] + use[:, xs] @ coef[1:]
+                    e = values[:, y] - np.expm1(fitted) if name.endswith("!") else use[:, y] - fitted
+                    ok = np.asarray(batch.column(sp.mask).fill_null(False).to_numpy(zero_copy_only=False), dtype=bool)
+                    ok = ok & np.isfinite(use[:, need]).all(axis=1)
+                    made.append(pa.array(e, mask=~ok))
+            yield pa.RecordBatch.from_arrays([batch.column(carry), *made], names=[carry, *[m[0] for m in models]])
+
+    kind = table.schema[carry].dataType.simpleString()
+    schema = f"`{carry}` {kind}, " + ", ".join(f"`{m[0]}` double" for m in models)
+    return table.select(carry, *columns, *masks).mapInArrow(run, schema)
+
+
 def durbin_watson_many(
     df: DataFrame,
     models: list[tuple[OLSFit, str]],
