@@ -4,11 +4,12 @@ import datetime as dt
 import os
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.functions.time import between_time, serial_to_ts, ts_to_serial
 from tidewater.operators import ticks
-from tidewater.sources.readers import expand_paths, paired_paths, read_table, scan_any, schema_drift, schema_leaves
+from tidewater.sources.readers import probe, expand_paths, paired_paths, read_table, scan_any, schema_drift, schema_leaves
 from tidewater.sources.sinks import write_events, write_table
 
 
@@ -174,26 +175,103 @@ def test_scan_any_reads_every_format_and_reports_what_it_skips(spark, tmp_path):
     assert scan_any(spark, more) is None
 
 
-def test_arrow_files_are_split_checked_and_committed_alone(spark, tmp_path):
-    from pyspark.errors import PySparkException
-
-    path = str(tmp_path / "a")
-    write_table(spark.range(10).coalesce(1), path, "arrow")
-    (tmp_path / "a" / "_staging-other").mkdir()
-    (tmp_path / "a" / "_staging-other" / "part-x.arrow").write_bytes(b"another job's")
-    write_table(spark.range(10, 30).repartition(3), path, "arrow")
-    assert (tmp_path / "a" / "_staging-other" / "part-x.arrow").exists()
-    assert sorted(r.id for r in read_table(spark, path, "arrow").collect()) == list(range(10, 30))
-    empty = str(tmp_path / "e")
-    write_table(spark.range(0), empty, "arrow")
-    assert read_table(spark, empty, "arrow").count() == 0
-    write_table(spark.range(3).select(F.col("id").cast("string")).coalesce(1), str(tmp_path / "b"), "arrow")
-    try:
-        read_table(spark, f"{path},{tmp_path / 'b'}", "arrow").count()
-    except PySparkException as e:
-        assert "another schema" in str(e)
-    else:
-        raise AssertionError("files of two schemas were read as one")
+def ids(spark, path, **options):
+    return sorted(r.id for r in read_table(spark, str(path), "arrow", **options).collect())
+
+
+def test_arrow_manifest_names_the_table(spark, tmp_path):
+    path = tmp_path / "a"
+    write_table(spark.range(10).coalesce(1), str(path), "arrow")
+    before = read_table(spark, str(path), "arrow")
+    (path / "part-00000-other-job.arrow").write_bytes(b"a writer that has not committed")
+    write_table(spark.range(10, 30).repartition(3), str(path), "arrow")
+    assert ids(spark, path) == list(range(10, 30))
+    assert sorted(r.id for r in before.collect()) in (list(range(10)), list(range(10, 30)))
+    assert (path / "part-00000-other-job.arrow").exists()
+    write_table(spark.range(30, 33), str(path), "arrow", mode="append")
+    assert ids(spark, path) == list(range(10, 33))
+    for i in range(3):  # only what the last manifests name is kept
+        write_table(spark.range(i, i + 1).coalesce(1), str(path), "arrow")
+    assert ids(spark, path) == [2] and len(list(path.glob("part-*"))) <= 4
+
+
+def test_arrow_failed_write_changes_nothing(spark, tmp_path):
+    path = tmp_path / "a"
+    write_table(spark.range(5), str(path), "arrow")
+    names = sorted(p.name for p in path.iterdir())
+    broken = spark.range(100).select(F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("late"))).cast("long").alias("id"))
+    with pytest.raises(Exception, match="late"):
+        write_table(broken.repartition(4), str(path), "arrow")
+    assert ids(spark, path) == list(range(5)) and sorted(p.name for p in path.iterdir()) == names
+
+
+def test_arrow_empty_table_and_folder_without_files(spark, tmp_path):
+    write_table(spark.range(0), str(tmp_path / "e"), "arrow")
+    empty = read_table(spark, str(tmp_path / "e"), "arrow")
+    assert empty.count() == 0 and empty.dtypes == [("id", "bigint")]
+    (tmp_path / "none").mkdir()
+    with pytest.raises(Exception, match="no Arrow files"):
+        read_table(spark, str(tmp_path / "none"), "arrow").count()
+    import pyarrow as pa
+
+    with pa.ipc.new_file(str(tmp_path / "none" / "zero.arrow"), pa.schema([("id", pa.int64())])):
+        pass
+    assert ids(spark, tmp_path / "none") == []
+
+
+def test_arrow_files_of_different_columns_and_shares_of_one_file(spark, tmp_path, monkeypatch):
+    write_table(spark.range(3).coalesce(1), str(tmp_path / "a"), "arrow")
+    write_table(spark.range(3, 5).select("id", F.lit("x").alias("s")).coalesce(1), str(tmp_path / "b"), "arrow")
+    both = read_table(spark, f"{tmp_path / 'a'},{tmp_path / 'b'}", "arrow", with_file=True)
+    assert sorted((r.id, r.s) for r in both.collect()) == [(0, None), (1, None), (2, None), (3, "x"), (4, "x")]
+    assert both.select("source_file").distinct().count() == 2
+    write_table(spark.range(3).select(F.col("id").cast("string")).coalesce(1), str(tmp_path / "c"), "arrow")
+    with pytest.raises(Exception, match="another schema"):
+        read_table(spark, f"{tmp_path / 'a'},{tmp_path / 'c'}", "arrow").count()
+    import pyarrow as pa
+
+    from tidewater.sources.arrow import ArrowReader, _Share
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    with pa.ipc.new_file(str(tmp_path / "big.arrow"), pa.schema([("id", pa.int64())])) as f:
+        for i in range(7):
+            f.write_batch(pa.record_batch([pa.array([i])], names=["id"]))
+    reader = ArrowReader([], StructType([StructField("id", LongType())]), False)
+    shares = [[b.column(0)[0].as_py() for b in reader.read(_Share(str(tmp_path / "big.arrow"), i, 3))] for i in range(3)]
+    assert sum(shares, []) == list(range(7)) and all(shares)
+
+
+def test_probe_finds_broken_files_in_one_job(spark, tmp_path):
+    import gzip
+
+    good = spark.range(2000).select("id", F.col("id").cast("string").alias("s")).coalesce(1)
+    for fmt in ("parquet", "csv", "arrow"):
+        write_table(good, str(tmp_path / fmt), fmt)
+    write_table(good, str(tmp_path / "gz"), "csv", compression="gzip")
+    files = [next((tmp_path / d).glob(f"part-*.{suffix}")) for d, suffix in (("parquet", "parquet"), ("csv", "csv"), ("arrow", "arrow"), ("gz", "csv.gz"))]
+    cut = tmp_path / "cut.csv.gz"
+    cut.write_bytes(files[3].read_bytes()[:-200])
+    half = tmp_path / "half.parquet"
+    half.write_bytes(files[0].read_bytes()[:300])
+    odd = tmp_path / "odd.arrow"
+    odd.write_bytes(b"ARROW1 but no footer")
+    (tmp_path / "empty.csv").write_bytes(b"")
+    bad = [cut, half, odd, tmp_path / "empty.csv", tmp_path / "none.arrow", tmp_path / "x.txt"]
+    table = {r.path: r for r in probe(spark, [str(p) for p in [*files, *bad]]).collect()}
+    assert all(table[str(p)].reason is None and table[str(p)].size > 0 for p in files)
+    assert all(table[str(p)].reason for p in bad)
+    assert gzip.decompress(files[3].read_bytes()).startswith(b"id,s")
+    skipped = []
+    out = scan_any(spark, [str(p) for p in [*files, *bad]], "id long, s string", skipped)
+    assert out.count() == 8000 and {p for p, _ in skipped} == {str(p) for p in bad}
+    assert out.groupBy("source_file").count().count() == 4
+
+
+def test_scan_any_takes_columns_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,s\n1,x\n")
+    (tmp_path / "b.csv").write_text("s,id,t\ny,2,7\n")
+    out = scan_any(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+    assert sorted((str(r.id), r.s, r.t and str(r.t)) for r in out.collect()) == [("1", "x", None), ("2", "y", "7")]
 
 
 def test_sized_join_measures_long_strings(spark):

@@ -7,7 +7,6 @@ engine can be compared value by value.
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 
@@ -173,9 +172,12 @@ def q_dataset_name(spark, sf_dir):
 
 
 def q_scan_glob(spark, sf_dir):
-    from ..sources.readers import scan_glob
-
-    return scan_glob(spark, f"{sf_dir.rstrip('/')}/regio*.parquet").select("r_regionkey", "r_name")
+    """Line items in monthly files, read back as one table by a pattern, with the month of each row's file."""
+    base = _scratch(spark, "lineitem-months")
+    src = views.table(spark, sf_dir, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    src.repartition("month").write.mode("overwrite").partitionBy("month").parquet(base)
+    found = readers.scan_glob(spark, f"{base}/month=*/part-*.parquet")
+    return found.withColumn("month", F.regexp_extract("source_file", r"month=([0-9-]+)/", 1)).drop("source_file")
 
 
 def q_parse_ts(spark, sf_dir):
@@ -522,23 +524,17 @@ def q_json_checkpoint(spark, sf_dir):
 
 
 def q_parquet_roundtrip(spark, sf_dir):
-    from ..sources.readers import read_table
-    from ..sources.sinks import write_table
-
-    src = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    path = _scratch(spark, "orders-parquet")
-    write_table(src, path, "parquet", compression="zstd")
-    return read_table(spark, path, "parquet")
+    path = _scratch(spark, "lineitem-parquet")
+    sinks.write_table(views.table(spark, sf_dir, "lineitem"), path, "parquet", compression="zstd")
+    return readers.read_table(spark, path, "parquet")
 
 
 def q_arrow_roundtrip(spark, sf_dir):
-    from ..sources.readers import read_table
-    from ..sources.sinks import write_table
-
-    src = views.table(spark, sf_dir, "supplier")
-    path = _scratch(spark, "supplier-arrow")
-    write_table(src, path, "arrow", compression="zstd")
-    return read_table(spark, path, "arrow")
+    """Line items over many Arrow files and back, with whether each row names its file."""
+    path = _scratch(spark, "lineitem-arrow")
+    sinks.write_table(views.table(spark, sf_dir, "lineitem").repartition(32, "l_orderkey"), path, "arrow", compression="zstd")
+    back = readers.read_table(spark, path, "arrow", with_file=True)
+    return back.withColumn("named", F.col("source_file").endswith(".arrow")).drop("source_file")
 
 
 def q_partitioned_events(spark, sf_dir):
@@ -561,19 +557,31 @@ def q_first_column(spark, sf_dir):
     return first_column(read_table(spark, path, "tsv", schema="doc_id string, quality int, toxic int"))
 
 
-def q_scan_any(spark, sf_dir):
-    from ..sources.readers import scan_any
-    from ..sources.sinks import write_table
+def _mixed_files(spark, sf_dir):
+    """Line items written as Parquet, CSV and Arrow files by order, and a table of all their paths and some that fail."""
+    src = views.table(spark, sf_dir, "lineitem")
+    base = _scratch(spark, f"lineitem-mixed-{uuid.uuid4().hex}")
+    for i, fmt in enumerate(("parquet", "csv", "arrow")):
+        sinks.write_table(src.where(F.col("l_orderkey") % 3 == i).repartition(12, "l_orderkey"), f"{base}/{fmt}", fmt)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(base)
+    wrong = spark.createDataFrame([(f"{base}/none.parquet",), (f"{base}/notes.txt",)], "path string")
+    return src.schema, files.select("path").union(wrong)
 
-    src = views.table(spark, sf_dir, "nation")
-    base = _scratch(spark, "nation-mixed")
-    write_table(src.filter(F.col("n_regionkey") < 2), f"{base}/a", "parquet")
-    write_table(src.filter(F.col("n_regionkey") >= 2), f"{base}/b", "csv")
-    files = [os.path.join(f"{base}/a", f) for f in os.listdir(f"{base}/a")] + [
-        os.path.join(f"{base}/b", f) for f in os.listdir(f"{base}/b")
-    ] + [f"{base}/missing.parquet"]
-    df = scan_any(spark, files, schema=src.schema)
-    return df.select("n_nationkey", "n_name", "n_regionkey")
+
+def q_scan_any(spark, sf_dir):
+    """All files of three formats as one table; the missing and the unknown one are left out."""
+    schema, paths = _mixed_files(spark, sf_dir)
+    found = readers.scan_any(spark, paths, schema)
+    return found.withColumn("format", F.regexp_extract("source_file", "[a-z]+$", 0)).drop("source_file")
+
+
+def q_probe_files(spark, sf_dir):
+    """What the probe says of the files, by format."""
+    _, paths = _mixed_files(spark, sf_dir)
+    found = readers.probe(spark, paths)
+    return found.groupBy(F.coalesce("format", F.lit("none")).alias("format"), F.coalesce("reason", F.lit("good")).alias("reason")).agg(
+        (F.count(F.lit(1)) > 0).alias("found"), (F.sum("size") > 0).alias("sized")
+    )
 
 
 def q_expand_paths(spark, sf_dir):

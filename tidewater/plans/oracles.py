@@ -601,7 +601,7 @@ def oracles() -> dict[str, str]:
         "CAST((hour(ts) - 5 + 24) % 24 >= 12 AND (hour(ts) - 5 + 24) % 24 < 18 AS INTEGER) AS tweet_period_afternoon FROM events"
     )
     q["dataset_name"] = "SELECT 'lineitem' AS dataset, count(*) AS n FROM lineitem"
-    q["scan_glob"] = "SELECT r_regionkey, r_name FROM region"
+    q["scan_glob"] = "SELECT *, strftime(l_shipdate, '%Y-%m') AS month FROM lineitem"
     q["parse_ts"] = "SELECT event_id, epoch_us(date_trunc('millisecond', ts)) AS ts_micros FROM events"
     q["multi_hot"] = _with(POSTS, COUNTS, VOCAB) + (
         "SELECT id, array_to_string(list_transform(vlist.v, lambda x: CASE WHEN list_contains(labels, x) THEN '1' ELSE '0' END), '') "
@@ -722,10 +722,14 @@ SELECT round(sum(step * step) / sum(e * e), 4) AS durbin_watson FROM d"""
     )
     q["csv_roundtrip"] = "SELECT * FROM customer"
     q["json_checkpoint"] = q["project_metrics"]
-    q["parquet_roundtrip"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
-    q["arrow_roundtrip"] = "SELECT * FROM supplier"
+    q["parquet_roundtrip"] = "SELECT * FROM lineitem"
+    q["arrow_roundtrip"] = "SELECT *, TRUE AS named FROM lineitem"
     q["first_column"] = "SELECT CAST(doc_id AS VARCHAR) AS doc_id FROM labels"
-    q["scan_any"] = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
+    q["scan_any"] = "SELECT *, ['parquet', 'csv', 'arrow'][l_orderkey % 3 + 1] AS format FROM lineitem"
+    q["probe_files"] = (
+        "SELECT format, reason, TRUE AS found, format IN ('parquet', 'csv', 'arrow') AND reason = 'good' AS sized FROM (VALUES "
+        "('parquet', 'good'), ('csv', 'good'), ('arrow', 'good'), ('parquet', 'missing'), ('none', 'unknown format')) t(format, reason)"
+    )
     q["partitioned_events"] = _events_sql(
         "SELECT coalesce(t.ticker, q.ticker) AS ticker, CAST(CAST(coalesce(t.ts, q.ts) AS DATE) AS VARCHAR) AS date, count(*) AS n",
         " GROUP BY ALL",

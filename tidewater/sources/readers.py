@@ -13,11 +13,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from ..schemas import page_schema, single_post_schema
+from ..session import staged
+from .arrow import FILE_COLUMN, merged_schema, register_arrow
 from .arrow import FORMAT as ARROW_FORMAT
-from .arrow import register_arrow
 
 
 def read_pages(spark: SparkSession, path: str, schema: StructType | None = None, single: bool = False) -> DataFrame:
@@ -30,6 +31,10 @@ def read_pages(spark: SparkSession, path: str, schema: StructType | None = None,
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
+def _struct(spark: SparkSession, schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -42,6 +47,7 @@ def read_table(
     """Flat table by format: parquet, csv (plain or .gz), tsv, json, arrow.
 
     ``with_file`` adds ``source_file`` to Arrow tables, which have no file metadata.
+    Without a schema an Arrow table has the columns of all its files.
     """
     fmt = fmt.lower()
     if fmt == "parquet":
@@ -56,7 +62,10 @@ def read_table(
         return (r.schema(schema) if schema else r).json(path)
     if fmt == "arrow":
         register_arrow(spark)
-        return spark.read.format(ARROW_FORMAT).option("with_file", str(with_file).lower()).load(path)
+        schema = merged_schema(spark, path) if schema is None else schema
+        fields = _struct(spark, schema).fields
+        full = StructType([*fields, StructField(FILE_COLUMN, StringType())] if with_file else fields)
+        return spark.read.format(ARROW_FORMAT).schema(full).option("with_file", str(with_file).lower()).load(path)
     raise ValueError(f"unknown format {fmt!r}")
 
 
@@ -80,63 +89,131 @@ def format_of(path: str) -> str | None:
     return None
 
 
-def _file_size(spark: SparkSession, path: str) -> int | None:
-    """Bytes of a file or of all files below a folder, in any store that Spark reads; None if missing."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return store.getContentSummary(where).getLength() if store.exists(where) else None
+#: A probe of a file reads at most this much of its text.
+PROBE_BYTES = 1 << 16
+PROBED = "path string, format string, size long, columns string, reason string"
+
+
+def _why_not(path: str, fmt: str, whole: bool) -> tuple[int, str, str | None]:
+    """(bytes, columns as JSON, None or why the file cannot be read), found in a task."""
+    import gzip
+    import json
+
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    from .arrow import _open, _store
+
+    store, inner = _store(path)
+    info = store.get_file_info(inner)
+    if info.type == fs.FileType.NotFound:
+        return 0, "[]", "missing"
+    if info.type == fs.FileType.Directory:  # Spark's readers take folders
+        return 0, "[]", None
+    if info.size == 0:
+        return 0, "[]", "empty"
+    if fmt == "parquet":
+        with store.open_input_file(inner) as f:
+            file = pq.ParquetFile(f)
+            names = file.schema_arrow.names
+            for i in range(file.metadata.num_row_groups):
+                group = file.metadata.row_group(i)
+                for j in range(group.num_columns):
+                    column = group.column(j)
+                    start = column.dictionary_page_offset or column.data_page_offset
+                    if start + column.total_compressed_size > info.size:
+                        raise ValueError("a column chunk lies outside the file")
+                if whole:
+                    file.read_row_group(i)
+    elif fmt == "arrow":
+        reader, random_access = _open(path)
+        names = reader.schema.names
+        batches = (reader.get_batch(i) for i in range(reader.num_record_batches)) if random_access else reader
+        for batch in batches if whole else ():
+            batch.validate()
+    else:
+        with store.open_input_stream(inner, compression=None) as raw:
+            f = gzip.open(raw) if path.endswith(".gz") else raw
+            head = f.read(PROBE_BYTES)
+            # a piece may end within a character
+            names = head.decode("utf-8", "strict" if len(head) < PROBE_BYTES else "ignore").split("\n")[0].rstrip("\r").split(",")
+            while (whole or path.endswith(".gz")) and f.read(1 << 20):  # only reading on shows a cut gzip file
+                pass
+    return info.size, json.dumps(names), None
+
+
+def probe(spark: SparkSession, paths: list[str] | DataFrame, whole: bool = False) -> DataFrame:
+    """``path, format, size, columns, reason``: what tasks find when they open each file.
+
+    ``reason`` is NULL if the file can be read.  A list or a table with a ``path`` column;
+    one job, whatever the number of files.  Parquet and Arrow files are judged by their
+    footers, gzip by unpacking them, plain CSV by its first block; ``whole`` reads
+    everything.  Files of a store that only Spark opens count as readable.
+    """
+    if not isinstance(paths, DataFrame):
+        paths = spark.createDataFrame([(p,) for p in paths], "path string")
+    formats = SUFFIX_FORMATS
+
+    def run(batches):
+        import pandas as pd
+        import pyarrow as pa
+
+        for pdf in batches:
+            rows = []
+            for path in pdf["path"]:
+                fmt = next((f for suffix, f in formats if path.endswith(suffix)), None)
+                size, names, reason = 0, "[]", "unknown format"
+                if fmt is not None:
+                    try:
+                        size, names, reason = _why_not(path, fmt, whole)
+                    except pa.ArrowInvalid as e:
+                        reason = None if "Unrecognized filesystem" in str(e) else str(e).split("\n")[0][:200]
+                    except Exception as e:  # any reader's error is the reason that is reported
+                        reason = f"{type(e).__name__}: {e}".split("\n")[0][:200]
+                rows.append((path, fmt, size, names, reason))
+            yield pd.DataFrame(rows, columns=["path", "format", "size", "columns", "reason"])
+
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    return paths.select("path").repartition(tasks, "path").mapInPandas(run, PROBED)
 
 
 def _scan_files(spark: SparkSession, fmt: str, files: list[str], schema: StructType | str | None) -> DataFrame:
     if fmt == "arrow":
-        return read_table(spark, ",".join(files), "arrow", with_file=True)
-    r = spark.read.option("ignoreMissingFiles", "true")
+        return read_table(spark, ",".join(files), "arrow", schema, with_file=True)
+    r = spark.read.option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
     if fmt == "csv":
         r = r.option("header", True)
         df = (r.schema(schema) if schema else r.option("inferSchema", True)).csv(files)
     else:
-        df = (r.schema(schema) if schema else r).parquet(*files)
+        df = (r.schema(schema) if schema else r.option("mergeSchema", "true")).parquet(*files)
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def _readable(spark: SparkSession, fmt: str, file: str, schema: StructType | str | None) -> str | None:
-    """None if the file's layout can be read, else why not."""
-    try:
-        _scan_files(spark, fmt, [file], schema).limit(1).collect()
-    except Exception as e:  # any reader's error is the reason that is reported
-        return str(e).split("\n")[0][:200]
-    return None
-
-
 def scan_any(
     spark: SparkSession,
-    paths: list[str],
+    paths: list[str] | DataFrame,
     schema: StructType | str | None = None,
     skipped: list[tuple[str, str]] | None = None,
+    whole: bool = False,
 ) -> DataFrame | None:
     """Read files of mixed formats, chosen by suffix; missing, unreadable or empty files are left out.
 
-    Paths may be in any store that Spark reads.  Files are grouped per format
-    (one scan each) and unioned by name, with a ``source_file`` column.  If a
-    file's first row cannot be read, only that file is left out.  ``skipped`` receives ``(path, reason)`` of every file
-    left out.  Returns None when no file could be read.
+    All files are probed by tasks in one job (``probe``, which also gives the skipped
+    files as a table), then read grouped by format and, for CSV, by header, so that each file's
+    columns are taken by name; the groups are unioned by name, with a
+    ``source_file`` column.  A Parquet or CSV file that breaks further on gives the rows
+    before the break; ``whole=True`` reads every file once before, and leaves such
+    files out.  ``skipped`` receives ``(path, reason)`` of every file left out.
+    Returns None when no file could be read.
     """
-    skipped = [] if skipped is None else skipped
-    by_fmt: dict[str, list[str]] = {}
-    for p in paths:
-        fmt, size = format_of(p), _file_size(spark, p)
-        if fmt is None or not size:
-            skipped.append((p, "unknown format" if fmt is None else "missing" if size is None else "empty"))
-        else:
-            by_fmt.setdefault(fmt, []).append(p)
+    found = staged(probe(spark, paths, whole), "probe")
+    if skipped is not None:
+        skipped += [(r["path"], r["reason"]) for r in found.where(F.col("reason").isNotNull()).collect()]
+    layout = F.when(F.col("format") == "csv", F.col("columns")).otherwise(F.lit(""))
+    groups = found.where(F.col("reason").isNull()).groupBy("format", layout.alias("layout"))
     frames = []
-    for fmt, files in sorted(by_fmt.items()):
-        reasons = {f: _readable(spark, fmt, f, schema) for f in files}
-        skipped += [(f, why) for f, why in reasons.items() if why]
-        good = [f for f, why in reasons.items() if why is None]
-        if good:
-            frames.append(_scan_files(spark, fmt, good, schema))
+    for r in sorted(groups.agg(F.sort_array(F.collect_list("path")).alias("paths")).collect(), key=lambda r: (r["format"], r["layout"])):
+        frames.append(_scan_files(spark, r["format"], r["paths"], schema))
     if not frames:
         return None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
