@@ -239,3 +239,51 @@ def test_single_post_lines(spark, tmp_path):
     lines = read_pages(spark, str(path), single=True)
     rows = posts.sample_posts(lines, "en").collect()
     assert [(r.id, r.followers_count, r.impression_count) for r in rows] == [("s1", 42, 10)]
+
+
+def test_lexicon_table_scores_like_the_fold(spark):
+    """A table of 10,000 words gives the fold's scores, broadcast or salted, with the same plan size."""
+    import random
+
+    from tidewater.functions.text import DEFAULT_LEXICON, sentiment_score
+    from tidewater.operators.sentiment import lexicon_scores
+
+    rng = random.Random(1)
+    words = ["not", "never", "very", "slightly", "so", "table", "the"] + rng.sample(sorted(DEFAULT_LEXICON), 25)
+    texts = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 40)))) for i in range(80)] + [(90, None), (91, ""), (92, "GOOD!! not good")]
+    docs = spark.createDataFrame(texts, "id long, text string")
+    rows = list(DEFAULT_LEXICON.items())
+    small = spark.createDataFrame(rows, "word string, valence double")
+    large = spark.createDataFrame(rows + [(f"w{i}", 1.0) for i in range(10_000)], "word string, valence double")
+    want = {r.id: r.s or 0.0 for r in docs.select("id", sentiment_score("text").alias("s")).collect()}
+    sizes = []
+    for lexicon, limit in ((small, 10**6), (large, 10**6), (large, 10)):
+        scored = lexicon_scores(docs, lexicon, max_rows=limit)
+        got = {r.id: r.sentiment for r in scored.collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+        sizes.append(len(scored._jdf.queryExecution().optimizedPlan().toString()))
+    assert max(sizes) - min(sizes) < 200
+
+
+def test_variant_leaves_of_nested_and_odd_schemas(spark, tmp_path):
+    from tidewater.sources.readers import captured_drift, captured_schema, variant_leaves
+
+    lines = ['{"a": 1, "b": {"c": [1.5, 2.5], "d e": "x"}}', '{"a": "s", "b": {}}', "not json", '{"l": [{"m": true}, {"n": null}]}', "[]", "3", None]
+    docs = spark.createDataFrame([("f1", lines[0]), ("f1", lines[2]), ("f2", lines[1]), ("f2", lines[3]), ("f3", lines[6])], "source_file string, value string")
+    captured = captured_schema(docs)
+    found = {(r.source_file, r.leaf): r.type for r in captured.collect()}
+    assert found["f1", "a"] == "BIGINT" and found["f2", "a"] == "STRING" and found["f1", "b.d e"] == "STRING"
+    assert found["f1", "b.c[]"].startswith("DECIMAL") and found["f2", "l[].m"] == "BOOLEAN" and found["f2", "l[].n"] == "VOID"
+    drift = {(r.leaf, r.type): (r.n_groups, r.everywhere) for r in captured_drift(captured).collect()}
+    assert drift["a", "BIGINT"] == (1, False)
+    assert variant_leaves("ARRAY<OBJECT<`x, y`: DECIMAL(3,1), z: ARRAY<STRING>>>") == [("[].x, y", "DECIMAL(3,1)"), ("[].z[]", "STRING")]
+
+
+def test_text_scorer_prefers_shared_rare_words(spark):
+    from tidewater.operators import labels
+
+    sets = spark.createDataFrame([("1", ["red car", "fast"]), ("2", ["blue"]), ("3", ["red"]), ("4", [])], "set_key string, labels array<string>")
+    vocab = ["Red wine", "car", "tree"]
+    scores = {(r.set_key, r.label): r.score for r in labels.score_labels(sets, vocab, scorer=labels.text_scorer(sets, vocab)).collect()}
+    assert abs(sum(scores["1", v] for v in vocab) - 1) < 1e-12 and scores["1", "car"] > scores["1", "Red wine"] > scores["1", "tree"] == 0
+    assert scores["2", "car"] == scores["4", "tree"] == 1 / 3 and scores["3", "Red wine"] == 1

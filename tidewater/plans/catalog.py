@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.arrays import array_count, external_url_count, first_element, media_count, media_keys, names_of
-from ..functions.text import clean_name, sentiment_score, star_label, text_length
+from ..functions.text import clean_name, sentiment_score, star_label, text_length, tokens
 from ..functions.time import between_time, local_hour, micros_of_day, parse_ts, serial_to_ts, to_zone
-from ..operators import explore, labels, posts, regression, ticks
-from ..session import ensure_checkpoint_dir
+from ..operators import explore, labels, posts, regression, sentiment, ticks
+from ..session import ensure_checkpoint_dir, staged
 from ..sources import readers, sinks
 from . import views
 from .features import build_features
@@ -65,8 +65,14 @@ def q_explode_posts(spark, sf_dir):
 
 
 def q_project_posts(spark, sf_dir):
-    return posts.project_posts(_posts(spark, sf_dir)).select(
-        "tweet_id", "user_id", "tweet_date", "impression_count", "tweet_text"
+    """All nine fields, the nested ones as text."""
+    p = posts.project_posts(_posts(spark, sf_dir))
+    return p.select(
+        "tweet_id", "user_id", "tweet_date", "impression_count", "tweet_text",
+        F.coalesce(F.array_join("tweet_hashtags.tag", ","), F.lit("")).alias("hashtags"),
+        F.coalesce(F.array_join("tweet_mentions.username", ","), F.lit("")).alias("mentions"),
+        F.coalesce(F.array_size("tweet_urls"), F.lit(0)).cast("long").alias("n_urls"),
+        F.array_join(F.array_sort(names_of("context_annotations")), ",").alias("annotations"),
     )
 
 
@@ -223,6 +229,14 @@ def q_score_labels(spark, sf_dir):
     return scores.select("set_key", "label", F.round("score", ROUND).alias("score"))
 
 
+def q_score_labels_by_text(spark, sf_dir):
+    """The pluggable scorer: words of a label set against words of each label."""
+    vocab = _vocab(spark, sf_dir)
+    _, sets = _fallback_sets(spark, sf_dir, vocab)
+    scores = labels.score_labels(sets, vocab, scorer=labels.text_scorer(sets, vocab))
+    return scores.select("set_key", "label", F.round("score", ROUND).alias("score"))
+
+
 def q_assign_labels(spark, sf_dir):
     vocab = _vocab(spark, sf_dir)
     p, sets = _fallback_sets(spark, sf_dir, vocab)
@@ -242,6 +256,32 @@ def q_lexicon_sentiment(spark, sf_dir):
     return docs.select("doc_id", F.round(sentiment_score(F.col("text")), ROUND).alias("sentiment"))
 
 
+def q_lexicon_table(spark, sf_dir):
+    """Sentiment of all documents with a lexicon made from their own words (about a third of them)."""
+    docs = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    place = F.conv(F.substring(F.md5("word"), 1, 4), 16, 10).cast("int")
+    words = docs.select(F.explode(tokens("text")).alias("word")).distinct().select("word", place.alias("place"))
+    lexicon = words.where(F.col("place") % 3 == 0).select("word", ((F.col("place") % 41 - 20) / 5).alias("valence"))
+    scores = sentiment.lexicon_scores(docs, staged(lexicon, "lexicon"), "doc_id", "text")
+    return scores.select("doc_id", (F.round("sentiment", ROUND) + 0.0).alias("sentiment"))
+
+
+def q_schema_capture(spark, sf_dir):
+    """Schemas found in JSON lines of three layouts, one for each order status, and where they differ."""
+    o = views.table(spark, sf_dir, "orders")
+    status, key, price = F.col("o_orderstatus"), F.col("o_orderkey"), F.col("o_totalprice").cast("decimal(18,2)")
+    line = (
+        F.when(status == "F", F.to_json(F.struct(key.alias("key"), F.struct(price.alias("price"), F.col("o_custkey").alias("cust")).alias("sum"))))
+        .when(status == "O", F.to_json(F.struct(key.alias("key"), F.array(F.struct(F.col("o_orderpriority").alias("name"))).alias("tags"))))
+        .otherwise(F.to_json(F.struct(key.cast("string").alias("key"), F.struct(F.col("o_custkey").alias("cust")).alias("sum"))))
+    )
+    path = _scratch(spark, f"orders-lines-{uuid.uuid4().hex}")
+    o.select(status.alias("layout"), line.alias("value")).write.partitionBy("layout").text(path)
+    lines = spark.read.text(path)
+    found = readers.captured_schema(lines, "layout")
+    return readers.captured_drift(found.withColumn("type", F.regexp_replace("type", r"\(.*", "")), "layout")
+
+
 def _features(spark, sf_dir):
     # Post texts repeat in this data (a supplier's document is shared by its
     # lines), so each distinct text is scored once and joined back.
@@ -313,7 +353,7 @@ def _authored(spark, sf_dir):
 
 
 def q_metric_series(spark, sf_dir):
-    return explore.metric_series(_authored(spark, sf_dir), "followers_count", METRICS)
+    return explore.metric_series(_authored(spark, sf_dir), "followers_count", ALL_METRICS)
 
 
 def q_metric_regressions(spark, sf_dir):
@@ -329,12 +369,12 @@ def q_metric_regressions_few_views(spark, sf_dir):
 
 
 def q_metric_regressions_log(spark, sf_dir):
-    r = explore.metric_regressions(_authored(spark, sf_dir), "followers_count", METRICS, log=True)
+    r = explore.metric_regressions(_authored(spark, sf_dir), "followers_count", ALL_METRICS, log=True)
     return r.select("metric", "n", *[(F.round(c, ROUND) + 0.0).alias(c) for c in ("slope", "intercept", "r2")])
 
 
 def q_log_histogram(spark, sf_dir):
-    return explore.log_histogram(_authored(spark, sf_dir), METRICS + ["followers_count"])
+    return explore.log_histogram(_authored(spark, sf_dir), ALL_METRICS + ["followers_count"])
 
 
 # ---------------------------------------------------------------- regression

@@ -140,7 +140,7 @@ def _lexicon_values() -> str:
     return ", ".join(f"('{w}', {v})" for w, v in sorted(DEFAULT_LEXICON.items()))
 
 
-def sentiment_sql(source: str, key: str, text: str) -> str:
+def sentiment_sql(source: str, key: str, text: str, lexicon: str | None = None) -> str:
     """Per-row compound score via unnest with positions + look-back by index."""
     up, down, neg = _in_list(BOOSTERS_UP), _in_list(BOOSTERS_DOWN), _in_list(NEGATIONS)
 
@@ -153,7 +153,7 @@ def sentiment_sql(source: str, key: str, text: str) -> str:
     )
     negated = " OR ".join(f"coalesce({prev(j)} IN {neg}, false)" for j in (1, 2, 3))
     return f"""
-lex(word, v) AS (VALUES {_lexicon_values()}),
+lex(word, v) AS ({lexicon or "VALUES " + _lexicon_values()}),
 toks AS (
   SELECT {key} AS k,
          list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}'']+'), lambda t: t <> '') AS tk
@@ -170,10 +170,18 @@ adj AS (
 sums AS (SELECT k, sum(v) AS s FROM adj GROUP BY k)"""
 
 
-def _sentiment_query() -> str:
+#: About a third of the documents' words, with valences from -4 to 4.
+WORDS_LEXICON = r"""
+  SELECT word, (place % 41 - 20) / 5.0 FROM (
+    SELECT word, CAST(('0x' || substr(md5(word), 1, 4)) AS INTEGER) AS place FROM (
+      SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}'']+')) AS word FROM documents) WHERE word <> '')
+  WHERE place % 3 = 0"""
+
+
+def _sentiment_query(lexicon: str | None = None) -> str:
     return (
-        "WITH" + sentiment_sql("documents", "doc_id", "text")
-        + f"\nSELECT d.doc_id, round(coalesce(s.s, 0.0) / sqrt(coalesce(s.s, 0.0) * coalesce(s.s, 0.0) + {SQUASH_ALPHA}), 6) AS sentiment"
+        "WITH" + sentiment_sql("documents", "doc_id", "text", lexicon)
+        + f"\nSELECT d.doc_id, round(coalesce(s.s, 0.0) / sqrt(coalesce(s.s, 0.0) * coalesce(s.s, 0.0) + {SQUASH_ALPHA}), 6) + 0.0 AS sentiment"
         + "\nFROM documents d LEFT JOIN sums s ON s.k = d.doc_id"
     )
 
@@ -477,7 +485,7 @@ authored AS (
 ),
 long AS (
   SELECT CAST(followers_count AS DOUBLE) AS x, metric, CAST(y AS DOUBLE) AS y FROM authored
-  UNPIVOT (y FOR metric IN (retweet_count, reply_count, like_count, quote_count, impression_count))
+  UNPIVOT (y FOR metric IN (following_count, tweet_count, retweet_count, reply_count, like_count, quote_count, impression_count))
 )"""
 
 
@@ -547,7 +555,9 @@ def oracles() -> dict[str, str]:
     q["label_index"] = _with(POSTS, COUNTS, VOCAB) + "SELECT label, idx FROM vocab"
     q["explode_posts"] = _with(POSTS) + "SELECT page_id, id, author_id, created_at, lang FROM posts"
     q["project_posts"] = _with(POSTS) + (
-        "SELECT id AS tweet_id, author_id AS user_id, created_at AS tweet_date, impression_count, text AS tweet_text FROM posts"
+        "SELECT id AS tweet_id, author_id AS user_id, created_at AS tweet_date, impression_count, text AS tweet_text, "
+        "coalesce(array_to_string(hashtags, ','), '') AS hashtags, coalesce(array_to_string(mentions, ','), '') AS mentions, CAST(n_urls AS BIGINT) AS n_urls, "
+        "array_to_string(list_sort(labels), ',') AS annotations FROM posts"
     )
     q["project_metrics"] = _with(POSTS) + (
         "SELECT id, author_id, created_at, retweet_count, reply_count, like_count, quote_count, impression_count FROM posts"
@@ -620,6 +630,29 @@ def oracles() -> dict[str, str]:
         "WHERE p.doc_id IS NOT NULL AND p.labels IS NOT NULL"
     )
     q["lexicon_sentiment"] = _sentiment_query()
+    q["lexicon_table"] = _sentiment_query(WORDS_LEXICON)
+    q["schema_capture"] = (
+        "WITH found AS (SELECT o_orderstatus AS layout, unnest(CASE o_orderstatus "
+        "WHEN 'F' THEN ['key BIGINT', 'sum.price DECIMAL', 'sum.cust BIGINT'] "
+        "WHEN 'O' THEN ['key BIGINT', 'tags[].name STRING'] ELSE ['key STRING', 'sum.cust BIGINT'] END) AS leaf FROM orders) "
+        "SELECT split_part(leaf, ' ', 1) AS leaf, split_part(leaf, ' ', 2) AS type, count(DISTINCT layout) AS n_groups, "
+        "count(DISTINCT layout) = (SELECT count(DISTINCT o_orderstatus) FROM orders) AS everywhere FROM found GROUP BY ALL"
+    )
+    q["score_labels_by_text"] = _with(POSTS, COUNTS, VOCAB, FALLBACK) + """,
+words AS (SELECT set_key, unnest(regexp_extract_all(lower(array_to_string(labels, ' ')), '[a-z0-9]+')) AS word FROM fsets),
+df AS (SELECT word, count(DISTINCT set_key) AS df FROM words GROUP BY word),
+total AS (SELECT count(*) AS n FROM fsets),
+cw AS (SELECT cand, unnest(regexp_extract_all(lower(cand), '[a-z0-9]+')) AS word FROM (SELECT unnest(v) AS cand FROM vlist)),
+cv AS (SELECT cand, cw.word, count(*) * (ln((1.0 + any_value(n)) / (1.0 + coalesce(any_value(df.df), 0))) + 1) AS x
+       FROM cw JOIN total ON TRUE LEFT JOIN df ON df.word = cw.word GROUP BY cand, cw.word),
+cu AS (SELECT cand, word, x / sqrt(sum(x * x) OVER (PARTITION BY cand)) AS x FROM cv),
+sv AS (SELECT set_key, words.word, count(*) * (ln((1.0 + any_value(n)) / (1.0 + any_value(df.df))) + 1) AS x
+       FROM words JOIN df ON df.word = words.word JOIN total ON TRUE GROUP BY set_key, words.word),
+dots AS (SELECT set_key, cand, sum(sv.x * cu.x) AS dot FROM sv JOIN cu ON cu.word = sv.word GROUP BY set_key, cand),
+all_dots AS (SELECT g.set_key, g.cand AS label, coalesce(dot, 0) AS dot, sum(coalesce(dot, 0)) OVER (PARTITION BY g.set_key) AS s,
+                    count(*) OVER (PARTITION BY g.set_key) AS k
+             FROM grid g LEFT JOIN dots ON dots.set_key = g.set_key AND dots.cand = g.cand)
+SELECT set_key, label, round(CASE WHEN s > 0 THEN dot / s ELSE 1.0 / k END, 6) AS score FROM all_dots"""
     q["dummy_columns"] = _dummy_columns()
     q["build_features"] = _build_features()
     q["log1p_all"] = _with(POSTS) + "SELECT id, " + ", ".join(
@@ -653,7 +686,7 @@ def oracles() -> dict[str, str]:
     q["log_histogram"] = _with(POSTS, PAGE_USERS, AUTHORED) + (
         "SELECT metric, CAST(floor(log10(v)) AS BIGINT) AS bucket, count(*) AS n FROM ("
         "SELECT metric, CAST(v AS DOUBLE) AS v FROM authored UNPIVOT (v FOR metric IN "
-        "(retweet_count, reply_count, like_count, quote_count, impression_count, followers_count))) "
+        "(following_count, tweet_count, retweet_count, reply_count, like_count, quote_count, impression_count, followers_count))) "
         "WHERE v > 0 GROUP BY ALL"
     )
     q["ols_coef"] = _ols_coef()

@@ -293,3 +293,77 @@ def schema_drift(spark: SparkSession, schemas: list[StructType]) -> DataFrame:
     counts = Counter(leaf for s in schemas for leaf in set(schema_leaves(s)))
     rows = [(leaf, typ, n) for (leaf, typ), n in sorted(counts.items())]
     return spark.createDataFrame(rows, "leaf string, type string, n_runs long")
+
+
+def variant_leaves(schema: str) -> list[tuple[str, str]]:
+    """(dotted leaf path, type) of a schema as ``schema_of_variant`` prints it; elements marked ``[]``."""
+    at, out = 0, []
+
+    def value(prefix: str) -> None:
+        nonlocal at
+        if schema.startswith("OBJECT<>", at):
+            at += len("OBJECT<>")
+            out.append((prefix, "OBJECT"))
+            return
+        for word in ("OBJECT<", "ARRAY<"):
+            if schema.startswith(word, at):
+                at += len(word)
+                if word == "ARRAY<":
+                    value(prefix + "[]")
+                else:
+                    fields(prefix)
+                at += 1  # the closing bracket
+                return
+        begin, depth = at, 0
+        while at < len(schema) and (depth or schema[at] not in ",>"):
+            depth += {"(": 1, ")": -1}.get(schema[at], 0)
+            at += 1
+        out.append((prefix, schema[begin:at]))
+
+    def fields(prefix: str) -> None:
+        nonlocal at
+        while True:
+            if schema[at] == "`":
+                end = at + 1
+                while schema[end] != "`" or schema[end + 1 : end + 2] == "`":
+                    end += 2 if schema[end] == "`" else 1
+                name, at = schema[at + 1 : end].replace("``", "`"), end + 1
+            else:
+                end = schema.index(":", at)
+                name, at = schema[at:end], end
+            at += 2  # ": "
+            value(f"{prefix}.{name}" if prefix else name)
+            if not schema.startswith(", ", at):
+                return
+            at += 2
+
+    value("")
+    return out
+
+
+def captured_schema(lines: DataFrame, group: str = "source_file", value: str = "value") -> DataFrame:
+    """``group, leaf, type`` of JSON lines: the merged schema of every group, found from the data.
+
+    Each line is parsed to a VARIANT and the schemas of a group are merged by a partial
+    aggregate, so a file with a third of all lines ships one schema per task.  Lines that
+    are not JSON are left out; one schema a group is turned into leaves.
+    """
+    kind = lines.schema[group].dataType.simpleString()
+    parsed = lines.select(F.col(group).alias("_group"), F.try_parse_json(value).alias("_json")).where(F.col("_json").isNotNull())
+    merged = parsed.groupBy("_group").agg(F.schema_of_variant_agg("_json").alias("_schema"))
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            rows = [(g, leaf, kind) for g, schema in zip(pdf["_group"], pdf["_schema"], strict=True) for leaf, kind in variant_leaves(schema)]
+            yield pd.DataFrame(rows, columns=["_group", "leaf", "type"])
+
+    return merged.mapInPandas(run, f"_group {kind}, leaf string, type string").withColumnRenamed("_group", group)
+
+
+def captured_drift(captured: DataFrame, group: str = "source_file") -> DataFrame:
+    """``leaf, type, n_groups, everywhere``: in how many groups each leaf has each type."""
+    n = captured.select(group).distinct().agg(F.count(F.lit(1)).alias("_n"))
+    found = captured.groupBy("leaf", "type").agg(F.count_distinct(group).alias("n_groups"))
+    return found.join(F.broadcast(n)).select("leaf", "type", "n_groups", (F.col("n_groups") == F.col("_n")).alias("everywhere"))
