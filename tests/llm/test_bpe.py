@@ -50,6 +50,19 @@ def test_encode_like_the_library(public, text):
     assert "".join(parts) + machine.flush() == public.decode(want, skip_special_tokens=False)
 
 
+def test_every_code_point_like_the_library(public):
+    """Classes, case and composition of all assigned planes, whatever this Python's Unicode version."""
+    t = bpe.load(PATH)
+    planes = [*range(0xD800), *range(0xE000, 0x33480), *range(0xE0000, 0xE0200), 0xF0000, 0x10FFFF]
+    wrong = []
+    for start in range(0, len(planes), 64):
+        texts = [f"a{chr(c)}{chr(c)}1" for c in planes[start : start + 64]]
+        joined = " ".join(texts)
+        if ids_of(t.encode(joined)) != public.encode(joined, add_special_tokens=False).ids:
+            wrong += [x for x in texts if ids_of(t.encode(x)) != public.encode(x, add_special_tokens=False).ids]
+    assert wrong == []
+
+
 def test_long_words_stream_with_bounded_buffer(public):
     t = bpe.load(PATH)
     assert 8 < t.lookahead < 2000

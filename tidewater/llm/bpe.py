@@ -39,6 +39,8 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 END = "</w>"
 #: Symbols read beyond the lookahead before stable tokens are emitted.
 CHUNK = 64
+#: Words of a text whose ids are handed on together.
+WORDS = 4096
 #: Words remembered by a worker: as many again from before the table was last full.
 REMEMBERED = 100_000
 #: After every rule.
@@ -48,6 +50,22 @@ BATCH_BYTES = 4 << 20
 SPACE = "\t-\r \x85\xa0  -     　"
 
 
+# What Unicode 16.0 adds to 15.1, for a Python that does not know it: letters,
+# numbers; and lower-case forms of 16.0 and 17.0 (first, last, first of the others).
+LETTERS_16 = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+    (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+    (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+NUMBERS_16 = (
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9),
+    (0x1E5F1, 0x1E5FA),
+)
+LOWER_NEW = ((0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x0264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x019B), (0x10D50, 0x10D65, 0x10D70),
+             (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5), (0x16EA0, 0x16EB8, 0x16EBB))
+
+
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -70,10 +88,17 @@ def lookahead(merges: list[tuple[str, str]], length=len) -> int:
 
 @lru_cache(maxsize=4)
 def _class(kind: str, top: int) -> str:
-    """The characters of a general category as ranges of a regular expression."""
+    """The characters of a general category as ranges of a regular expression.
+
+    The library's classes are those of Unicode 16.0.  A Python that is older gets what that version
+    added; of a newer one the classes are not known, so it is refused.
+    """
+    if tuple(map(int, unicodedata.unidata_version.split("."))) > (16, 99):
+        raise RuntimeError(f"classes of Unicode 16.0 are needed, Python has {unicodedata.unidata_version}")
+    added = {c for a, b in (LETTERS_16 if kind == "L" else NUMBERS_16) for c in range(a, b + 1)}
     ranges, start = [], None
     for c in range(top + 1):
-        inside = c < top and unicodedata.category(chr(c))[0] == kind
+        inside = c < top and (unicodedata.category(chr(c))[0] == kind or c in added)
         if inside and start is None:
             start = c
         elif not inside and start is not None:
@@ -82,6 +107,16 @@ def _class(kind: str, top: int) -> str:
     return "".join(ranges)
 
 
+_NEW_CASE = {a + i: low + i for a, b, low in LOWER_NEW for i in range(b - a + 1)}
+_HAS_NEW_CASE = re.compile("[" + "".join(map(chr, _NEW_CASE)) + "]")
+
+
+def lowered(text: str) -> str:
+    """Lower case without the rule for a final sigma, also of letters that are newer than this Python."""
+    text = text.replace("Σ", "σ").lower()
+    return text.translate(_NEW_CASE) if _HAS_NEW_CASE.search(text) else text
+
+
 @lru_cache(maxsize=2)
 def _words(top: int) -> re.Pattern:
     letters, numbers = _class("L", top), _class("N", top)
@@ -186,11 +221,17 @@ class Tokenizer(Names):
                 continue
             if not unicodedata.is_normalized("NFC", part):
                 part = unicodedata.normalize("NFC", part)
-            part = part.replace("Σ", "σ").lower()
+            part = lowered(part)
             # Ranges beyond the basic plane make matching slow; few texts need them.
             words = _words(0x110000 if part and max(part) > "￿" else 0x10000)
-            known, make = self.known.get, self.word
-            yield b"".join([known(m) or make(m) for m in words.findall(part)])
+            known, make, done = self.known.get, self.word, []
+            for m in words.finditer(part):
+                word = m.group()
+                done.append(known(word) or make(word))
+                if len(done) >= WORDS:
+                    yield b"".join(done)
+                    done = []
+            yield b"".join(done)
 
     def encode(self, text: str | None) -> bytes:
         return b"".join(self.pieces(text or ""))
