@@ -1,9 +1,10 @@
 """Five-word shingles of texts as 64-bit hashes, many texts at a time in numpy.
 
 A word is a run of anything but ASCII white space, with A-Z lowered.  Its hash
-is a polynomial in its UTF-8 bytes, a shingle's hash combines those of its
-words; both are mixed to 64 bits.  A text of fewer words than a shingle has one
-shingle, the whole sequence; a text without words has none.
+mixes its UTF-8 bytes, eight at a time, and a shingle's hash combines those of its words; two
+different words or shingles have the same 64-bit hash with odds of about 2**-64, whatever
+their letters (words of up to eight bytes never).  A text of fewer words than a shingle
+has one shingle, the whole sequence; a text without words has none.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import numpy as np
 WORDS = 5
 #: Bytes of text that are hashed together; a longer text is hashed alone.
 GROUP_BYTES = 1 << 18
+_PLACE = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _COMBINE = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
@@ -51,16 +53,30 @@ powers = _Powers()
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words and, for each text, the index of its first word (and the end)."""
-    data = np.frombuffer(b"\n".join([b"", *texts, b""]).lower(), np.uint8)
+    """Hashes of all words and, for each text, the index of its first word (and the end).
+
+    A word is cut into blocks of eight bytes; each block, with its place added, is mixed to 64
+    bits, and the mixed blocks are summed and mixed again with the length.
+    """
+    raw = b"\n".join([b"", *texts, b""]).lower()
+    data = np.frombuffer(raw, np.uint8)
     space = _SPACE[data]
     starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
-    up, down = powers.get(len(data))
-    total = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up)
-    hashes = mix((total[ends - 1] - total[starts - 1]) * down[starts] + (ends - starts).astype(np.uint64))
     begins = np.cumsum([1] + [len(t) + 1 for t in texts])
-    return hashes, np.searchsorted(starts, begins)
+    firsts = np.searchsorted(starts, begins)
+    if not len(starts):
+        return np.zeros(0, np.uint64), firsts
+    at_byte = np.ndarray((len(raw),), "<u8", raw + bytes(8), strides=(1,))  # the eight bytes from each byte on
+    length = ends - starts
+    blocks = (length + 7) >> 3
+    offsets = np.cumsum(blocks) - blocks
+    place = np.arange(blocks.sum()) - np.repeat(offsets, blocks)
+    value = at_byte[np.repeat(starts, blocks) + 8 * place]
+    unused = np.clip(8 * (place + 1) - np.repeat(length, blocks), 0, 7).astype(np.uint64)  # bytes behind the word
+    value &= np.uint64(2**64 - 1) >> (unused << np.uint64(3))
+    value = mix(value + (place.astype(np.uint64) + np.uint64(1)) * _PLACE, 3)
+    return mix(np.add.reduceat(value, offsets) + length.astype(np.uint64)), firsts
 
 
 def _sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
