@@ -16,7 +16,40 @@ def page(body, head="<title>T</title>"):
     return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>"
 
 
+READER = "I read this with much interest and would like to add that I do not agree with it at all."
 CASES = {
+    "class words inside the article": (
+        "<article><h1>Title</h1>"
+        + "".join(
+            f"<div class='{c}'><p>{LONG} {c}</p></div>"
+            for c in "social-studies skip-lazy widget-text ad-hoc alert-history related-work search-and-rescue discussion "
+            "overlay-map notice-board".split()
+        )
+        + "</article>",
+        "Title\n"
+        + "\n".join(
+            f"{LONG} {c}"
+            for c in "social-studies skip-lazy widget-text ad-hoc alert-history related-work search-and-rescue discussion "
+            "overlay-map notice-board".split()
+        ),
+    ),
+    "comments that are articles": (
+        f"<main><article><h1>Title</h1><p>{LONG}</p></article><section id=comments class=comments><h2>Comments</h2>"
+        f"<article class=comment><p>{READER}</p></article><article class='comment'><p>{READER}</p></article></section></main>",
+        f"Title\n{LONG}",
+    ),
+    "a paragraph that is an advert": (f"<article><p>{LONG}</p><p class=advert>{READER}</p></article>", LONG),
+    "a paragraph that is a notice": (f"<article><p class='cookie-notice'>{READER}</p><p>{LONG}</p></article>", LONG),
+    "an article that is an advert": (f"<main><article><p>{LONG}</p></article><article class=advert><p>{READER}</p></article></main>", LONG),
+    "teaser articles of related pages": (
+        f"<main><article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></article><div class=related>"
+        f"<article><h3>Other</h3><p>{READER}</p></article></div></main>",
+        f"Title\n{LONG}\n{LONG}",
+    ),
+    "links in an element with a hint in its name": (
+        f"<article><p>{LONG}</p><div class='share-this'><p><a href=/a>Send it to a friend or to somebody else whom you know</a></p></div></article>",
+        LONG,
+    ),
     "no article element": (
         f"<header><h1>Site</h1></header><div id=content><h1>Title</h1><p>{LONG}</p><p>Of.</p><p>{LONG}</p></div>"
         "<div class='sidebar'><p>Some other things that are nice to read as well.</p></div><footer>(c)</footer>",

@@ -27,6 +27,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -67,9 +68,15 @@ HOLDS_P = BLOCK - {"p"}
 NOISE = frozenset(
     "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation "
     "breadcrumb breadcrumbs footer sidebar cookie cookies consent gdpr notice popup modal overlay alert comment comments "
-    "commentlist respond discussion disqus share sharing social related recommended recommendations newsletter subscribe "
+    "commentlist respond disqus share sharing social related recommended recommendations newsletter subscribe "
     "subscription signup login search toolbar pagination pager skip masthead copyright widget teaser outbrain taboola".split()
 )
+#: With one of those, these make a name of the same kind: ``ad-slot``, ``related-posts``, ``cookie-bar``.
+FRAME = frozenset(
+    "box block area container wrapper wrap list lists section sections inner outer bar item items link links panel left right top "
+    "bottom main primary secondary header heading title head foot group slot unit row col column page site global button buttons "
+    "icon icons form field input post posts article articles story stories news content body module card cards feed tools".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 _WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
@@ -80,22 +87,25 @@ class Element:
     ``out``: it or an element around it is left out by tag or role.  ``named``:
     the nearest such element by class or id, itself included.  ``home``: the
     nearest region, itself included.  ``heading``: the tag of the nearest heading,
-    itself included.  ``target``: the nearest link, itself included, leads somewhere.
+    itself included.  ``hint``: the nearest element whose class only holds such a word.
+    ``in_main``: inside an article or main element.  ``target``: the nearest link, itself included, leads somewhere.
     All are inherited when an element opens, so nothing walks up a deep page again
     for each line.
     """
 
-    __slots__ = ("tag", "parent", "main", "out", "named", "home", "heading", "target", "holds_main", "held", "depth", "inside")
+    __slots__ = ("tag", "parent", "main", "out", "named", "home", "heading", "target", "holds_main", "holds_title", "hint", "in_main", "held", "depth", "inside")
 
     def __init__(self, tag, parent, noise, main, region, target=None):
         self.tag, self.parent, self.main = tag, parent, main
         self.out = noise == "tag" or (parent is not None and parent.out)
         self.named = self if noise == "name" else parent and parent.named
+        self.hint = self if noise == "hint" else parent and parent.hint
+        self.in_main = main or (parent is not None and parent.in_main)
         self.home = self if region or parent is None else parent.home
         self.depth = 0 if parent is None else parent.home.depth + (self.home is self)
         self.heading = tag if tag in HEADINGS else parent and parent.heading
         self.target = parent is not None and parent.target if target is None else target
-        self.holds_main = self.inside = False
+        self.holds_main = self.holds_title = self.inside = False
         self.held = 0
 
 
@@ -117,12 +127,23 @@ def _noise(tag: str, attrs: dict, inside_main: bool):
         return "tag"
     if re.search(r"display\s*:\s*none", attrs.get("style") or ""):
         return "tag"
-    if tag in ("html", "body", "main", "article", "p") or tag in VOID:
-        return False
-    words = _WORD.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}")
-    if not any(w.lower() in NOISE for w in words):
+    if tag in ("html", "body", "main") or tag in VOID:
         return False
-    return "name" if tag in BLOCK else "tag"  # inside a line there is no article to hold
+    kinds = {_kind(token) for token in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()}
+    if "name" in kinds:
+        return "name" if tag in BLOCK else "tag"  # inside a line there is no article to hold
+    return "hint" if "hint" in kinds and tag in BLOCK and tag not in ("article", "p") else False
+
+
+@lru_cache(maxsize=1 << 16)
+def _kind(token: str):
+    """``name``: a class of what is not the article, as a whole (``ads``, ``ad-slot``).  ``hint``: it
+    holds such a word beside others (``ad-hoc``, ``related-work``, ``widget-text``)."""
+    words = [w.lower().rstrip("0123456789") for w in _WORD.findall(token)]
+    words = [w for w in words if len(w) > 1]
+    if not any(w in NOISE for w in words):
+        return None
+    return "name" if all(w in NOISE or w in FRAME for w in words) else "hint"
 
 
 def _leads(href: str) -> bool:
@@ -187,11 +208,13 @@ class Lines(HTMLParser):
         given = {k: v or "" for k, v in attrs}
         main = tag in ("article", "main") or given.get("role") == "main" or given.get("itemprop") == "articleBody"
         target = _leads(given.get("href", "")) if tag == "a" else None
-        node = Element(tag, self.open, _noise(tag, given, self.mains > 0), main, main or tag in REGION, target)
+        noise = _noise(tag, given, self.mains > 0)
+        main = main and noise != "name"  # a comment or an advert may be an article element
+        node = Element(tag, self.open, noise, main, main or tag in REGION, target)
         if main or tag == "h1":
             above = self.open
-            while above is not None and not above.holds_main:
-                above.holds_main = True
+            while above is not None and not (above.holds_main and (above.holds_title or tag != "h1")):
+                above.holds_main, above.holds_title = True, above.holds_title or tag == "h1"
                 above = above.parent
         if node.home is node:
             self.regions.append(node)
@@ -231,15 +254,50 @@ def parsed(html: str) -> Lines:
     return parser
 
 
-def left_out(line: Line) -> bool:
-    """Inside an element that is not the article.  A name alone is not believed of
-    an element that holds the article or the page's main heading."""
-    if line.at.out:
-        return True
-    node = line.at.named
-    while node is not None and node.holds_main:
-        node = node.parent.named
-    return node is not None
+def believed(lines: list[Line]) -> set[Element]:
+    """The elements whose name says that they are not the article, and are believed.
+
+    A name alone is not believed of an element that holds the page's main heading, nor of one
+    that holds an article, unless more article text lies outside it (teasers of
+    other articles).
+    """
+    inside: Counter[Element] = Counter()
+    total = 0
+    for line in lines:
+        size = len(line.text) if line.at.in_main else 0
+        total += size
+        node = line.at.named
+        while node is not None:
+            inside[node] += size
+            node = node.parent.named
+    return {node for node, size in inside.items() if not node.holds_main or (not node.holds_title and total - size > size)}
+
+
+def without_noise(lines: list[Line]) -> list[Line]:
+    """Lines outside elements that are left out by tag, role or a believed name, and outside
+    those with a hint in their class that hold no sentence or are mostly links."""
+    lines = [x for x in lines if not x.at.out]
+    names = believed(lines)
+    kept = []
+    for line in lines:
+        node = line.at.named
+        while node is not None and node not in names:
+            node = node.parent.named
+        if node is None:
+            kept.append(line)
+    hinted: dict[Element, list[Line]] = {}
+    for line in kept:
+        node = line.at.hint
+        while node is not None:
+            hinted.setdefault(node, []).append(line)
+            node = node.parent.hint
+    gone = set()
+    for node, some in hinted.items():
+        linked, size = sum(x.linked for x in some), sum(len(x.text) for x in some)
+        prose = any(len(x.text) - x.linked >= SENTENCE for x in some)
+        if not node.holds_main and (not prose or 2 * linked >= size):
+            gone.update(map(id, some))
+    return [x for x in kept if id(x) not in gone]
 
 
 def smooth(lines: list[Line], sigma: float = SIGMA) -> None:
@@ -342,7 +400,7 @@ def without_menus(lines: list[Line]) -> list[Line]:
 def main_text(html: str | None) -> str:
     """The article's blocks joined by newlines."""
     page = parsed(html or "")
-    lines = [x for x in page.lines if not left_out(x)]
+    lines = without_noise(page.lines)
     if not lines:
         return ""
     for line in lines:
