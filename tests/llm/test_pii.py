@@ -17,7 +17,10 @@ def luhn(s):
     return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits)) % 10 == 0
 
 
-def feistel(left, right, sizes, kind, key=pii.KEY):
+KEY = "a key of the tests"
+
+
+def feistel(left, right, sizes, kind, key=KEY):
     """The network in plain Python."""
     values = [left, right]
     for i in range(1, pii.ROUNDS + 1):
@@ -31,7 +34,7 @@ def feistel(left, right, sizes, kind, key=pii.KEY):
 def one(spark):
     def run(texts, **options):
         docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-        return [r.text for r in pii.pseudonymize(docs, **options).orderBy("doc_id").collect()]
+        return [r.text for r in pii.pseudonymize(docs, options.pop("key", KEY), **options).orderBy("doc_id").collect()]
 
     return run
 
@@ -71,6 +74,26 @@ def test_like_the_plain_network(one):
     assert one(["4465758382889437"])[0].startswith(f"{l:07d}{r:08d}")
 
 
+def test_equal_values_are_linked_in_every_layout(one):
+    layouts = {
+        "phone": ["(212) 555-1234", "212-555-1234", "+12125551234", "1 212 555 1234", "+1 (212) 555-1234", "212.555.1234"],
+        "day": ["2024-01-02", "01/02/2024", "02.01.2024"],
+        "card": ["4465758382889437", "4465-7583-8288-9437", "4465 7583 8288 9437"],
+    }
+    for kind, values in layouts.items():
+        out = one(values)
+        assert one(out, restore=True) == values
+        if kind == "day":
+            days = {datetime.strptime(x, f).date() for x, f in zip(out, ("%Y-%m-%d", "%m/%d/%Y", "%d.%m.%Y"), strict=True)}
+            assert len(days) == 1 and days != {date(2024, 1, 2)}
+        else:
+            digits = {re.sub(r"\D", "", x)[-10 if kind == "phone" else 0 :] for x in out}
+            assert len(digits) == 1 and digits != {re.sub(r"\D", "", values[0])}
+    low = ["(012) 555-1234", "(212) 155-1234", "(212) 055-0000", "(199) 100-0000"]
+    assert one(one(low), restore=True) == low and len(set(one(low))) == 4
+    assert one(["212-555-1234"], key="another") != one(["212-555-1234"])
+
+
 def test_invalid_items_stay(one):
     assert one(LEFT) == LEFT
 
@@ -92,9 +115,9 @@ def test_mail_and_secrets(one):
 def test_nulls_long_texts_repeats_clashes(spark):
     rows = [(1, None, "a"), (2, "", "b"), (2, "", "b"), (None, "97.51.17.173 " * 3000, None), (4, "x" * 500_000 + " 97.51.17.173", "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, found string")
-    out = pii.pseudonymize(docs, found="found")
+    out = pii.pseudonymize(docs, KEY, found="found")
     assert out.columns == ["doc_id", "text", "found"] and sorted((r.doc_id or -1, r.found) for r in out.collect()) == [(-1, 3000), (1, 0), (2, 0), (2, 0), (4, 1)]
-    assert pii.pseudonymize(docs.limit(0)).count() == 0
+    assert pii.pseudonymize(docs.limit(0), KEY).count() == 0
 
 
 def test_query_hides_all_and_nothing_else(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,10 +52,24 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
 
 
+#: Where a session names the secret key of the pseudonyms.
+PII_KEY_CONF = "spark.tidewater.pii.key"
+#: For synthetic tables only: anybody who reads this can restore what it hides.
+EXAMPLE_PII_KEY = "replace-this-key"
+
+
+def pii_key(spark: SparkSession) -> str:
+    """The session's key; without one that of the examples, with a warning."""
+    key = spark.conf.get(PII_KEY_CONF, None)
+    if not key:
+        warnings.warn(f"{PII_KEY_CONF} is not set: pseudonyms use the public example key", stacklevel=2)
+    return key or EXAMPLE_PII_KEY
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text with its personal data pseudonymized."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymize(docs, found="n_found")
+    return pii.pseudonymize(docs, pii_key(spark), found="n_found")
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

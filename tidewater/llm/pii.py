@@ -6,8 +6,9 @@ calendar dates are permuted inside their format by a keyed Feistel network:
 the value is split into (left, right), each round adds a keyed hash of one part
 to the other modulo that part's range, and the result is written back into the
 same layout, with a new check digit for cards.  A permutation is one to one, so
-equal values stay equal and different ones different in every document, and
-``restore=True`` with the same key brings the originals back.  E-mail addresses
+equal values stay equal and different ones different in every document and in
+every layout (a day, a card or a North American telephone number is permuted as a value and
+written back into its layout), and ``restore=True`` with the same key brings the originals back.  E-mail addresses
 and quoted secrets, which have no numeric format, become keyed digests of the
 same kind (equal ones stay equal, not reversible).
 
@@ -36,7 +37,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY = "replace-this-key"
 ROUNDS = 10
 
 # Fixed formats.
@@ -164,20 +164,24 @@ def card(value: Column, key: str, restore: bool) -> Column:
 
 
 def phone(value: Column, key: str, restore: bool) -> Column:
-    """The last ten digits; a country code stays.  Without brackets, area code and
-    exchange begin with 2 to 9 before and after."""
+    """The last ten digits, by their value, in any layout; a country code stays.
+
+    Area codes and exchanges from 200 on are permuted among themselves, and so are numbers with a
+    smaller area code, and the others with a smaller exchange (brackets allow both).
+    """
     national = F.regexp_extract(value, r"^(?:\+?1[ .-]?)?(.*)$", 1)
     prefix = F.regexp_extract(value, r"^((?:\+?1[ .-]?)?)", 1)
-    digits = F.regexp_replace(national, r"\D", "")
-    area, exchange, line = (_long(F.substring(digits, a, n)) for a, n in ((1, 3), (4, 3), (7, 4)))
-    strict = permute(
-        area - 200, (exchange - 200) * 10_000 + line, (F.lit(800), F.lit(8_000_000)), "phone", key, restore
-    )
-    plain = _bind(
-        strict, lambda s: F.concat((s["l"] + 200).cast("string"), (s["r"] + 2_000_000).cast("string"))
-    )
-    bracketed = value.contains("(")
-    new = F.when(bracketed, permuted_digits(digits, "phone(", key, restore)).otherwise(plain)
+
+    def moved(digits: Column) -> Column:
+        area, rest = _long(F.substring(digits, 1, 3)), _long(F.substring(digits, 4, 7))
+        low_area, low_exchange = area < 200, rest < 2_000_000
+        first = (F.when(low_area, 0).otherwise(200), F.when(low_area | low_exchange, 0).otherwise(2_000_000))
+        sizes = (F.when(low_area, 200).otherwise(800), F.when(low_area, 10_000_000).when(low_exchange, 2_000_000).otherwise(8_000_000))
+        new = permute(area - first[0], rest - first[1], sizes, "phone", key, restore)
+        pad = lambda x, n: F.lpad(x.cast("string"), n, "0")
+        return _bind(new, lambda s: F.concat(pad(s["l"] + first[0], 3), pad(s["r"] + first[1], 7)))
+
+    new = _bind(F.regexp_replace(national, r"\D", ""), moved)
     return F.concat(prefix, _bind(new, lambda d: refill(national, d)))
 
 
@@ -217,13 +221,13 @@ def _date_in(value: Column, layout: str, key: str, restore: bool) -> Column:
     first = F.lit(FIRST_DAY).cast("date")
     day = F.try_to_timestamp(value, F.lit(layout)).cast("date")
     number = F.date_diff(day, first)
-    moved = permute(F.floor(number / DAYS[1]), number % DAYS[1], (F.lit(DAYS[0]), F.lit(DAYS[1])), layout, key, restore)
+    moved = permute(F.floor(number / DAYS[1]), number % DAYS[1], (F.lit(DAYS[0]), F.lit(DAYS[1])), "date", key, restore)
     new = _bind(moved, lambda s: F.date_format(F.date_add(first, (s["l"] * DAYS[1] + s["r"]).cast("int")), layout))
     return F.when(day.isNotNull(), new)
 
 
 def date(value: Column, key: str, restore: bool) -> Column:
-    """A day of 1900 to 2099 in the same layout; null for days that do not exist."""
+    """A day of 1900 to 2099, by its value, in the same layout; null for days that do not exist."""
     return (
         F.when(value.contains("-"), _date_in(value, "yyyy-MM-dd", key, restore))
         .when(value.contains("/"), _date_in(value, "MM/dd/yyyy", key, restore))
@@ -247,7 +251,7 @@ def _whole(pattern: str) -> str:
     return f"^(?:{pattern})$"
 
 
-def pseudonym(value: Column, key: str = KEY, restore: bool = False) -> Column:
+def pseudonym(value: Column, key: str, restore: bool = False) -> Column:
     """The pseudonym of one candidate, or null if it is not valid data."""
     one_way = (lambda c: F.lit(None).cast("string")) if restore else (lambda c: c)
     return (
@@ -263,7 +267,7 @@ def pseudonym(value: Column, key: str = KEY, restore: bool = False) -> Column:
 
 
 def pseudonymize(
-    docs: DataFrame, text: str = "text", key: str = KEY, found: str | None = None, restore: bool = False
+    docs: DataFrame, key: str, text: str = "text", found: str | None = None, restore: bool = False
 ) -> DataFrame:
     """``docs`` with every valid item of ``text`` replaced; ``found`` adds their number."""
     given = F.col(text)
