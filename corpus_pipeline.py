@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import bpe, jaccard, langid, mixing, pii
-from tidewater.llm.catalog import tokenizer_path
+from tidewater.llm.catalog import pii_key, tokenizer_path
 from tidewater.llm.common import read, stored
 
 
@@ -31,7 +31,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pseudonymize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by pseudonyms; ``n_chars`` follows a changed text."""
-    done = pii.pseudonymize(docs, found="_pii_found")
+    done = pii.pseudonymize(docs, pii_key(spark), found="_pii_found")
     length = F.when(F.col("_pii_found") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
     kinds = dict(docs.dtypes)
     return done.select(*[length.cast(kinds[c]).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
