@@ -39,8 +39,8 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 END = "</w>"
 #: Symbols read beyond the lookahead before stable tokens are emitted.
 CHUNK = 64
-#: Words of a text whose ids are handed on together.
-WORDS = 4096
+#: Characters of a text, up to the next space, whose words are listed together.
+SLICE = 1 << 16
 #: Words remembered by a worker: as many again from before the table was last full.
 REMEMBERED = 100_000
 #: After every rule.
@@ -108,13 +108,15 @@ def _class(kind: str, top: int) -> str:
 
 
 _NEW_CASE = {a + i: low + i for a, b, low in LOWER_NEW for i in range(b - a + 1)}
+_FIRST_NEW = chr(min(_NEW_CASE))
 _HAS_NEW_CASE = re.compile("[" + "".join(map(chr, _NEW_CASE)) + "]")
 
 
-def lowered(text: str) -> str:
-    """Lower case without the rule for a final sigma, also of letters that are newer than this Python."""
+def lowered(text: str, top: str) -> str:
+    """Lower case without the rule for a final sigma, also of letters that are newer than this
+    Python; ``top`` is the text's largest character."""
     text = text.replace("Σ", "σ").lower()
-    return text.translate(_NEW_CASE) if _HAS_NEW_CASE.search(text) else text
+    return text.translate(_NEW_CASE) if top >= _FIRST_NEW and _HAS_NEW_CASE.search(text) else text
 
 
 @lru_cache(maxsize=2)
@@ -221,17 +223,16 @@ class Tokenizer(Names):
                 continue
             if not unicodedata.is_normalized("NFC", part):
                 part = unicodedata.normalize("NFC", part)
-            part = lowered(part)
+            top = max(part, default="")
+            part = lowered(part, top)
             # Ranges beyond the basic plane make matching slow; few texts need them.
-            words = _words(0x110000 if part and max(part) > "￿" else 0x10000)
-            known, make, done = self.known.get, self.word, []
-            for m in words.finditer(part):
-                word = m.group()
-                done.append(known(word) or make(word))
-                if len(done) >= WORDS:
-                    yield b"".join(done)
-                    done = []
-            yield b"".join(done)
+            words = _words(0x110000 if top > "￿" else 0x10000)
+            known, make, begin = self.known.get, self.word, 0
+            while begin < len(part):  # no word reaches across a space
+                end = part.find(" ", begin + SLICE)
+                end = len(part) if end < 0 else end
+                yield b"".join([known(m) or make(m) for m in words.findall(part, begin, end)])
+                begin = end
 
     def encode(self, text: str | None) -> bytes:
         return b"".join(self.pieces(text or ""))
