@@ -277,6 +277,8 @@ def _assemble(sp: ModelSpec, coef, cov_unscaled, s, centered_tss, rank: int, mom
     pvals = np.array([stats.t_sf2(float(t), df_resid) for t in tvals])
     q = stats.t_ppf(0.975, df_resid) if df_resid > 0 else float("nan")
     r2 = 1.0 - ssr / centered_tss if centered_tss > 0 else float("nan")
+    if df_model == 0 and centered_tss > 0:
+        r2 = 0.0  # an intercept alone explains nothing
     adj = 1.0 - (1.0 - r2) * (n - 1) / df_resid if df_resid > 0 else float("nan")
     if df_model > 0 and df_resid > 0 and r2 < 1:
         f_stat = (r2 / df_model) / ((1.0 - r2) / df_resid)

@@ -376,7 +376,7 @@ ce AS (
   SELECT ord.stage, avg(power(e - ea, 2)) AS c2, avg(power(e - ea, 3)) AS c3, avg(power(e - ea, 4)) AS c4
   FROM ord JOIN em ON em.stage = ord.stage GROUP BY ord.stage),
 st AS (
-  SELECT fit.*, em.ssr, em.dw, c3 / power(c2, 1.5) AS skew, c4 / (c2 * c2) AS kurt, 1 - em.ssr / syy AS r2, em.ssr / (n - k) AS sigma2,
+  SELECT fit.*, em.ssr, em.dw, c3 / power(c2, 1.5) AS skew, c4 / (c2 * c2) AS kurt, CASE WHEN k = 1 THEN 0 ELSE 1 - em.ssr / syy END AS r2, em.ssr / (n - k) AS sigma2,
          -n / 2.0 * (ln(2 * pi()) + ln(em.ssr / n) + 1) AS llf
   FROM fit JOIN em ON em.stage = fit.stage JOIN ce ON ce.stage = fit.stage)"""
 
