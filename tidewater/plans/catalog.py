@@ -283,8 +283,8 @@ def q_schema_capture(spark, sf_dir):
 
 
 def _features(spark, sf_dir):
-    # Post texts repeat in this data (a supplier's document is shared by its
-    # lines), so each distinct text is scored once and joined back.
+    # Post texts repeat in this data (several lines share a document), so each
+    # distinct text is scored once and joined back.
     return build_features(_pages(spark, sf_dir), k=K, vocab=_vocab(spark, sf_dir), by_text=True, keep_text=False)
 
 
