@@ -216,7 +216,7 @@ def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         tag = hashlib.md5(key[1].encode()).hexdigest()[:10]
         path = f"{root}/tidewater-pages-{tag}-{key[0]}"
         # Post texts repeat (reposts; here a document on each of its
-        # lines).  A 16 MB dictionary page keeps such columns dictionary-encoded
+        # lines).  A 64 MB dictionary page keeps such columns dictionary-encoded
         # (the 1 MB default falls back to plain pages: 26x larger files, 5x
         # slower text scans); the cap bounds writer memory per column.
         (
