@@ -63,3 +63,44 @@ def test_the_floor_prunes_but_keeps_ties():
     vectors = np.array([[1, 0], [2, 0], [3, 0], [3, 0]])
     tree = topk.BallTree.build(np.arange(4), vectors, 1)
     assert tree.search(np.array([9]), np.array([[1, 0]]), 2, [3.0]) == [[(3, 2), (3, 3)]]
+
+
+def test_clusters_are_searched_in_few_shards(spark, monkeypatch):
+    """Root bounds keep most (block, shard) pairs of clustered rows from being sent."""
+    rng = np.random.default_rng(7)
+    middles = rng.normal(size=(8, 12)) * 20
+    rows = [(i, [float(x) for x in middles[i % 8] + rng.normal(size=12)]) for i in range(4000)]
+    kept = {}
+    plain = topk.stored
+    monkeypatch.setattr(topk, "stored", lambda df, name: kept.setdefault(name, plain(df, name)))
+    assert run(spark, rows, shard_rows=250, block_rows=10) == brute(rows, lambda i: i % 50 == 0, 5)
+    blocks, shards = kept["topk-blocks"].count(), kept["topk-trees"].count()
+    assert shards >= 8 and kept["topk-sent"].count() < blocks * (shards - 1) / 2
+
+
+def test_other_lengths_and_one_hot_id(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=3 if i % 7 else 5)]) for i in range(300)]
+    rows += [(100, [float(i), 1.0, -1.0]) for i in range(150)] + [(150, [1.0, 2.0, 3.0])] * 100 + [(2, [])]
+    assert run(spark, rows, shard_rows=40, block_rows=9) == brute([r for r in rows if r[1]], lambda i: i % 50 == 0, 5)
+
+
+def test_cancelling_bounds_keep_their_rounding():
+    """A bound near zero that is a difference of large terms is still an upper bound."""
+    rng = np.random.default_rng(9)
+    vectors = rng.integers(-(2**20), 2**20, (500, 8)) + 2**26
+    queries = rng.integers(-(2**24), 2**24, (20, 8))
+    tree = topk.BallTree.build(np.arange(500), vectors, 4)
+    bounds = topk._bounds(queries.astype(float), tree.centers, tree.radii)
+    for node, (start, stop) in enumerate(tree.spans):
+        assert ((queries @ tree.vectors[start:stop].T).max(1) <= bounds[:, node]).all()
+
+
+def test_router_places_every_point():
+    rng = np.random.default_rng(10)
+    points = rng.normal(size=(500, 4))
+    router = topk.Router(points, 16)
+    counts = np.bincount(router.place(points), minlength=16)
+    assert router.cells == 16 and counts.sum() == 500 and counts.min() > 0
+    same = topk.Router(np.ones((50, 3)), 8)
+    assert same.cells == 1 and not same.place(np.ones((5, 3))).any()

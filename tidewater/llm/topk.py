@@ -1,23 +1,28 @@
 """Exact top-k inner-product search with a ball tree per shard.
 
-Rows are dealt to shards of about ``SHARD_ROWS`` by a hash of their id, queries
-to blocks of about ``BLOCK_ROWS``.  Every shard's vectors become a ball tree
-(one stored row per shard).  A query walks a tree best first: nodes are ordered
-by the upper bound  q.center + |q| * radius  of any inner product inside, a leaf
-is scored as one product, and the walk ends when the best bound left is below
-the current kth score.
+The top of the tree is a router: splits at medians fitted on a sample of about
+``ROUTER_ROWS`` rows, with at most ``CELLS`` cells of nearby vectors.  It places
+every row; a cell's rows are dealt by hash to shards of about ``SHARD_ROWS``, its
+queries to blocks of about ``BLOCK_ROWS``.  Every shard's vectors become a ball
+tree (one stored row per shard).  A query walks a tree best first: nodes are
+ordered by the upper bound  q.center + |q| * radius  of any inner product inside,
+a leaf is scored as one product, and the walk ends when the best bound left is
+below the current kth score.  The sample decides where rows lie, never the result.
 
 The kth score is shared between shards: a first round lets each block search
-one home shard, and the second round starts every other (block, shard) pair
-from the kth scores of the first.  Each pair returns at most k rows per query;
-the best k of them are the answer.
+one home shard of its cell.  Then the blocks and their kth scores meet the root
+balls of all shards, in pages of about ``PAGE_BALLS``; only a query whose bound at a
+root reaches its kth score is sent to that shard, and starts from that score.
+Each shard returns at most k rows per query; the best k of them are the answer.
 
-Blocks meet shards by an equi-join on the shard, with shards repeated for each
-group of ``GROUP_BLOCKS`` blocks: no task holds more than one shard and one
-block, and nothing is collected or broadcast.
+Queries meet shards by an equi-join on the shard, with a shard repeated for each
+group of ``GROUP_BLOCKS`` blocks that asks for it: no task holds more than one
+shard and one block.  Only the sample is collected; the router (a direction per
+cell) goes to all tasks.
 
 Defined results
-  Vectors that are null or hold null or non-finite components take no part.
+  Vectors that are null, without components, or hold null or non-finite
+  components take no part.
   Equal rows (id and vector) count once; rows with the query's id are its own.
   An id with several vectors is searched with each and answered by the best.
   Vectors of different lengths are not compared.  Ties go to the smaller id.
@@ -37,8 +42,10 @@ from pyspark.sql import functions as F
 from .common import stored
 
 SHARD_ROWS, BLOCK_ROWS, GROUP_BLOCKS, LEAF_ROWS = 4096, 512, 64, 128
+ROUTER_ROWS, CELLS, PAGE_BALLS, SENT_BYTES = 16_384, 512, 1024, 4 << 20
 PACKED = "n long, dim int, ids binary, vectors binary"
-TREE = f"shard int, {PACKED}, centers binary, radii binary, spans binary, children binary"
+BLOCK = f"block long, {PACKED}"
+TREE = f"shard long, {PACKED}, centers binary, radii binary, spans binary, children binary"
 
 
 def scaled(vector: Column, scale: int = 256) -> Column:
@@ -48,7 +55,60 @@ def scaled(vector: Column, scale: int = 256) -> Column:
 
 def usable(vector: Column) -> Column:
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    return vector.isNotNull() & fine
+    return vector.isNotNull() & (F.size(vector) > 0) & fine
+
+
+def _halves(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Direction between two far points, and the points' places along it."""
+    a = points[((points - points.mean(0)) ** 2).sum(1).argmax()]
+    b = points[((points - a) ** 2).sum(1).argmax()]
+    return b - a, points @ (b - a)
+
+
+def _bounds(queries: np.ndarray, centers: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """Upper bounds of the inner products of queries with all in each ball, rounding included."""
+    lengths = np.linalg.norm(queries, axis=1)[:, None]
+    reach = np.linalg.norm(centers, axis=1) + radii
+    return queries @ centers.T + lengths * radii + (1e-6 + 1e-9 * lengths * reach)
+
+
+class Router:
+    """Splits of a sample at the median along a direction, as many as make ``cells`` cells."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        self.dim = sample.shape[1]
+        self.directions, self.places, self.children = [], [], []  # child: a node, or -1 - cell
+        self.cells = 0
+        waiting, made = [(sample, None)], 1
+        while waiting:
+            points, parent = waiting.pop(0)
+            way, along = _halves(points) if made < cells and len(points) > 1 else (None, None)
+            if along is None or along.min() == along.max():
+                self.cells += 1
+                name = -self.cells
+            else:
+                name, made = len(self.places), made + 1
+                place = np.median(along)
+                place = along[along < along.max()].max() if place == along.max() else place
+                self.directions.append(way)
+                self.places.append(place)
+                self.children.append([None, None])
+                waiting += [(points[along <= place], (name, 0)), (points[along > place], (name, 1))]
+            if parent is not None:
+                self.children[parent[0]][parent[1]] = name
+
+    def place(self, points: np.ndarray) -> np.ndarray:
+        """The cell of each point."""
+        cell = np.zeros(len(points), np.int32)
+        waiting = [(0 if self.places else -1, np.arange(len(points)))]
+        while waiting:
+            node, rows = waiting.pop()
+            if node < 0:
+                cell[rows] = -1 - node
+            elif len(rows):
+                right = points[rows] @ self.directions[node] > self.places[node]
+                waiting += [(self.children[node][0], rows[~right]), (self.children[node][1], rows[right])]
+        return cell
 
 
 class BallTree:
@@ -73,9 +133,7 @@ class BallTree:
             centers.append(center)
             radii.append(np.sqrt(away.max()))
             if stop - start > leaf_rows and radii[-1] > 0:
-                a = own[away.argmax()]
-                b = own[((own - a) ** 2).sum(1).argmax()]
-                order[start:stop] = rows[np.argsort(own @ (b - a), kind="stable")]
+                order[start:stop] = rows[np.argsort(_halves(own)[1], kind="stable")]
                 middle = (start + stop) // 2
                 children[at] = len(spans)
                 spans += [(start, middle), (middle, stop)]
@@ -88,9 +146,7 @@ class BallTree:
         wide = float(np.abs(self.vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, queries.shape[1])
         kind = np.float64 if wide < 2**53 else object  # products are exact integers either way
         vectors, points = self.vectors.astype(kind), queries.astype(kind)
-        q = queries.astype(np.float64)
-        bounds = q @ self.centers.T + np.linalg.norm(q, axis=1)[:, None] * self.radii
-        bounds += 1e-6 + 1e-9 * np.abs(bounds)
+        bounds = _bounds(queries.astype(np.float64), self.centers, self.radii)
         found = []
         for i, own in enumerate(query_ids):
             best: list[tuple[int, int]] = []  # a heap of (score, -id), the worst first
@@ -138,15 +194,20 @@ def _packed(rows: DataFrame, by: str, finish, schema: str) -> DataFrame:
     return keyed.groupBy(by, "dim").applyInArrow(_ordered(pack, schema), schema)
 
 
+def _fields(schema: str):
+    """An Arrow schema of int, long and binary columns."""
+    import pyarrow as pa
+
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.schema([(n, types[t]) for n, t in (f.strip().split(" ") for f in schema.split(","))])
+
+
 def _ordered(pack, schema: str):
     """``pack`` with its columns in the order and types of ``schema``."""
 
     def run(key, table):
-        import pyarrow as pa
-
-        types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-        fields = [f.strip().split(" ") for f in schema.split(",")]
-        return pack(key, table).select([n for n, _ in fields]).cast(pa.schema([(n, types[t]) for n, t in fields]))
+        fields = _fields(schema)
+        return pack(key, table).select(fields.names).cast(fields)
 
     return run
 
@@ -184,10 +245,10 @@ def _searched(pairs: DataFrame, k: int) -> DataFrame:
                 hits = [(int(q), v, s) for q, rows in zip(ids, found, strict=True) for s, v in rows]
                 if hits:
                     q, v, s = (pa.array(c, pa.int64()) for c in zip(*hits, strict=True))
-                    one = lambda x: pa.array([x] * len(hits), pa.int32())
-                    yield pa.RecordBatch.from_arrays([one(row["block"]), one(row["dim"]), q, v, s], names=["block", "dim", "query_id", "vec_id", "score"])
+                    block, dim = pa.array([row["block"]] * len(hits), pa.int64()), pa.array([row["dim"]] * len(hits), pa.int32())
+                    yield pa.RecordBatch.from_arrays([block, dim, q, v, s], names=["block", "dim", "query_id", "vec_id", "score"])
 
-    return pairs.mapInArrow(run, "block int, dim int, query_id long, vec_id long, score long")
+    return pairs.mapInArrow(run, "block long, dim int, query_id long, vec_id long, score long")
 
 
 def _floors(blocks: DataFrame, hits: DataFrame, k: int) -> DataFrame:
@@ -195,6 +256,7 @@ def _floors(blocks: DataFrame, hits: DataFrame, k: int) -> DataFrame:
     rank = Window.partitionBy("block", "dim", "query_id").orderBy(F.desc("score"), "vec_id")
     kth = hits.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") == k)
     per_block = kth.groupBy("block", "dim").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "score"))).alias("kth"))
+    schema = f"{BLOCK}, home long, floors binary"
 
     def fill(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -205,11 +267,71 @@ def _floors(blocks: DataFrame, hits: DataFrame, k: int) -> DataFrame:
                 known = dict(batch.column("kth")[i].as_py() or [])
                 ids = np.frombuffer(batch.column("ids")[i].as_py(), np.int64)
                 made.append(np.array([known.get(int(q), -np.inf) for q in ids], np.float64).tobytes())
-            kept = [batch.column(n) for n in batch.schema.names if n not in ("kth", "floors")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(made, pa.binary())], names=["block", "n", "dim", "ids", "vectors", "floors"])
+            names = [n for n in _fields(schema).names if n != "floors"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(made, pa.binary())], names=[*names, "floors"])
+
+    joined = blocks.drop("floors").join(per_block, ["block", "dim"], "left")
+    return joined.mapInArrow(fill, schema)
+
+
+def _sent(blocks: DataFrame, trees: DataFrame, pages: int) -> DataFrame:
+    """For each shard the queries whose bound at its root reaches their floor, block by block."""
+    root = F.struct("shard", F.expr("substring(centers, 1, 8 * dim)").alias("center"), F.expr("substring(radii, 1, 8)").alias("radius"))
+    page = F.pmod(F.xxhash64("shard"), F.lit(pages)).cast("int")
+    balls = trees.groupBy(page.alias("page"), "dim").agg(F.collect_list(root).alias("balls"))
+    met = blocks.withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(pages - 1)))).join(balls, ["page", "dim"])
+    schema = f"shard long, {BLOCK}, floors binary"
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
+                ids, queries = _unpack(row)
+                floors = np.frombuffer(row["floors"])
+                centers = np.array([np.frombuffer(b["center"]) for b in row["balls"]])
+                radii = np.array([np.frombuffer(b["radius"])[0] for b in row["balls"]])
+                asks = _bounds(queries.astype(np.float64), centers, radii) >= floors[:, None]
+                made, size = [], 0
+                for j in np.flatnonzero(asks.any(0)):
+                    if (shard := row["balls"][j]["shard"]) == row["home"]:
+                        continue
+                    own = asks[:, j]
+                    part = {"ids": ids[own].tobytes(), "vectors": queries[own].tobytes(), "floors": floors[own].tobytes()}
+                    made.append({"shard": shard, "block": row["block"], "n": int(own.sum()), "dim": row["dim"]} | part)
+                    size += len(part["vectors"])
+                    if size > SENT_BYTES:
+                        yield pa.RecordBatch.from_pylist(made, _fields(schema))
+                        made, size = [], 0
+                if made:
+                    yield pa.RecordBatch.from_pylist(made, _fields(schema))
+
+    return met.mapInArrow(run, schema)
+
+
+def _celled(rows: DataFrame, shards: int, n: int) -> DataFrame:
+    """``rows`` with their ``cell``; vectors of another length than most of the sample's are in cell 0."""
+    near = F.pmod(F.xxhash64("vec_id", "vector", F.lit(3)), F.lit(1 << 30)) <= int((1 << 30) * min(1.0, ROUTER_ROWS / max(n, 1)))
+    sample = [r.vector for r in rows.where(near).select("vector").limit(2 * ROUTER_ROWS).collect()]
+    if not sample:
+        return rows.withColumn("cell", F.lit(0))
+    lengths = [len(v) for v in sample]
+    usual = max(set(lengths), key=lambda x: (lengths.count(x), -x))
+    router = Router(np.array([v for v in sample if len(v) == usual], np.float64), min(shards, CELLS))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            fits = pc.equal(pc.list_value_length(batch.column("vector")), router.dim)
+            cell = np.zeros(batch.num_rows, np.int32)
+            own = batch.column("vector").filter(fits).flatten().to_numpy(zero_copy_only=False)
+            cell[fits.to_numpy(zero_copy_only=False)] = router.place(own.reshape(-1, router.dim).astype(np.float64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], names=[*batch.schema.names, "cell"])
 
-    joined = blocks.join(per_block, ["block", "dim"], "left").select("block", "n", "dim", "ids", "vectors", "kth")
-    return joined.mapInArrow(fill, f"block int, {PACKED}, floors binary")
+    return rows.mapInArrow(run, "vec_id long, vector array<long>, asked boolean, cell int")
 
 
 def search(
@@ -219,28 +341,41 @@ def search(
 
     ``rows`` has ``vec_id`` (long) and ``vector`` (array of long, usable).
     """
-    rows = stored(rows.select("vec_id", "vector", F.coalesce(is_query, F.lit(False)).alias("asked")), "topk-rows")
-    count = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("asked").alias("q")).first()
-    shards, n_blocks = max(1, -(-count["n"] // shard_rows)), max(1, -(-count["q"] // block_rows))
-    groups = -(-n_blocks // GROUP_BLOCKS)
-    deal = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
-
-    trees = _packed(rows.withColumn("shard", deal(shards, 1)), "shard", _tree, TREE)
-    trees = stored(trees, "topk-trees")
-    blocks = _packed(rows.where("asked").withColumn("block", deal(n_blocks, 2)), "block", _block, f"block int, {PACKED}")
-    blocks = stored(blocks, "topk-blocks").withColumn("floors", F.lit(None).cast("binary"))
-
-    wide = trees.select(F.col("shard"), F.col("dim"), *[F.col(c).alias(f"t_{c}") for c in trees.columns if c not in ("shard", "dim")])
-    wide = wide.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    part = F.pmod(F.col("block"), F.lit(groups)).cast("int")
+    rows = rows.select("vec_id", "vector", F.coalesce(is_query, F.lit(False)).alias("asked")).where(F.size("vector") > 0)
+    n = rows.count()
+    rows = stored(_celled(rows, -(-n // shard_rows), n).withColumn("dim", F.size("vector")), "topk-rows")
+    # Cells are few (at most CELLS for each length of vectors); shards and blocks count within theirs.
+    held = rows.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.count_if("asked").alias("q"))
+    pieces = F.ceil(F.col("n") / shard_rows).cast("long").alias("shards"), F.ceil(F.col("q") / block_rows).cast("long").alias("blocks")
+    cells = stored(held.select("dim", "cell", *pieces), "topk-cells")
+    total = cells.agg(F.sum("shards").alias("shards"), F.sum("blocks").alias("blocks")).first()
+    shards, n_blocks = total["shards"] or 1, total["blocks"] or 1
+    groups, pages = -(-n_blocks // GROUP_BLOCKS), -(-shards // PAGE_BALLS)
+
+    def deal(of: str, salt: int) -> Column:
+        return F.shiftleft(F.col("cell").cast("long"), 32) + F.pmod(F.xxhash64("vec_id", "vector", F.lit(salt)), F.col(of))
+
+    rows = rows.join(cells, ["dim", "cell"])
+    trees = stored(_packed(rows.withColumn("shard", deal("shards", 1)), "shard", _tree, TREE), "topk-trees")
+    blocks = _packed(rows.where("asked").withColumn("block", deal("blocks", 2)), "block", _block, BLOCK)
+    piece = F.pmod(F.col("block").bitwiseAND(F.lit((1 << 32) - 1)), F.col("shards"))
+    placed = blocks.withColumn("cell", F.shiftright("block", 32).cast("int")).join(cells, ["dim", "cell"])
+    home = (F.shiftleft(F.col("cell").cast("long"), 32) + piece).alias("home")
+    blocks = stored(placed.select("block", "n", "dim", "ids", "vectors", home), "topk-blocks")
+
+    part = F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int")
+    wide = trees.select("shard", "dim", *[F.col(c).alias(f"t_{c}") for c in trees.columns if c not in ("shard", "dim")])
 
     def pairs(asked: DataFrame) -> DataFrame:
-        asked = asked.withColumn("part", part).repartition(shards * groups, "shard", "part")
-        return asked.join(wide.repartition(shards * groups, "shard", "part"), ["shard", "part", "dim"])
-
-    home = F.pmod(F.col("block"), F.lit(shards)).cast("int")
-    first = stored(_searched(pairs(blocks.withColumn("shard", home)), k), "topk-home")
-    informed = _floors(blocks, first, k).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(F.col("shard") != home)
-    hits = first.unionByName(_searched(pairs(informed), k))
+        asked = asked.withColumn("part", part)
+        needed = asked.select("shard", "dim", "part").distinct()
+        ways = max(1, min(shards * groups, 4096))
+        met = wide.join(needed, ["shard", "dim"]).repartition(ways, "shard", "part")
+        return asked.repartition(ways, "shard", "part").join(met, ["shard", "part", "dim"])
+
+    alone = blocks.withColumn("floors", F.lit(None).cast("binary")).withColumnRenamed("home", "shard")
+    first = stored(_searched(pairs(alone), k), "topk-home")
+    sent = stored(_sent(_floors(blocks, first, k), trees, pages), "topk-sent")
+    hits = first.unionByName(_searched(pairs(sent), k))
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return hits.select("query_id", F.row_number().over(rank).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
