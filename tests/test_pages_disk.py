@@ -1,12 +1,13 @@
 """Pages are built without sorting, shuffling or storing the texts of their posts."""
 
+import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import posts
-from tidewater.plans import views
+from tidewater.plans import catalog, views
 
 
 def _plan(df) -> str:
@@ -54,6 +55,50 @@ def test_stored_pages_hold_no_text_and_the_same_posts(spark, shop):
     assert line(stored.select(*order)) == line(bare.select(*order))
 
 
+def _rows(df):
+    return sorted(r[0] for r in df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})).collect())
+
+
+def test_pages_written_in_slices_are_the_same(spark, shop, tmp_path, monkeypatch):
+    monkeypatch.setattr(views, "LINES_PER_SLICE", 3)  # 9 lines: 3 slices
+    os.symlink(shop, tmp_path / "again")
+    parts, made = [], views.pages
+
+    def counted(*a, **b):
+        parts.append(b["part_of"])
+        return made(*a, **b)
+
+    monkeypatch.setattr(views, "pages", counted)
+    stored = views.stored_pages(spark, str(tmp_path / "again"))
+    assert parts == [(0, 3), (1, 3), (2, 3)]
+    assert _rows(stored) == _rows(made(spark, shop, text=False)) and stored.count() == 4
+
+
+def test_an_order_without_key_is_in_one_slice(spark):
+    keys = spark.createDataFrame([(None,), (1,), (1,), (2,), (3,)], "k long")
+    got = [r["k"] for i in range(4) for r in views._in_slice(keys, "k", (i, 4)).collect()]
+    assert sorted(got, key=str) == [1, 1, 2, 3, None]
+
+
+def test_stored_posts_get_their_texts_without_building_pages_again(spark, shop):
+    stored = posts.posts(views.stored_pages(spark, shop), keep=("page_id",))
+    found = views.with_texts(stored, shop)
+    full = posts.posts(views.pages(spark, shop), keep=("page_id",))
+    assert _rows(found) == _rows(full)
+    assert "lineitem" not in _plan(found) and "Window" not in _plan(found) and "SortMergeJoin" not in _plan(found)
+
+
+def test_texts_of_repeated_documents_are_not_guessed(spark, shop, tmp_path):
+    docs = spark.read.parquet(f"{shop}/documents.parquet")
+    docs.unionByName(docs.filter("doc_id = 10").withColumn("text", F.lit("other"))).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("lineitem", "part", "orders", "customer"):
+        os.symlink(f"{shop}/{name}.parquet", tmp_path / f"{name}.parquet")
+    d = str(tmp_path)
+    assert views.with_texts(posts.posts(views.stored_pages(spark, d), keep=("page_id",)), d) is None
+    got, want = catalog._posts_with_text(spark, d), posts.posts(views.pages(spark, d), keep=("page_id",))
+    assert _rows(got) == _rows(want)
+
+
 def test_pages_hold_every_post_once(spark, shop):
     got = {}
     for r in views.pages(spark, shop).collect():
