@@ -259,3 +259,41 @@ def test_tails_and_moment_tests_at_known_values():
     assert abs(stats.skew_test_z(0.0, 50)) < 1e-12 and stats.skew_test_z(1.0, 50) > 2.5
     assert stats.skew_test_z(-1.0, 50) == -stats.skew_test_z(1.0, 50)
     assert stats.kurtosis_test_z(6.0, 200) > 3 > -2 > stats.kurtosis_test_z(2.0, 200)
+
+
+def test_residuals_are_ordered_range_after_range(spark, monkeypatch):
+    """Ties, a key on a third of the rows and rows without key: the same statistics as from one sort."""
+    from tidewater.operators import regression
+
+    rows = spark.range(3000).repartition(4).select(
+        F.when(F.col("id") % 3 == 0, "m").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 700)).alias("k"),
+        F.when(F.col("id") % 7 > 0, F.sin(F.col("id").cast("double"))).alias("a"), F.cos(F.col("id") * 2.0).alias("b"))
+    whole = regression.ordered_moments(rows, ["a", "b"], ["k"], 3000)
+    monkeypatch.setattr(regression, "ROWS_PER_RANGE", 500)
+    ranges = regression.order_ranges(rows, "k", 3000)
+    assert len(ranges) > 3 and [n for _, n in ranges] == [some.count() for some, _ in ranges] and sum(n for _, n in ranges) == 3000
+    ends = [some.agg(F.min("k").alias("lo"), F.max("k").alias("hi")).first() for some, _ in ranges]
+    assert all(a["hi"] < b["lo"] for a, b in zip(ends, ends[1:]))
+    assert ranges[0][0].filter("k is null").count() == rows.filter("k is null").count() > 0
+    for one, other in zip(whole, regression.ordered_moments(ranges, ["a", "b"], ["k"])):
+        assert one.keys() == other.keys() and all(np.isclose(one[f], other[f], rtol=1e-12) for f in one)
+
+
+def test_staged_regression_stores_no_residuals(spark, monkeypatch):
+    from tidewater.operators import regression
+    from tidewater.plans import staged as plans
+
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 40, 400).astype(float)
+    rows = spark.createDataFrame(pd.DataFrame({"a": a, "impression_count": (120 + 5 * a + rng.normal(size=400) * 10).round()}))
+    first = plans.staged_regression(rows)
+    written, sorts, made, order = [], [], plans.staged, regression.in_order
+    monkeypatch.setattr(plans, "staged", lambda df, tag: written.append(tag) or made(df, tag))
+    monkeypatch.setattr(regression, "in_order", lambda some, keys, n, parts: sorts.append(n) or order(some, keys, n, parts))
+    monkeypatch.setattr(regression, "ROWS_PER_RANGE", 100)
+    again = plans.staged_regression(rows)
+    assert written == ["staged"] and len(sorts) > 2 and sum(sorts) == 400 and max(sorts) < 300
+    for stage in plans.STAGES:
+        one, other = first.fits[stage].fit_stats(), again.fits[stage].fit_stats()
+        assert all(np.isclose(one[k], other[k], rtol=1e-9, equal_nan=True) for k in one)
+    assert np.isclose(first.holdout["rmse_original"], again.holdout["rmse_original"])
