@@ -119,3 +119,33 @@ def test_followers_are_broadcast_when_small(spark):
     joined = posts.attach_followers(feats, posts.dedup_users(users))
     assert "BroadcastHashJoin" in _plan(joined)
     assert [(r["tweet_id"], r["followers_count"]) for r in joined.collect()] == [("x", 30)]
+
+
+def test_lines_are_shuffled_as_numbers_only(spark, shop):
+    rows = views.post_rows(spark, shop, text=False)
+    tree = rows._jdf.queryExecution().optimizedPlan()
+    while not tree.nodeName().startswith("Repartition"):
+        tree = tree.children().apply(0)
+    kinds = [tree.output().apply(i).dataType().simpleString() for i in range(tree.output().size())]
+    assert len(kinds) <= 10 and "string" not in kinds, kinds
+
+
+def test_sixty_times_the_lines_are_written_in_six_slices(spark, shop, tmp_path, monkeypatch):
+    """36 million lines: the shuffle of a sixth of them is on disk at a time."""
+    os.symlink(shop, tmp_path / "many")
+    table, parts, made = views.table, [], views.pages
+
+    class Many:
+        def count(self):
+            return 36_000_000
+
+    monkeypatch.setattr(views, "table", lambda s, d, name: Many() if name == "lineitem" and not parts else table(s, d, name))
+
+    def counted(*a, **b):
+        parts.append(b["part_of"])
+        return made(*a, **b)
+
+    monkeypatch.setattr(views, "pages", counted)
+    stored = views.stored_pages(spark, str(tmp_path / "many"))
+    assert parts == [(i, 6) for i in range(6)]
+    assert _rows(stored) == _rows(made(spark, shop, text=False))
