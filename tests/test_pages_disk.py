@@ -149,3 +149,10 @@ def test_sixty_times_the_lines_are_written_in_six_slices(spark, shop, tmp_path,
     stored = views.stored_pages(spark, str(tmp_path / "many"))
     assert parts == [(i, 6) for i in range(6)]
     assert _rows(stored) == _rows(made(spark, shop, text=False))
+
+
+def test_hash_split_gives_validation_a_fifth_of_the_posts(spark, monkeypatch):
+    ids = spark.range(5000).select(F.col("id").cast("string").alias("id"))
+    monkeypatch.setattr(catalog, "_metrics", lambda s, d: ids)
+    found = {r["split"]: r["n"] for r in catalog.q_hash_split(spark, "").groupBy("split").agg(F.count("id").alias("n")).collect()}
+    assert sum(found.values()) == 5000 and 900 < found["validation"] < 1100, found
