@@ -91,3 +91,19 @@ def test_empty_and_no_neighbours(spark):
     assert got(variants.variants(variants.word_counts(none))) == []
     one = spark.createDataFrame([("alone", 4)], "word string, n long")
     assert got(variants.variants(one)) == [("alone", None, "alone", 4, 0, None)]
+
+
+def test_no_join_is_broadcast(spark, monkeypatch):
+    """Spark takes the states for as small as the words they come from."""
+    plans, stored = [], variants.stored
+
+    def seen(df, tag):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, tag)
+
+    monkeypatch.setattr(variants, "stored", seen)
+    counts = spark.createDataFrame([("words", 9), ("word", 2), ("sword", 1), ("ward", 4)], "word string, n long")
+    last = variants.variants(counts)
+    plans.append(last._jdf.queryExecution().executedPlan().toString())
+    assert last.count() == 4 and sum("SortMergeJoin" in p for p in plans) > 4
+    assert not [p for p in plans if "BroadcastHashJoin" in p]

@@ -22,7 +22,7 @@ bounded and nothing is left out.
 
 Joins are plain equi-joins, so a node that many words pass is split by the skew
 handling of adaptive execution; the node side has one row per key.  Nothing is
-collected: the frontier of each level is a table in the shared folder.
+collected or broadcast: the frontier of each level is a table in the shared folder.
 
 Defined results
   null text: no words.  Null doc_id: counts as an empty id.  Repeated rows count
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import shuffled, stored
 
 RUN = "[A-Za-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -160,13 +160,13 @@ def _edit(start: DataFrame, nodes: DataFrame) -> DataFrame:
     )
     ended = F.array(F.struct(F.lit("").alias("by"), F.col("node").alias("node"), F.lit("").alias("rest")))
     deleted = F.when(F.col("rest") == "", ended).otherwise(deleted)
-    return start.join(nodes, "node").select("id", "at", F.inline(F.concat(replaced, deleted)))
+    return start.join(shuffled(nodes), "node").select("id", "at", F.inline(F.concat(replaced, deleted)))
 
 
 def _match(states: DataFrame, nodes: DataFrame) -> DataFrame:
     """The states one level deeper: their next character has an edge."""
     to = F.get(F.filter("edges", lambda e: e["label"] == F.substring("rest", 1, 1)), F.lit(0))["child"]
-    moved = states.join(nodes, "node").select("id", "at", "by", to.alias("node"), F.substring("rest", 2, WINDOW).alias("rest"))
+    moved = states.join(shuffled(nodes), "node").select("id", "at", "by", to.alias("node"), F.substring("rest", 2, WINDOW).alias("rest"))
     return moved.where(F.col("node").isNotNull())
 
 
@@ -190,7 +190,8 @@ def neighbours(words: DataFrame) -> DataFrame:
     left = F.substr("word", F.lit(1), F.col("at"))
     spelled = F.concat(left, "by", F.substr("word", F.col("at") + 2))
     other = words.select(F.col("id").alias("other"), F.col("word").alias("spelled"))
-    pairs = found.join(words.select("id", "word"), "id").select("id", spelled.alias("spelled")).join(other, "spelled")
+    made = found.join(shuffled(words.select("id", "word")), "id").select("id", spelled.alias("spelled"))
+    pairs = made.join(shuffled(other), "spelled")
     pairs = stored(pairs.select("id", "other").distinct(), "pairs")
     return pairs.union(pairs.select("other", "id"))
 
@@ -200,7 +201,7 @@ def roots(forms: DataFrame) -> DataFrame:
     now = stored(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         hop = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        then = now.join(hop, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
+        then = now.join(shuffled(hop), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
         then = stored(then, "roots")
         now = then.select("word", "root")
         if then.where("moved").isEmpty():
@@ -215,9 +216,9 @@ def variants(counts: DataFrame, ratio: int = 2) -> DataFrame:
     """
     words = stored(counts.select(F.monotonically_increasing_id().alias("id"), "word", "n"), "words")
     other = words.select(F.col("id").alias("other"), F.struct((-F.col("n")).alias("less"), F.col("word").alias("form")).alias("rank"))
-    near = neighbours(words).join(other, "other").groupBy("id").agg(F.count(F.lit(1)).alias("n_near"), F.min("rank").alias("best"))
+    near = neighbours(words).join(shuffled(other), "other").groupBy("id").agg(F.count(F.lit(1)).alias("n_near"), F.min("rank").alias("best"))
     given = F.coalesce(-F.col("best.less") >= ratio * F.col("n"), F.lit(False))
-    out = words.join(near, "id", "left").select(
+    out = words.join(shuffled(near), "id", "left").select(
         "word",
         F.when(given, F.col("best.form")).alias("form"),
         "n",
@@ -226,6 +227,6 @@ def variants(counts: DataFrame, ratio: int = 2) -> DataFrame:
     )
     out = stored(out, "forms")
     ends = roots(out.where(F.col("form").isNotNull()))
-    return out.join(ends, "word", "left").select(
+    return out.join(shuffled(ends), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
