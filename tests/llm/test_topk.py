@@ -1,5 +1,7 @@
 """Ball-tree search against brute force."""
 
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -104,3 +106,23 @@ def test_router_places_every_point():
     assert router.cells == 16 and counts.sum() == 500 and counts.min() > 0
     same = topk.Router(np.ones((50, 3)), 8)
     assert same.cells == 1 and not same.place(np.ones((5, 3))).any()
+
+
+def test_trees_and_blocks_are_not_broadcast(spark, monkeypatch):
+    """Their files are much smaller than they are."""
+    plans, stored = [], topk.stored
+
+    def seen(df, tag):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, tag)
+
+    monkeypatch.setattr(topk, "stored", seen)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(600)]
+    want = brute(rows, lambda i: i % 50 == 0, 5)
+    assert run(spark, rows, shard_rows=200, block_rows=7) == want
+    home = [p for p in plans if "t_vectors" in p]
+    assert home and all(re.search(r"SortMergeJoin \[shard#\d+L?, part", p) for p in home)
+    assert not [p for p in plans if re.search(r"BroadcastHashJoin \[(shard#\d+L?, part|block)", p)]
+    monkeypatch.setattr(topk, "BROADCAST_BYTES", 0)  # as if all were many
+    assert run(spark, rows, shard_rows=200, block_rows=7) == want

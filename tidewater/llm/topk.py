@@ -18,7 +18,8 @@ Each shard returns at most k rows per query; the best k of them are the answer.
 Queries meet shards by an equi-join on the shard, with a shard repeated for each
 group of ``GROUP_BLOCKS`` blocks that asks for it: no task holds more than one
 shard and one block.  Only the sample is collected; the router (a direction per
-cell) goes to all tasks.
+cell) goes to all tasks.  Trees and blocks are never broadcast; root balls and
+tables of keys are if they take up to ``BROADCAST_BYTES``.
 
 Defined results
   Vectors that are null, without components, or hold null or non-finite
@@ -39,10 +40,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import shuffled, stored
 
 SHARD_ROWS, BLOCK_ROWS, GROUP_BLOCKS, LEAF_ROWS = 4096, 512, 64, 128
 ROUTER_ROWS, CELLS, PAGE_BALLS, SENT_BYTES = 16_384, 512, 1024, 4 << 20
+#: Bytes that may be broadcast; rows of fixed width, counted first.
+BROADCAST_BYTES = 32 << 20
 PACKED = "n long, dim int, ids binary, vectors binary"
 BLOCK = f"block long, {PACKED}"
 TREE = f"shard long, {PACKED}, centers binary, radii binary, spans binary, children binary"
@@ -251,6 +254,11 @@ def _searched(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.mapInArrow(run, "block long, dim int, query_id long, vec_id long, score long")
 
 
+def _few(rows: DataFrame, n: int, width: int) -> DataFrame:
+    """A table of at most ``n`` rows of ``width`` bytes, marked for broadcast if they are few."""
+    return F.broadcast(rows) if n * width <= BROADCAST_BYTES else shuffled(rows)
+
+
 def _floors(blocks: DataFrame, hits: DataFrame, k: int) -> DataFrame:
     """``blocks`` with the kth scores of the home round, in the order of their ids."""
     rank = Window.partitionBy("block", "dim", "query_id").orderBy(F.desc("score"), "vec_id")
@@ -270,15 +278,16 @@ def _floors(blocks: DataFrame, hits: DataFrame, k: int) -> DataFrame:
             names = [n for n in _fields(schema).names if n != "floors"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(made, pa.binary())], names=[*names, "floors"])
 
-    joined = blocks.drop("floors").join(per_block, ["block", "dim"], "left")
+    joined = blocks.drop("floors").join(shuffled(per_block), ["block", "dim"], "left")
     return joined.mapInArrow(fill, schema)
 
 
-def _sent(blocks: DataFrame, trees: DataFrame, pages: int) -> DataFrame:
+def _sent(blocks: DataFrame, trees: DataFrame, pages: int, shards: int, dim: int) -> DataFrame:
     """For each shard the queries whose bound at its root reaches their floor, block by block."""
     root = F.struct("shard", F.expr("substring(centers, 1, 8 * dim)").alias("center"), F.expr("substring(radii, 1, 8)").alias("radius"))
     page = F.pmod(F.xxhash64("shard"), F.lit(pages)).cast("int")
     balls = trees.groupBy(page.alias("page"), "dim").agg(F.collect_list(root).alias("balls"))
+    balls = _few(balls, shards, 8 * dim + 64)
     met = blocks.withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(pages - 1)))).join(balls, ["page", "dim"])
     schema = f"shard long, {BLOCK}, floors binary"
 
@@ -348,8 +357,9 @@ def search(
     held = rows.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.count_if("asked").alias("q"))
     pieces = F.ceil(F.col("n") / shard_rows).cast("long").alias("shards"), F.ceil(F.col("q") / block_rows).cast("long").alias("blocks")
     cells = stored(held.select("dim", "cell", *pieces), "topk-cells")
-    total = cells.agg(F.sum("shards").alias("shards"), F.sum("blocks").alias("blocks")).first()
+    total = cells.agg(F.sum("shards").alias("shards"), F.sum("blocks").alias("blocks"), F.max("dim").alias("dim"), F.count(F.lit(1)).alias("n")).first()
     shards, n_blocks = total["shards"] or 1, total["blocks"] or 1
+    cells = _few(cells, total["n"], 64)
     groups, pages = -(-n_blocks // GROUP_BLOCKS), -(-shards // PAGE_BALLS)
 
     def deal(of: str, salt: int) -> Column:
@@ -368,14 +378,14 @@ def search(
 
     def pairs(asked: DataFrame) -> DataFrame:
         asked = asked.withColumn("part", part)
-        needed = asked.select("shard", "dim", "part").distinct()
+        needed = _few(asked.select("shard", "dim", "part").distinct(), shards * groups, 64)
         ways = max(1, min(shards * groups, 4096))
         met = wide.join(needed, ["shard", "dim"]).repartition(ways, "shard", "part")
-        return asked.repartition(ways, "shard", "part").join(met, ["shard", "part", "dim"])
+        return asked.repartition(ways, "shard", "part").join(shuffled(met), ["shard", "part", "dim"])
 
     alone = blocks.withColumn("floors", F.lit(None).cast("binary")).withColumnRenamed("home", "shard")
     first = stored(_searched(pairs(alone), k), "topk-home")
-    sent = stored(_sent(_floors(blocks, first, k), trees, pages), "topk-sent")
+    sent = stored(_sent(_floors(blocks, first, k), trees, pages, shards, total["dim"] or 1), "topk-sent")
     hits = first.unionByName(_searched(pairs(sent), k))
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return hits.select("query_id", F.row_number().over(rank).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
