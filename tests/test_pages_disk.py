@@ -156,3 +156,26 @@ def test_hash_split_gives_validation_a_fifth_of_the_posts(spark, monkeypatch):
     monkeypatch.setattr(catalog, "_metrics", lambda s, d: ids)
     found = {r["split"]: r["n"] for r in catalog.q_hash_split(spark, "").groupBy("split").agg(F.count("id").alias("n")).collect()}
     assert sum(found.values()) == 5000 and 900 < found["validation"] < 1100, found
+
+
+def test_json_pages_are_on_disk_slice_by_slice(spark, shop, monkeypatch):
+    monkeypatch.setattr(catalog, "JSON_SLICE_BYTES", 2000)
+    slices, seen, made, read = [], [], views.pages, catalog.readers.read_pages
+
+    def counted(*a, **b):
+        slices.append(b["part_of"])
+        return made(*a, **b)
+
+    def back(s, path):
+        folder, name = os.path.split(path.removeprefix("file:"))
+        seen.append([f for f in os.listdir(folder) if f.startswith("tidewater-pages-json")])
+        assert name in seen[-1]
+        return read(s, path)
+
+    monkeypatch.setattr(views, "pages", counted)
+    monkeypatch.setattr(catalog.readers, "read_pages", back)
+    got = catalog.q_json_pages(spark, shop)
+    want = posts.posts(made(spark, shop)).select("id", "author_id", "created_at", "lang")
+    assert _rows(got) == _rows(want)
+    assert len(slices) > 2 and slices == [(i, len(slices)) for i in range(len(slices))]
+    assert [len(x) for x in seen] == [1] * len(slices)
