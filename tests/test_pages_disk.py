@@ -2,6 +2,7 @@
 
 import os
 import re
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,3 +180,19 @@ def test_json_pages_are_on_disk_slice_by_slice(spark, shop, monkeypatch):
     assert _rows(got) == _rows(want)
     assert len(slices) > 2 and slices == [(i, len(slices)) for i in range(len(slices))]
     assert [len(x) for x in seen] == [1] * len(slices)
+
+
+@pytest.mark.parametrize("large", [("p_name",), ("has_doc",), ("p_name", "has_doc")])
+def test_posts_are_not_shuffled_when_parts_or_documents_are_many(spark, shop, monkeypatch, large):
+    want = _rows(views.pages(spark, shop))
+    joins = sys.modules["tidewater.operators.joins"]
+    monkeypatch.setattr(joins, "fits", lambda small, *a: not set(large) & set(small.columns), raising=False)
+    monkeypatch.setattr(joins, "measured", lambda small: (10**9 if set(large) & set(small.columns) else 1, 1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = views.pages(spark, shop)
+        plan = _plan(found)
+        assert _rows(found) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(l_orderkey#") == 1, plan
