@@ -196,3 +196,26 @@ def test_posts_are_not_shuffled_when_parts_or_documents_are_many(spark, shop, mo
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning(l_orderkey#") == 1, plan
+
+
+def test_labels_are_assigned_from_one_reading_of_the_pages(spark, shop, monkeypatch):
+    """Vocabulary, co-occurrence and label sets read the stored names; the sets are stored too."""
+    tags, plans, staged = [], [], catalog.staged
+
+    def seen(df, tag):
+        tags.append(tag)
+        plans.append(_plan(df))
+        return staged(df, tag)
+
+    monkeypatch.setattr(catalog, "staged", seen)
+    monkeypatch.setattr(sys.modules["tidewater.session"], "staged", seen)
+    monkeypatch.setattr(catalog, "K", 1)
+    found = catalog.q_assign_labels(spark, shop)
+    assert tags == ["names", "sets"]
+    reads = [p.count("struct<data:array<struct") for p in [*plans, _plan(found)]]
+    assert reads == [1, 0, 0], reads
+    vocab = catalog._vocab(spark, shop)
+    eligible = posts.eligible_posts(catalog._posts(spark, shop))
+    names = [r["n"] for r in eligible.select(catalog.names_of("context_annotations").alias("n")).collect()]
+    want = {"\x01".join(sorted(set(n))) for n in names if not set(n) & set(vocab)}
+    assert {r["set_key"]: r["assigned"] for r in found.collect()} == {k: vocab[0] for k in want} and want
