@@ -287,3 +287,20 @@ def test_text_scorer_prefers_shared_rare_words(spark):
     scores = {(r.set_key, r.label): r.score for r in labels.score_labels(sets, vocab, scorer=labels.text_scorer(sets, vocab)).collect()}
     assert abs(sum(scores["1", v] for v in vocab) - 1) < 1e-12 and scores["1", "car"] > scores["1", "Red wine"] > scores["1", "tree"] == 0
     assert scores["2", "car"] == scores["4", "tree"] == 1 / 3 and scores["3", "Red wine"] == 1
+
+
+def test_dummies_and_sorted_labels_make_no_set_and_call_no_comparator(spark):
+    from tidewater.operators import labels as L
+
+    vocab = ["Big Box", "big box", "red"]
+    rows = [(["red", "x"],), (["big box"],), ([],), (None,), (["x", None],), (["red", None, "Big Box"],)]
+    df = spark.createDataFrame(rows, "v array<string>")
+    out = df.select(*L.dummy_columns("v", vocab), L.known_labels("v", vocab).alias("known"), L.set_key(F.col("v")).alias("key"))
+    old = df.select(
+        *[F.arrays_overlap(F.coalesce("v", F.array().cast("array<string>")), F.array(*map(F.lit, m))).cast("int").alias(n) for n, m in L.dummy_names(vocab).items()],
+        F.array_sort(F.array_intersect("v", F.array(*map(F.lit, vocab)))).alias("known"),
+        F.array_join(F.array_sort(F.array_distinct("v")), "\u0001").alias("key"),
+    )
+    assert out.collect() == old.collect() and len(out.columns) == len(old.columns)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "arrays_overlap" not in plan and "array_sort" not in plan and "lambda" not in plan
